@@ -158,7 +158,7 @@ def s12(spark, sf):
         F.struct(F.col("samples").alias("array"), "sampling_rate").alias("audio"), "audio_id", "real_or_fake")
     return rounded(rec.flatten_examples(nested).select(
         "audio_id", "real_or_fake", "sampling_rate", F.size("samples").alias("n_samples"),
-        F.col("samples")[0].alias("first"), F.col("samples")[63].alias("last")), 12)
+        F.col("samples")[0].alias("first"), F.col("samples")[63].alias("last")), keep=("first", "last"))
 
 
 @query("s13_decode_pcm_wav")
