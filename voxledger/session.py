@@ -18,6 +18,7 @@ def build_session(app: str = "voxledger", cores: str = "8") -> SparkSession:
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
