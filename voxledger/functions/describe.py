@@ -71,20 +71,20 @@ def extended(x: np.ndarray) -> list[float]:
             spec.real.mean(), spec.imag.mean()]
 
 
-def _struct_udf(fn, names: list[str], keep: list[str]):
-    schema = ", ".join(f"`{n}` double" for n in keep)
+def _struct_udf(fn, names: list[str], keep: list[str], prefix: str = ""):
+    out = [prefix + n for n in keep]
     at = [names.index(n) for n in keep]
 
-    @F.pandas_udf(schema)
+    @F.pandas_udf(", ".join(f"`{n}` double" for n in out))
     def apply(s: pd.Series) -> pd.DataFrame:
         rows = [fn(np.asarray(v, np.float64)) if v is not None else [np.nan] * len(names) for v in s]
-        return pd.DataFrame(np.asarray(rows, np.float64).reshape(-1, len(names))[:, at], columns=keep)
+        return pd.DataFrame(np.asarray(rows, np.float64).reshape(-1, len(names))[:, at], columns=out)
 
     return apply
 
 
-def summary_of(col: Column | str, measures: list[str] | None = None) -> Column:
-    return _struct_udf(summary, MEASURES, measures or MEASURES)(col)
+def summary_of(col: Column | str, measures: list[str] | None = None, prefix: str = "") -> Column:
+    return _struct_udf(summary, MEASURES, measures or MEASURES, prefix)(col)
 
 
 def descriptive_of(col: Column | str, measures: list[str] | None = None) -> Column:
@@ -93,3 +93,22 @@ def descriptive_of(col: Column | str, measures: list[str] | None = None) -> Colu
 
 def extended_of(col: Column | str, measures: list[str] | None = None) -> Column:
     return _struct_udf(extended, EXTENDED, measures or EXTENDED)(col)
+
+
+def summaries_of(col: Column | str, n: int, measures: list[str] | None = None, name: str = "coef") -> Column:
+    """(frames, n) matrix -> struct of ``{name}_{i}_{measure}``, coefficients counted from 1."""
+    keep = measures or MEASURES
+    at = [MEASURES.index(m) for m in keep]
+    out = [f"{name}_{i + 1}_{m}" for i in range(n) for m in keep]
+
+    def one(m) -> np.ndarray:
+        if m is None or not len(m):
+            return np.full(len(out), np.nan)
+        rows = np.stack([np.asarray(v, np.float64) for v in m])
+        return np.concatenate([np.asarray(summary(rows[:, i]))[at] for i in range(n)])
+
+    @F.pandas_udf(", ".join(f"`{c}` double" for c in out))
+    def apply(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(np.stack([one(m) for m in s]) if len(s) else np.empty((0, len(out))), columns=out)
+
+    return apply(col)

@@ -124,3 +124,181 @@ def snr_of(col, n_fft: int, hop: int) -> Column:
         return float(10 * np.log10(np.mean(a * a) / a.var()))
 
     return per_recording("double", fn, col)
+
+
+# --- tracks over frames: each takes magnitudes (frames, bins) and bin frequencies ---------
+
+def _share(a: np.ndarray) -> np.ndarray:
+    t = a.sum(axis=1, keepdims=True)
+    return np.divide(a, t, out=np.zeros_like(a), where=t > 0)
+
+
+def centroid(a, hz):
+    return (_share(a) * hz).sum(axis=1)
+
+
+def bandwidth(a, hz):
+    return np.sqrt((_share(a) * (hz - centroid(a, hz)[:, None]) ** 2).sum(axis=1))
+
+
+def flatness(a, hz):
+    p = np.maximum(a * a, 1e-10)
+    return np.exp(np.log(p).mean(axis=1)) / p.mean(axis=1)
+
+
+def rolloff(a, hz, pct=0.85):
+    c = np.cumsum(a, axis=1)
+    return hz[np.argmax(c >= pct * c[:, -1:], axis=1)]
+
+
+def flux(a, hz):
+    return np.sqrt((np.diff(a, axis=0) ** 2).sum(axis=1))
+
+
+def centroid_bin(a, hz):
+    return centroid(a, np.arange(a.shape[1], dtype=np.float64))
+
+
+def band_ratio(a, hz, split_hz=2048.0):
+    """Energy below the split bin over the energy from it on; the split uses bins per sr / 2."""
+    b = int(np.floor(split_hz / (hz[-1] / a.shape[1])))
+    high = (a[:, b:] ** 2).sum(axis=1)
+    return np.divide((a[:, :b] ** 2).sum(axis=1), high, out=np.full(len(a), np.nan), where=high > 0)
+
+
+def contrast(a, hz, fmin=200.0, bands=6, quantile=0.02):
+    """Peak minus valley in dB per octave band (Jiang 2002); (frames * (bands + 1)), flattened."""
+    edges = np.concatenate(([0.0], fmin * 2.0 ** np.arange(bands + 1)))
+    out = np.zeros((bands + 1, len(a)))
+    for k in range(bands + 1):
+        hi = edges[k + 1] if k < bands else np.inf
+        sub = np.sort(a[:, (hz >= edges[k]) & (hz <= hi)], axis=1)
+        if sub.shape[1] == 0:
+            continue
+        m = max(1, int(round(quantile * sub.shape[1])))
+        top, low = sub[:, -m:].mean(axis=1), sub[:, :m].mean(axis=1)
+        out[k] = 10 * np.log10(np.maximum(top, 1e-10)) - 10 * np.log10(np.maximum(low, 1e-10))
+    return out.ravel()
+
+
+def _mel(hz):
+    """Slaney scale: linear below 1 kHz, logarithmic above."""
+    hz = np.asarray(hz, np.float64)
+    return np.where(hz < 1000, hz * 3 / 200, 15 + 27 * np.log(np.maximum(hz, 1000) / 1000) / np.log(6.4))
+
+
+def _hz(mel):
+    return np.where(mel < 15, mel * 200 / 3, 1000 * np.exp((mel - 15) * np.log(6.4) / 27))
+
+
+def mel_bank(hz: np.ndarray, n_mels: int) -> np.ndarray:
+    """(bins, mels) triangles of equal area."""
+    edge = _hz(np.linspace(0, _mel(hz[-1]), n_mels + 2))
+    up = (hz[:, None] - edge[:-2]) / np.maximum(edge[1:-1] - edge[:-2], 1e-12)
+    down = (edge[2:] - hz[:, None]) / np.maximum(edge[2:] - edge[1:-1], 1e-12)
+    return np.maximum(0, np.minimum(up, down)) * 2 / np.maximum(edge[2:] - edge[:-2], 1e-12)
+
+
+def to_db(power: np.ndarray, ref: float = 1.0, floor: float = 1e-10, top: float = 80.0) -> np.ndarray:
+    db = 10 * np.log10(np.maximum(power, floor)) - 10 * np.log10(max(ref, floor))
+    return np.maximum(db, db.max() - top) if db.size else db
+
+
+def mel_db(a, hz, n_mels=128):
+    """(frames, mels) dB against the largest value."""
+    p = (a * a) @ mel_bank(hz, n_mels)
+    return to_db(p, p.max() if p.size else 1.0)
+
+
+def mfcc(a, hz, n=13, n_mels=128):
+    """(frames, n) coefficients: orthonormal DCT-II of the mel dB (Davis & Mermelstein 1980)."""
+    db = to_db((a * a) @ mel_bank(hz, n_mels))
+    k, m = np.arange(n)[:, None], np.arange(n_mels)[None, :]
+    basis = np.cos(np.pi * k * (2 * m + 1) / (2 * n_mels)) * np.sqrt(2 / n_mels)
+    basis[0] /= np.sqrt(2)
+    return db @ basis.T
+
+
+def chroma(a, hz):
+    """(frames, 12) power per pitch class, C first, scaled to a maximum of 1."""
+    pitch = np.zeros((len(hz), 12))
+    use = hz > 27.5
+    pitch[np.flatnonzero(use), np.round(12 * np.log2(hz[use] / 440.0) + 69).astype(int) % 12] = 1
+    c = (a * a) @ pitch
+    top = c.max(axis=1, keepdims=True)
+    return np.divide(c, top, out=np.zeros_like(c), where=top > 0)
+
+
+def tonnetz(a, hz):
+    """(frames, 6) tonal centroid (Harte 2006): circles of fifths, minor and major thirds."""
+    c = _share(chroma(a, hz))
+    ang = np.arange(12)[:, None] * np.pi * np.array([7 / 6, 3 / 2, 2 / 3])
+    radius = np.array([1.0, 1.0, 0.5])
+    basis = np.stack([radius * np.sin(ang), radius * np.cos(ang)], axis=2).reshape(12, 6)
+    return c @ basis
+
+
+TRACKS = {"spectral_centroid": centroid, "spectral_bandwidth": bandwidth, "spectral_flatness": flatness,
+          "spectral_rolloff": rolloff, "spectral_flux": flux, "spectral_contrast": contrast,
+          "centroid_bin": centroid_bin, "band_energy_ratio": band_ratio}
+MATRICES = {"mel_db": mel_db, "mfcc": mfcc, "chroma": chroma, "tonnetz": tonnetz}
+
+
+def _spectrum(x, sr, n_fft, hop):
+    return stft_magnitude(x, n_fft, hop), np.fft.rfftfreq(n_fft, 1 / sr)
+
+
+def tracks_of(col, sr, names: list[str], n_fft: int, hop: int, options: dict[str, dict] | None = None) -> Column:
+    """Struct of one array per track; the short-time spectrum is computed once and stays in the worker."""
+    opts = options or {}
+
+    def fn(x, r):
+        a, hz = _spectrum(x, r, n_fft, hop)
+        if not len(a):
+            return [np.empty(0)] * len(names)
+        return [TRACKS[n](a, hz, **opts.get(n, {})) for n in names]
+
+    return per_recording(", ".join(f"`{n}` array<double>" for n in names), fn, col, sr)
+
+
+def matrix_of(col, sr, name: str, n_fft: int, hop: int, **options) -> Column:
+    """array<array<double>>: one inner array per frame."""
+
+    def fn(x, r):
+        a, hz = _spectrum(x, r, n_fft, hop)
+        return list(MATRICES[name](a, hz, **options)) if len(a) else []
+
+    return per_recording("array<array<double>>", fn, col, sr)
+
+
+def magnitudes_of(col, n_fft: int, hop: int) -> Column:
+    return per_recording("array<array<double>>", lambda x: list(stft_magnitude(x, n_fft, hop)), col)
+
+
+def amplitude_of(col) -> Column:
+    """2 |fft / n|, first n / 2 bins."""
+    return per_recording(
+        "array<double>", lambda x: 2 * np.abs(np.fft.fft(x) / max(len(x), 1))[:len(x) // 2] if len(x) else np.empty(0), col)
+
+
+def fft_mean_of(col) -> Column:
+    def fn(x):
+        f = np.fft.fft(x)
+        return float(f.real.mean()), float(f.imag.mean())
+
+    return per_recording("fft_real_mean double, fft_imag_mean double", fn, col)
+
+
+def welch_of(col, sr, segment: int = 256) -> Column:
+    """One-sided density: mean of the squared spectra of half-overlapping, mean-free Hann segments."""
+
+    def fn(x, r):
+        n = min(segment, len(x))
+        if n < 2:
+            return np.empty(0)
+        w, seg = hann(n), framed(x, n, n - n // 2)
+        p = np.abs(np.fft.rfft((seg - seg.mean(axis=1, keepdims=True)) * w, axis=1)) ** 2 / (r * (w * w).sum())
+        p[:, 1:(-1 if n % 2 == 0 else None)] *= 2
+        return p.mean(axis=0)
+
+    return per_recording("array<double>", fn, col, sr)

@@ -101,3 +101,18 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str,
     return picked.select(*group, *[
         (F.col(f"_lo_{n}") + F.col(f"_w_{n}") * (F.col(f"_hi_{n}") - F.col(f"_lo_{n}"))).alias(n)
         for n in probs])
+
+
+SMALL_BYTES_PER_CORE = 16 << 20
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Give a small input to all cores before costly per-row work.
+
+    A small file is one partition, so one task would do all of it. The shuffle
+    is only taken when the optimizer's size estimate is below a bound; large
+    inputs already have enough partitions and pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * SMALL_BYTES_PER_CORE else df

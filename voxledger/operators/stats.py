@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import describe
 from ..functions.special import f_pvalue, normal_pvalue, t_pvalue
-from .scale import exact_quantiles, running_sums
+from .scale import exact_quantiles, running_sums, spread_small
 
 
 def to_long(df: DataFrame, columns: list[str], ids: tuple[str, ...] = ("real_or_fake",)) -> DataFrame:
@@ -54,21 +54,20 @@ def windowed_stats(df: DataFrame, *, window: int | None = None, step: int | None
 
     w = F.lit(window) if window else F.floor(F.size(col) / 10).cast("int")
     s = F.lit(step) if step else F.greatest(F.floor(F.col("_w") / 2).cast("int"), F.lit(1))
-    sized = df.withColumn("_w", w).withColumn("_s", s).where(F.col("_w") > 0)
+    sized = spread_small(df).withColumn("_w", w).withColumn("_s", s).where(F.col("_w") > 0)
     cut = frames(sized, F.col("_w"), F.col("_s"), col=col, keep=keep)
     names = measures or describe.DESCRIPTIVE
     per = cut.select(*keep, describe.descriptive_of("frame", names).alias("s")).select(*keep, "s.*")
     return per.groupBy(*keep).agg(*[F.avg(m).alias(f"windowed_{m}_mean") for m in names])
 
 
-def coefficient_stats(coefs: DataFrame, name: str, measures: list[str] | None = None) -> DataFrame:
+def coefficient_stats(coefs: DataFrame, name: str, n_coefs: int, measures: list[str] | None = None) -> DataFrame:
     """(audio_id, coef, value) -> one row per recording with ``{name}_{coef}_{measure}`` columns."""
     per = summary_stats_long(coefs, ["audio_id", "coef"], "value", measures)
     names = measures or describe.MEASURES
-    n = coefs.agg(F.max("coef")).first()[0]
-    pick = [F.max(F.when(F.col("coef") == c, F.col(m))).alias(f"{name}_{c}_{m}")
-            for c in range(1, (n or 0) + 1) for m in names]
-    return per.groupBy("audio_id").agg(*pick)
+    return per.groupBy("audio_id").agg(*[
+        F.max(F.when(F.col("coef") == c, F.col(m))).alias(f"{name}_{c}_{m}")
+        for c in range(1, n_coefs + 1) for m in names])
 
 
 def property_summary(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -22,12 +22,12 @@ def deviations(src: str, keys: str, x: str = "x") -> str:
     return f"dev AS (SELECT *, {x} - avg({x}) OVER (PARTITION BY {keys}) AS d FROM {src})"
 
 
-def summary_select(x: str = "x") -> str:
-    return ", ".join([
-        r(f"avg({x})", "mean"), r(f"stddev_pop({x})", "std"), r(f"var_pop({x})", "var"), r(f"min({x})", "min"),
-        r(f"max({x})", "max"), r(f"max({x}) - min({x})", "range"), r(f"quantile_cont({x}, 0.25)", "25th_percentile"),
-        r(f"quantile_cont({x}, 0.5)", "50th_percentile"), r(f"quantile_cont({x}, 0.75)", "75th_percentile"),
-        r(SKEW.format(x=x), "skew"), r(KURT.format(x=x), "kurtosis")])
+def summary_select(x: str = "x", digits: int = 4) -> str:
+    parts = {"mean": f"avg({x})", "std": f"stddev_pop({x})", "var": f"var_pop({x})", "min": f"min({x})", "max": f"max({x})",
+             "range": f"max({x}) - min({x})", "25th_percentile": f"quantile_cont({x}, 0.25)",
+             "50th_percentile": f"quantile_cont({x}, 0.5)", "75th_percentile": f"quantile_cont({x}, 0.75)",
+             "skew": SKEW.format(x=x), "kurtosis": KURT.format(x=x)}
+    return ", ".join(r(e, m, digits) for m, e in parts.items())
 
 
 def peaks_ctes(src: str, keys: str) -> str:
