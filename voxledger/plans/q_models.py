@@ -1 +1,135 @@
+"""M: models and projections; P10, P11, E10, E12 importances."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import models as ml, relational as rel
+from ..operators.scale import spread_small
+from . import fixtures as fx
+from .q_stats import r
+from .registry import query, rounded
+
+
+def _features(spark, sf):
+    return spread_small(rel.binary_target(fx.feat_emb(spark, sf)))
+
+
+def _split(spark, sf):
+    """Assembled train and test rows; a recording is on one side only."""
+    rows = rel.hash_split(ml.assembled(_features(spark, sf), fx.EMB), 0.2, 42)
+    return rows.where(~F.col("is_test")).drop("is_test").persist(), rows.where("is_test").drop("is_test")
+
+
+@query("m01_logistic")
+def m01(spark, sf):
+    train, test = _split(spark, sf)
+    return ml.score(test, ml.logistic(train))
+
+
+@query("m02_l2_logistic")
+def m02(spark, sf):
+    train, test = _split(spark, sf)
+    return ml.score(test, ml.logistic(train, 1.0))
+
+
+@query("m03_random_forest")
+def m03(spark, sf):
+    train, test = _split(spark, sf)
+    return ml.score(test, ml.random_forest(train, 100))
+
+
+@query("m04_calibrate")
+def m04(spark, sf):
+    train, test = _split(spark, sf)
+    lr, rf = ml.logistic(train), ml.random_forest(train, 20)
+    a = ml.calibrate(lr, train).score(test).withColumn("model", F.lit("logistic"))
+    return a.union(ml.calibrate(rf, train).score(test).withColumn("model", F.lit("forest")))
+
+
+@query("m05_gradient_boosting")
+def m05(spark, sf):
+    train, test = _split(spark, sf)
+    return ml.score(test, ml.gradient_boosting(train, 20))
+
+
+def _multi(spark, sf):
+    base = fx.feat_emb(spark, sf).join(fx.score_k(spark, sf).select("audio_id", F.col("y").cast("string").alias("k")), "audio_id")
+    rows, labels = ml.indexed(ml.assembled(spread_small(base), fx.EMB, "k"), "k")
+    return rows.persist(), labels
+
+
+@query("m06_one_vs_rest_logistic")
+def m06(spark, sf):
+    rows, _ = _multi(spark, sf)
+    out = ml.one_vs_rest_logistic(rows).transform(rows)
+    return out.select("audio_id", "class_index", F.col("prediction").alias("pred"))
+
+
+@query("m07_multiclass_forest")
+def m07(spark, sf):
+    rows, _ = _multi(spark, sf)
+    return ml.multiclass_forest(rows, 20).transform(rows).select("audio_id", "class_index", F.col("prediction").alias("pred"))
+
+
+@query("m08_dense_net")
+def m08(spark, sf):
+    train, test = _split(spark, sf)
+    return ml.score(test, ml.dense_net(train, max_iter=50))
+
+
+@query("m09_multiclass_net")
+def m09(spark, sf):
+    rows, labels = _multi(spark, sf)
+    model = ml.multiclass_net(rows, len(labels), max_iter=50)
+    return model.transform(rows).select("audio_id", "class_index", F.col("prediction").alias("pred"))
+
+
+@query("m10_one_vs_real_sweep")
+def m10(spark, sf):
+    return ml.one_vs_real_sweep(spread_small(fx.feat_emb(spark, sf)), fx.EMB)
+
+
+@query("m11_pca")
+def m11(spark, sf):
+    return ml.pca(spread_small(fx.feat_emb(spark, sf)), fx.EMB, 3)
+
+
+@query("m12_kernel_pca")
+def m12(spark, sf):
+    return ml.kernel_pca(spread_small(fx.feat_emb(spark, sf)), fx.EMB)
+
+
+@query("m13_kmeans")
+def m13(spark, sf):
+    return ml.kmeans_table(spread_small(fx.feat_emb(spark, sf)), fx.EMB)
+
+
+@query("m14_score", "score", f"SELECT audio_id, real_or_fake, {r('p', 'p')}, pred::BIGINT AS pred FROM score")
+def m14(spark, sf):
+    return rounded(ml.score_linear(fx.feat_emb(spark, sf), {c: 4.0 for c in fx.EMB}))
+
+
+@query("p10_rf_important")
+def p10(spark, sf):
+    train, _ = _split(spark, sf)
+    return ml.rf_important(train, fx.EMB, 50)
+
+
+@query("p11_lr_importance")
+def p11(spark, sf):
+    return ml.lr_importance(_features(spark, sf).drop("target"), fx.EMB)
+
+
+@query("e10_top_importances")
+def e10(spark, sf):
+    train, _ = _split(spark, sf)
+    a = ml.importances(ml.logistic(train), fx.EMB, spark).withColumn("model", F.lit("logistic"))
+    return a.union(ml.importances(ml.random_forest(train, 20), fx.EMB, spark).withColumn("model", F.lit("forest")))
+
+
+@query("e12_permutation_importance")
+def e12(spark, sf):
+    f = _features(spark, sf)
+    model = ml.logistic(ml.assembled(f, fx.EMB))
+    return ml.permutation_importance(f, fx.EMB, model, fx.EMB[:16])

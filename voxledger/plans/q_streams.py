@@ -1 +1,106 @@
+"""X: streaming jobs, fed with the events table in three arriving parts."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from ..operators import models as ml
+from ..session import checkpointed
+from ..streaming import streams as xs
+from . import fixtures as fx
+from .q_drift import KS
+from .q_sources import shared_folder
+from .q_stats import r
+from .registry import query, rounded
+
+CUTS = ("2024-01-11", "2024-01-21")
+
+
+def arrivals(df: DataFrame, folder: str, names: list[str], part, run) -> None:
+    """Write part 0, 1, 2 and let the stream catch up after each one."""
+    for k, name in enumerate(names):
+        df.where(part == k).write.mode("overwrite").parquet(f"{folder}/{name}")
+        q = run()
+        q.awaitTermination()
+
+
+def samples(spark, sf):
+    return fx.table(spark, sf, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").cast("string").alias("audio_id"), F.col("value").alias("x"))
+
+
+def part_of(ts):
+    lit = lambda d: F.lit(d).cast("timestamp")
+    return F.when(ts < lit(CUTS[0]), 0).when(ts < lit(CUTS[1]), 1).otherwise(2)
+
+
+@query("x01_score_stream", "score", f"SELECT audio_id, real_or_fake, {r('p', 'p')}, pred::BIGINT AS pred FROM score")
+def x01(spark, sf):
+    base = shared_folder(spark, "score-stream")
+    f = fx.feat_emb(spark, sf)
+    scorer = lambda d: ml.score_linear(d, {c: 4.0 for c in fx.EMB})
+
+    def run():
+        s = xs.file_stream(spark, f"{base}/in", f.schema)
+        return xs.to_files(xs.score_stream(s, scorer), f"{base}/out", f"{base}/state")
+
+    arrivals(f, f"{base}/in", [f"iteration_{k + 1}.parquet" for k in range(3)], F.pmod(F.col("audio_id").cast("int"), F.lit(3)), run)
+    return rounded(spark.read.parquet(f"{base}/out"))
+
+
+@query("x02_drift_stream", "drift", "e3 AS (SELECT event_type || '_mean' AS feature, CASE WHEN event_type = 'error' THEN value * 2 ELSE value END AS value, "
+       "(ts >= TIMESTAMP '2024-01-21')::INT + (ts >= TIMESTAMP '2024-01-26')::INT AS batch FROM events WHERE ts >= TIMESTAMP '2024-01-16'), "
+       "sides AS (SELECT b AS batch, 'train' AS side, feature, value FROM drift, range(3) t(b) WHERE side = 'train' "
+       "UNION ALL SELECT batch, 'new', feature, value FROM e3), " +
+       KS.replace("FROM drift GROUP BY 1, 2", "FROM sides GROUP BY 1, 2, batch").replace("SELECT feature, value, count", "SELECT batch || '|' || feature AS feature, value, count")
+       + f" SELECT split_part(feature, '|', 1)::BIGINT AS batch, split_part(feature, '|', 2) AS feature, {r('d', 'ks_statistic')}, {r('p', 'p_value')}, p < 0.03 AS drifted FROM kp")
+def x02(spark, sf):
+    base = shared_folder(spark, "drift-stream")
+    profile = checkpointed(xs.train_profile(fx.drift(spark, sf).where("side = 'train'")))
+    ev = fx.table(spark, sf, "events").where(F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz"))
+    new = ev.select(F.concat("event_type", F.lit("_mean")).alias("feature"),
+                    F.when(F.col("event_type") == "error", F.col("value") * 2).otherwise(F.col("value")).alias("value"),
+                    F.when(F.col("ts") < F.lit("2024-01-21").cast("timestamp_ntz"), 0)
+                    .when(F.col("ts") < F.lit("2024-01-26").cast("timestamp_ntz"), 1).otherwise(2).alias("part"))
+    schema = new.drop("part").schema
+
+    def run():
+        return xs.drift_stream(xs.file_stream(spark, f"{base}/in", schema), profile, f"{base}/out", f"{base}/state")
+
+    arrivals(new, f"{base}/in", ["a", "b", "c"], F.col("part"), run)
+    return rounded(spark.read.parquet(f"{base}/out/*"))
+
+
+@query("x03_pause_sessions_stream")
+def x03(spark, sf):
+    base = shared_folder(spark, "pause-stream")
+    s = samples(spark, sf)
+
+    def run():
+        st = xs.file_stream(spark, f"{base}/in", s.schema)
+        return xs.to_files(xs.pause_sessions_stream(st, "6 hours", 900.0, "13 hours"), f"{base}/out", f"{base}/state")
+
+    arrivals(s, f"{base}/in", ["a", "b", "c"], part_of(F.col("ts")), run)
+    return spark.read.parquet(f"{base}/out")
+
+
+SK = "CASE WHEN min(x) < max(x) THEN sqrt(count(*)) * sum(d*d*d) / pow(sum(d*d), 1.5) END"
+KU = "CASE WHEN min(x) < max(x) THEN count(*) * sum(d*d*d*d) / pow(sum(d*d), 2) - 3 END"
+
+
+@query("x04_windowed_stats_stream", sql=f"""
+    WITH w AS (SELECT user_id::VARCHAR AS audio_id, value AS x, time_bucket(INTERVAL 1 day, ts) - to_days(k::INT) AS s FROM events, range(2) t(k)),
+    d AS (SELECT *, x - avg(x) OVER (PARTITION BY audio_id, s) AS d FROM w)
+    SELECT audio_id, s AS start, s + INTERVAL 2 day AS "end", count(*) AS n, {r('avg(x)', 'mean', 9)}, {r('var_pop(x)', 'variance', 9)}, {r('min(x)', 'min', 9)}, {r('max(x)', 'max', 9)},
+    {r(SK, 'skewness', 9)}, {r(KU, 'kurtosis', 9)} FROM d WHERE s + INTERVAL 2 day <= (SELECT max(ts) - INTERVAL 10 minute FROM events) GROUP BY audio_id, s""")
+def x04(spark, sf):
+    base = shared_folder(spark, "stats-stream")
+    s = samples(spark, sf)
+
+    def run():
+        st = xs.file_stream(spark, f"{base}/in", s.schema)
+        return xs.to_files(xs.windowed_stats_stream(st, "2 days", "1 day"), f"{base}/out", f"{base}/state")
+
+    arrivals(s, f"{base}/in", ["a", "b", "c"], part_of(F.col("ts")), run)
+    out = spark.read.parquet(f"{base}/out")
+    return rounded(out.withColumn("start", F.col("start").cast("timestamp_ntz")).withColumn("end", F.col("end").cast("timestamp_ntz")), 9)
