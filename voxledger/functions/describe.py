@@ -18,13 +18,25 @@ EXTENDED = ["mean", "std_dev", "variance", "min", "max", "median", "range", "ske
             "fft_real_mean", "fft_imag_mean"]
 
 
-def shape_moments(x: np.ndarray) -> tuple[float, float]:
-    """Population skewness and excess kurtosis; NaN unless two values differ."""
-    if x.min() == x.max():
-        return np.nan, np.nan
-    d = x - x.mean()
-    m2 = np.mean(d * d)
-    return np.mean(d ** 3) / m2 ** 1.5, np.mean(d ** 4) / m2 ** 2 - 3
+def sorted_quantiles(ordered: np.ndarray, probs: list[float]) -> np.ndarray:
+    """Linear quantiles of rows that are sorted already; (rows, probs)."""
+    h = (ordered.shape[1] - 1) * np.asarray(probs)
+    lo = np.floor(h).astype(np.int64)
+    a, b = ordered[:, lo], ordered[:, np.minimum(lo + 1, ordered.shape[1] - 1)]
+    return a + (b - a) * (h - lo)
+
+
+def shape_moments(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Mean, population variance, skewness and excess kurtosis of every row.
+
+    The last two are NaN unless two values of the row differ.
+    """
+    mean = x.mean(axis=1)
+    d = x - mean[:, None]
+    d2 = d * d
+    var = d2.mean(axis=1)
+    safe = np.where(x.min(axis=1) < x.max(axis=1), var, np.nan)
+    return mean, var, (d2 * d).mean(axis=1) / safe ** 1.5, (d2 * d2).mean(axis=1) / safe ** 2 - 3
 
 
 def peak_positions(x: np.ndarray) -> np.ndarray:
@@ -38,47 +50,66 @@ def peak_positions(x: np.ndarray) -> np.ndarray:
     return (starts[top] + ends[top]) // 2
 
 
-def summary(x: np.ndarray) -> list[float]:
-    if len(x) == 0:
-        return [np.nan] * len(MEASURES)
-    q25, q50, q75 = np.percentile(x, [25, 50, 75])
-    skew, kurt = shape_moments(x)
-    lo, hi = x.min(), x.max()
-    return [x.mean(), x.std(), x.var(), lo, hi, hi - lo, q25, q50, q75, skew, kurt]
+def summary(x: np.ndarray) -> np.ndarray:
+    """MEASURES of every row of a (rows, n) matrix."""
+    mean, var, skew, kurt = shape_moments(x)
+    o = np.sort(x, axis=1)
+    q = sorted_quantiles(o, [0.25, 0.5, 0.75])
+    lo, hi = o[:, 0], o[:, -1]
+    return np.column_stack([mean, np.sqrt(var), var, lo, hi, hi - lo, q, skew, kurt])
 
 
-def descriptive(x: np.ndarray) -> list[float]:
-    if len(x) == 0:
-        return [np.nan] * len(DESCRIPTIVE)
-    p = peak_positions(x)
-    return [x.mean(), x.var(), *shape_moments(x), *np.percentile(x, [10, 25, 50, 75, 90]),
-            x[p].mean() if len(p) else 0.0]
+def descriptive(x: np.ndarray) -> np.ndarray:
+    """DESCRIPTIVE of every row."""
+    q = sorted_quantiles(np.sort(x, axis=1), [0.1, 0.25, 0.5, 0.75, 0.9])
+    mean, var, skew, kurt = shape_moments(x)
+    height = np.zeros(len(x))
+    for i, row in enumerate(x):
+        p = peak_positions(row)
+        height[i] = row[p].mean() if len(p) else 0.0
+    return np.column_stack([mean, var, skew, kurt, q, height])
 
 
-def extended(x: np.ndarray) -> list[float]:
-    if len(x) == 0:
-        return [np.nan] * len(EXTENDED)
+def _extended_row(x: np.ndarray) -> list[float]:
     roll = np.lib.stride_tricks.sliding_window_view(x, 3) if len(x) >= 3 else np.empty((0, 3))
     p = peak_positions(x)
     share = np.unique(x, return_counts=True)[1] / len(x)
     a, b = x[1:], x[:-1]
     lag1 = np.corrcoef(a, b)[0, 1] if len(a) > 1 and np.ptp(a) > 0 and np.ptp(b) > 0 else np.nan
     spec = np.fft.fft(x)
-    q = np.percentile(x, [10, 25, 50, 75, 90])
-    return [x.mean(), x.std(), x.var(), x.min(), x.max(), q[2], np.ptp(x), *shape_moments(x), *q,
-            roll.mean() if len(roll) else np.nan, roll.std(axis=1, ddof=1).mean() if len(roll) else np.nan,
+    return [roll.mean() if len(roll) else np.nan, roll.std(axis=1, ddof=1).mean() if len(roll) else np.nan,
             float(len(p)), x[p].mean() if len(p) else 0.0, float(-(share * np.log(share)).sum()), lag1,
             spec.real.mean(), spec.imag.mean()]
 
 
+def extended(x: np.ndarray) -> np.ndarray:
+    """EXTENDED of every row."""
+    mean, var, skew, kurt = shape_moments(x)
+    o = np.sort(x, axis=1)
+    q = sorted_quantiles(o, [0.1, 0.25, 0.5, 0.75, 0.9])
+    lo, hi = o[:, 0], o[:, -1]
+    return np.column_stack([mean, np.sqrt(var), var, lo, hi, q[:, 2], hi - lo, skew, kurt, q,
+                            np.array([_extended_row(r) for r in x]).reshape(len(x), 8)])
+
+
+def by_length(arrays: list, fn, width: int) -> np.ndarray:
+    """Apply a row-wise ``fn`` to arrays of any length, those of equal length together."""
+    out = np.full((len(arrays), width), np.nan)
+    sizes = np.array([0 if v is None else len(v) for v in arrays], np.int64)
+    for n in np.unique(sizes[sizes > 0]):
+        at = np.flatnonzero(sizes == n)
+        with np.errstate(all="ignore"):
+            out[at] = fn(np.stack([np.asarray(arrays[i], np.float64) for i in at]))
+    return out
+
+
 def _struct_udf(fn, names: list[str], keep: list[str], prefix: str = ""):
-    out = [prefix + n for n in keep]
+    cols = [prefix + n for n in keep]
     at = [names.index(n) for n in keep]
 
-    @F.pandas_udf(", ".join(f"`{n}` double" for n in out))
+    @F.pandas_udf(", ".join(f"`{n}` double" for n in cols))
     def apply(s: pd.Series) -> pd.DataFrame:
-        rows = [fn(np.asarray(v, np.float64)) if v is not None else [np.nan] * len(names) for v in s]
-        return pd.DataFrame(np.asarray(rows, np.float64).reshape(-1, len(names))[:, at], columns=out)
+        return pd.DataFrame(by_length(s.to_list(), fn, len(names))[:, at], columns=cols)
 
     return apply
 
@@ -101,14 +132,11 @@ def summaries_of(col: Column | str, n: int, measures: list[str] | None = None, n
     at = [MEASURES.index(m) for m in keep]
     out = [f"{name}_{i + 1}_{m}" for i in range(n) for m in keep]
 
-    def one(m) -> np.ndarray:
-        if m is None or not len(m):
-            return np.full(len(out), np.nan)
-        rows = np.stack([np.asarray(v, np.float64) for v in m])
-        return np.concatenate([np.asarray(summary(rows[:, i]))[at] for i in range(n)])
-
     @F.pandas_udf(", ".join(f"`{c}` double" for c in out))
     def apply(s: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(np.stack([one(m) for m in s]) if len(s) else np.empty((0, len(out))), columns=out)
+        # every coefficient of every recording is one row of values over frames
+        tracks = [None if m is None or not len(m) else np.stack([np.asarray(v, np.float64) for v in m]).T for m in s]
+        flat = [None if t is None else t[i] for t in tracks for i in range(n)]
+        return pd.DataFrame(by_length(flat, summary, len(MEASURES))[:, at].reshape(len(s), len(out)), columns=out)
 
     return apply(col)

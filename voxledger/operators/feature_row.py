@@ -22,6 +22,8 @@ GROUPS = {
 TRACKS = ["spectral_centroid", "spectral_bandwidth", "spectral_contrast", "spectral_flatness", "spectral_rolloff", "spectral_flux"]
 ORDER = ["spectral_centroid", "spectral_bandwidth", "spectral_contrast", "spectral_flatness", "spectral_rolloff",
          "zero_crossing_rate", "spectral_flux", "f0", "energy"]
+PERTURBATION = {"jitter": ["jitter_local", "jitter_rap", "jitter_ppq5"],
+                "shimmer": ["shimmer_local", "shimmer_apq3", "shimmer_apq5", "shimmer_dda"]}
 N_MFCC, N_CHROMA = 13, 12
 
 
@@ -133,11 +135,8 @@ def feature_row(df: DataFrame, include: list[str] | None = None, opts: Options =
     if want & {"jitter", "shimmer"}:
         pulses = vo.pulses(df, opts.pitch_low, opts.pitch_high, opts.pitch_step)
         longest = max(0.02, 2.0 / opts.pitch_low)
-        if "jitter" in want:
-            parts.append(vo.jitter(pulses, hi=longest).select(*KEEP, "jitter_local", "jitter_rap", "jitter_ppq5"))
-        if "shimmer" in want:
-            parts.append(vo.shimmer(pulses, hi=longest).select(
-                *KEEP, "shimmer_local", "shimmer_apq3", "shimmer_apq5", "shimmer_dda"))
+        cols = [c for f, cs in PERTURBATION.items() if f in want for c in cs]
+        parts.append(vo.perturbation(pulses, hi=longest).select(*KEEP, *cols))
     if "speech_rate" in want:
         parts.append(vo.speech_rate(df, opts.n_fft, opts.hop).drop("originaldur"))
     for part in parts:

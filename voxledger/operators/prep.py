@@ -100,9 +100,28 @@ def prepare(batch: DataFrame, state: PipelineModel, selected: list[str]) -> Data
 
 # --- redundant columns ---------------------------------------------------------
 
+def _profile(df: DataFrame, columns: list[str], id_col: str | None = None, middle: bool = False) -> dict[str, dict]:
+    """One pass: range and mean of every column, and on request an order-free hash of
+    (id, value) pairs and an approximate median."""
+    aggs = []
+    for c in columns:
+        v = _present(c)
+        aggs += [F.min(v).alias(f"lo_{c}"), F.max(v).alias(f"hi_{c}"), F.avg(v).alias(f"mean_{c}")]
+        if id_col:
+            aggs.append(F.sum(F.xxhash64(F.col(id_col), F.col(c)).cast("decimal(38,0)")).alias(f"hash_{c}"))
+        if middle:
+            aggs.append(F.percentile_approx(v, 0.5, 1000).alias(f"mid_{c}"))
+    row = df.agg(*aggs).first().asDict()
+    return {c: {k: row.get(f"{k}_{c}") for k in ("lo", "hi", "mean", "hash", "mid")} for c in columns}
+
+
+def _constant(p: dict) -> bool:
+    return p["lo"] is not None and p["lo"] == p["hi"]
+
+
 def constant_columns(df: DataFrame, columns: list[str]) -> list[str]:
-    row = df.agg(*[(F.min(_present(c)) == F.max(_present(c))).alias(c) for c in columns]).first()
-    return [c for c in columns if row[c]]
+    prof = _profile(df, columns)
+    return [c for c in columns if _constant(prof[c])]
 
 
 def top_value_share(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -112,34 +131,52 @@ def top_value_share(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.groupBy("feature").agg((F.max("n") / F.sum("n")).alias("top_share"))
 
 
-def quasi_constant_columns(df: DataFrame, columns: list[str], threshold: float = 0.99) -> list[str]:
-    hit = {r[0] for r in top_value_share(df, columns).where(F.col("top_share") > threshold).collect()}
-    return [c for c in columns if c in hit]
+def _verify(df: DataFrame, middles: dict[str, float], pairs: list[tuple[str, str]]) -> tuple[dict[str, float], list[bool]]:
+    """One pass: share of the candidate value per column, and which column pairs agree on every row."""
+    aggs = [F.try_divide(F.count_if(_present(c) == m), F.count(_present(c))).alias(f"s_{c}") for c, m in middles.items()]
+    aggs += [F.count_if(~F.col(a).eqNullSafe(F.col(b))).alias(f"p{k}") for k, (a, b) in enumerate(pairs)]
+    if not aggs:
+        return {}, []
+    row = df.agg(*aggs).first()
+    return {c: row[f"s_{c}"] or 0.0 for c in middles}, [row[f"p{k}"] == 0 for k in range(len(pairs))]
 
 
-def duplicate_columns(df: DataFrame, columns: list[str], id_col: str = "audio_id") -> list[str]:
-    """Columns equal to an earlier one.
+def quasi_constant_columns(df: DataFrame, columns: list[str], threshold: float = 0.99) -> list[str]:
+    """Columns whose commonest value exceeds the threshold share.
 
-    One pass sums a hash of (id, value) per column without regard to order;
-    columns with equal sums are then compared row by row in a second pass.
+    A value with more than half of the rows covers the middle ranks, so an
+    approximate median must be that value; its share is then counted exactly,
+    and the distinct values are never shuffled. Low thresholds count them all.
     """
-    h = lambda c: F.xxhash64(F.col(id_col), F.col(c)).cast("decimal(38,0)")
-    row = df.agg(*[F.sum(h(c)).alias(c) for c in columns]).first()
+    if threshold >= 0.55:
+        prof = _profile(df, columns, middle=True)
+        share, _ = _verify(df, {c: prof[c]["mid"] for c in columns if prof[c]["mid"] is not None}, [])
+        hit = {c for c, s in share.items() if s > threshold}
+    else:
+        hit = {r[0] for r in top_value_share(df, columns).where(F.col("top_share") > threshold).collect()}
+    return [c for c in columns if c in hit]
+
+
+def _candidate_pairs(prof: dict[str, dict], columns: list[str]) -> list[tuple[str, str]]:
+    """(first, later) columns with equal hash sums; equality is transitive, so the first one is enough."""
     groups: dict[object, list[str]] = defaultdict(list)
     for c in columns:
-        groups[row[c]].append(c)
-    pairs = [(a, b) for g in groups.values() for a, b in combinations(g, 2)]
-    if not pairs:
-        return []
-    same = df.agg(*[F.count_if(~F.col(a).eqNullSafe(F.col(b))).alias(f"p{k}")
-                    for k, (a, b) in enumerate(pairs)]).first()
-    drop = {b for k, (_, b) in enumerate(pairs) if same[k] == 0}
+        groups[prof[c]["hash"]].append(c)
+    return [pair for g in groups.values() for pair in combinations(g, 2)]
+
+
+def duplicate_columns(df: DataFrame, columns: list[str], id_col: str = "audio_id") -> list[str]:
+    """Columns equal to an earlier one: equal hash sums first, then a row by row check."""
+    pairs = _candidate_pairs(_profile(df, columns, id_col), columns)
+    _, same = _verify(df, {}, pairs)
+    drop = {b for ok, (_, b) in zip(same, pairs) if ok}
     return [c for c in columns if c in drop]
 
 
-def correlated_columns(df: DataFrame, columns: list[str], threshold: float = 0.9) -> list[str]:
+def correlated_columns(df: DataFrame, columns: list[str], threshold: float = 0.9,
+                       centre: dict[str, float] | None = None) -> list[str]:
     """Columns with |r| above the threshold to any earlier column, dropped or not."""
-    hits = correlation_matrix(df, columns).where(F.abs("r") > threshold)
+    hits = correlation_matrix(df, columns, centre).where(F.abs("r") > threshold)
     drop = {r[0] for r in hits.select("feature_b").distinct().collect()}
     return [c for c in columns if c in drop]
 
@@ -156,14 +193,24 @@ def correlated_greedy(df: DataFrame, columns: list[str], threshold: float = 0.6)
     return [c for c in columns if c not in dropped]
 
 
-def select_features(train: DataFrame, columns: list[str], quasi: float = 0.99, corr: float = 0.9) -> list[str]:
-    """Names kept after constant, quasi-constant, duplicate and correlated columns go, learned on train."""
-    kept = list(columns)
-    for step in (constant_columns, lambda d, c: quasi_constant_columns(d, c, quasi), duplicate_columns,
-                 lambda d, c: correlated_columns(d, c, corr)):
-        gone = set(step(train, kept))
-        kept = [c for c in kept if c not in gone]
-    return kept
+def select_features(train: DataFrame, columns: list[str], quasi: float = 0.99, corr: float = 0.9,
+                    id_col: str = "audio_id") -> list[str]:
+    """Names kept after constant, quasi-constant, duplicate and correlated columns go, learned on train.
+
+    Three passes over the table: a profile, a check of the candidates it names,
+    and the cross products of what is left.
+    """
+    if quasi < 0.55:
+        raise ValueError("quasi must be at least 0.55; use quasi_constant_columns for lower thresholds")
+    prof = _profile(train, columns, id_col, middle=True)
+    kept = [c for c in columns if not _constant(prof[c])]
+    pairs = _candidate_pairs(prof, kept)
+    share, same = _verify(train, {c: prof[c]["mid"] for c in kept if prof[c]["mid"] is not None}, pairs)
+    kept = [c for c in kept if share.get(c, 0.0) <= quasi]
+    twins = {b for ok, (a, b) in zip(same, pairs) if ok and a in kept}
+    kept = [c for c in kept if c not in twins]
+    gone = set(correlated_columns(train, kept, corr, {c: prof[c]["mean"] for c in kept}))
+    return [c for c in kept if c not in gone]
 
 
 def remove_redundant(train: DataFrame, test: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:

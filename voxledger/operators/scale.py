@@ -35,15 +35,27 @@ def position_in_group(df: DataFrame, group: list[str], coarse: str,
             .drop("_local", "_shift"))
 
 
-def running_sums(df: DataFrame, group: list[str], order: list[str | Column],
-                 sums: dict[str, str]) -> DataFrame:
+SMALL_BYTES = 32 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size estimate of the optimizer; for filters and aggregates it errs on the high side."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def running_sums(df: DataFrame, group: list[str], order: list[str | Column], sums: dict[str, str],
+                 small_bytes: int = SMALL_BYTES) -> DataFrame:
     """Inclusive running sum of each ``sums`` input along ``order`` per group.
 
-    ``sums`` maps output name to input column. Rows are range-partitioned on
-    group and order, so one large group spreads over many partitions; each
-    partition sums its own rows and receives the totals of those before it.
-    Rows that compare equal on group and order must have been merged before.
+    ``sums`` maps output name to input column. Rows that compare equal on group
+    and order must have been merged before. Below ``small_bytes`` a window per
+    group does; beyond it rows are range-partitioned on group and order, so one
+    large group spreads over many partitions, and each partition adds the
+    totals of those before it to its own sums.
     """
+    if estimated_bytes(df) < small_bytes:
+        w = W.partitionBy(*(group or [F.lit(0)])).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(c).over(w).alias(o) for o, c in sums.items()])
     fixed = checkpointed(df.orderBy(*group, *order)).withColumn("_part", F.spark_partition_id())
     local = W.partitionBy("_part", *group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     within = fixed.select("*", *[F.sum(c).over(local).alias(f"_in_{o}") for o, c in sums.items()])
@@ -57,10 +69,10 @@ def running_sums(df: DataFrame, group: list[str], order: list[str | Column],
         (F.col(f"_in_{o}") + F.col(f"_off_{o}")).alias(o) for o in sums])
 
 
-def global_position(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
+def global_position(df: DataFrame, order: list[str], name: str = "pos", small_bytes: int = SMALL_BYTES) -> DataFrame:
     """0-based position of every row in the total order."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
-    out = running_sums(one, [], order, {"_pos": "_one"})
+    out = running_sums(one, [], order, {"_pos": "_one"}, small_bytes)
     return out.select(*df.columns, (F.col("_pos") - 1).alias(name))
 
 
@@ -114,5 +126,4 @@ def spread_small(df: DataFrame) -> DataFrame:
     inputs already have enough partitions and pass unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * SMALL_BYTES_PER_CORE else df
+    return df.repartition(cores) if estimated_bytes(df) < cores * SMALL_BYTES_PER_CORE else df

@@ -262,18 +262,19 @@ def rank_features(tests: DataFrame, n: int, by: tuple[str, str] = ("t_p_val", "u
 
 # --- correlation -----------------------------------------------------------
 
-FEW_COLUMNS = 24
+FEW_COLUMNS = 3
 
 
-def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: list[str], centre: dict[str, float] | None = None) -> DataFrame:
     """Pearson r of every column pair i < j, over rows where both are present.
 
     Few columns: one aggregation of ``corr`` expressions. Many: each task adds
-    up its own cross-product matrices and only those are shuffled.
+    up its own cross-product matrices and only those are shuffled. ``centre``
+    gives column means known from an earlier pass.
     """
     if len(columns) <= FEW_COLUMNS:
         return _pairwise_corr(df, columns)
-    return _gram_corr(df, columns)
+    return _gram_corr(df, columns, centre)
 
 
 def _pairwise_corr(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -285,8 +286,8 @@ def _pairwise_corr(df: DataFrame, columns: list[str]) -> DataFrame:
     return out.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
 
 
-def _gram_corr(df: DataFrame, columns: list[str]) -> DataFrame:
-    centre = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
+def _gram_corr(df: DataFrame, columns: list[str], centre: dict[str, float] | None = None) -> DataFrame:
+    centre = centre or df.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
     mean = np.array([centre[c] if centre[c] is not None else 0.0 for c in columns])
     k = len(columns)
     iu, ju = np.triu_indices(k, 1)
@@ -302,10 +303,9 @@ def _gram_corr(df: DataFrame, columns: list[str]) -> DataFrame:
         yield pd.DataFrame({"i": iu.astype(np.int32), "j": ju.astype(np.int32), "n": acc[0], "sa": acc[1],
                             "sb": acc[2], "qa": acc[3], "qb": acc[4], "p": acc[5]})
 
-    spark = df.sparkSession
-    tasks = max(4 * spark.sparkContext.defaultParallelism, 1)
-    parts = (df.select(*[F.col(c).cast("double") for c in columns]).coalesce(tasks)
-             .mapInPandas(partial, "i int, j int, n double, sa double, sb double, qa double, qb double, p double"))
+    tasks = max(4 * df.sparkSession.sparkContext.defaultParallelism, 1)
+    rows = spread_small(df.select(*[F.col(c).cast("double") for c in columns])).coalesce(tasks)
+    parts = (rows.mapInPandas(partial, "i int, j int, n double, sa double, sb double, qa double, qb double, p double"))
     g = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "p")])
     n = _nz(F.col("n"))
     cov = F.col("p") - F.col("sa") * F.col("sb") / n

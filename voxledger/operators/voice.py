@@ -108,38 +108,58 @@ def _spread(df: DataFrame, keys, col: str, joined: str, points: int, name: str)
     return df.withColumn(name, F.when(full, F.abs(F.col(col) - F.avg(col).over(around))))
 
 
+def _jitter_steps(df: DataFrame, keys, lo: float, hi: float, factor: float) -> DataFrame:
+    n = _neighbours(df, keys, lo, hi, factor)
+    n = n.withColumn("_j1", F.when(F.col("link"), F.abs(F.col("period") - F.col("prev"))))
+    for k in (3, 5):
+        n = _spread(n, keys, "period", "link", k, f"_j{k}")
+    return n
+
+
+def _shimmer_steps(df: DataFrame, keys, lo: float, hi: float, amp_factor: float) -> DataFrame:
+    before = F.lag("amp").over(W.partitionBy(*keys).orderBy("i"))
+    a = df.withColumn("amp_prev", before)
+    ratio = F.greatest("amp", "amp_prev") / F.nullif(F.least("amp", "amp_prev"), F.lit(0.0))
+    joined = F.col("period").between(lo, hi) & (F.col("amp") > 0) & (F.col("amp_prev") > 0) & (ratio <= amp_factor)
+    a = a.withColumn("amp_link", F.coalesce(joined, F.lit(False)))
+    a = a.withColumn("_s1", F.when(F.col("amp_link"), F.abs(F.col("amp") - F.col("amp_prev")))).withColumn(
+        "_sdb", F.when(F.col("amp_link"), F.abs(20 * F.log10(F.col("amp") / F.col("amp_prev")))))
+    for k in (3, 5, 11):
+        a = _spread(a, keys, "amp", "amp_link", k, f"_s{k}")
+    return a
+
+
+def _jitter_aggs() -> list[Column]:
+    t = F.nullif(F.avg(F.when(F.col("ok"), F.col("period"))), F.lit(0.0))
+    return [(F.avg("_j1") / t).alias("jitter_local"), F.avg("_j1").alias("jitter_absolute"),
+            (F.avg("_j3") / t).alias("jitter_rap"), (F.avg("_j5") / t).alias("jitter_ppq5"),
+            (3 * F.avg("_j3") / t).alias("jitter_ddp")]
+
+
+def _shimmer_aggs() -> list[Column]:
+    m = F.nullif(F.avg("amp"), F.lit(0.0))
+    return [(F.avg("_s1") / m).alias("shimmer_local"), F.avg("_sdb").alias("shimmer_db"),
+            (F.avg("_s3") / m).alias("shimmer_apq3"), (F.avg("_s5") / m).alias("shimmer_apq5"),
+            (F.avg("_s11") / m).alias("shimmer_apq11"), (3 * F.avg("_s3") / m).alias("shimmer_dda")]
+
+
 def jitter(pulse_rows: DataFrame, lo: float = 0.0001, hi: float = 0.02, factor: float = 1.3,
            keys: tuple[str, ...] = KEEP) -> DataFrame:
     """local, rap, ppq5, ddp relative to the mean period, and the absolute value in seconds."""
-    n = _neighbours(pulse_rows, keys, lo, hi, factor)
-    n = n.withColumn("_d1", F.when(F.col("link"), F.abs(F.col("period") - F.col("prev"))))
-    n = _spread(n, keys, "period", "link", 3, "_d3")
-    n = _spread(n, keys, "period", "link", 5, "_d5")
-    g = n.groupBy(*keys).agg(F.avg(F.when(F.col("ok"), F.col("period"))).alias("t"), F.avg("_d1").alias("d1"),
-                             F.avg("_d3").alias("d3"), F.avg("_d5").alias("d5"))
-    t = F.nullif(F.col("t"), F.lit(0.0))
-    return g.select(*keys, (F.col("d1") / t).alias("jitter_local"), F.col("d1").alias("jitter_absolute"),
-                    (F.col("d3") / t).alias("jitter_rap"), (F.col("d5") / t).alias("jitter_ppq5"),
-                    (3 * F.col("d3") / t).alias("jitter_ddp"))
+    return _jitter_steps(pulse_rows, keys, lo, hi, factor).groupBy(*keys).agg(*_jitter_aggs())
 
 
 def shimmer(pulse_rows: DataFrame, lo: float = 0.0001, hi: float = 0.02, amp_factor: float = 1.6,
             keys: tuple[str, ...] = KEEP) -> DataFrame:
     """local, dB, apq3, apq5, apq11 and dda; neighbours must be one valid period and no amplitude jump apart."""
-    w = W.partitionBy(*keys).orderBy("i")
-    a = pulse_rows.withColumn("prev", F.lag("amp").over(w))
-    ratio = F.greatest("amp", "prev") / F.nullif(F.least("amp", "prev"), F.lit(0.0))
-    link = F.col("period").between(lo, hi) & (F.col("amp") > 0) & (F.col("prev") > 0) & (ratio <= amp_factor)
-    a = a.withColumn("link", F.coalesce(link, F.lit(False)))
-    a = a.withColumn("_d1", F.when(F.col("link"), F.abs(F.col("amp") - F.col("prev")))).withColumn(
-        "_db", F.when(F.col("link"), F.abs(20 * F.log10(F.col("amp") / F.col("prev")))))
-    for k in (3, 5, 11):
-        a = _spread(a, keys, "amp", "link", k, f"_d{k}")
-    g = a.groupBy(*keys).agg(F.avg("amp").alias("m"), *[F.avg(f"_{c}").alias(c) for c in ("d1", "db", "d3", "d5", "d11")])
-    m = F.nullif(F.col("m"), F.lit(0.0))
-    return g.select(*keys, (F.col("d1") / m).alias("shimmer_local"), F.col("db").alias("shimmer_db"),
-                    (F.col("d3") / m).alias("shimmer_apq3"), (F.col("d5") / m).alias("shimmer_apq5"),
-                    (F.col("d11") / m).alias("shimmer_apq11"), (3 * F.col("d3") / m).alias("shimmer_dda"))
+    return _shimmer_steps(pulse_rows, keys, lo, hi, amp_factor).groupBy(*keys).agg(*_shimmer_aggs())
+
+
+def perturbation(pulse_rows: DataFrame, lo: float = 0.0001, hi: float = 0.02, factor: float = 1.3,
+                 amp_factor: float = 1.6, keys: tuple[str, ...] = KEEP) -> DataFrame:
+    """Jitter and shimmer over one sort of the pulses."""
+    steps = _shimmer_steps(_jitter_steps(pulse_rows, keys, lo, hi, factor), keys, lo, hi, amp_factor)
+    return steps.groupBy(*keys).agg(*_jitter_aggs(), *_shimmer_aggs())
 
 
 # --- rates from the intensity track ------------------------------------------------------

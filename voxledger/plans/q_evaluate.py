@@ -73,8 +73,8 @@ def e06(spark, sf):
     lg AS (SELECT k::VARCHAR AS label, (y = k)::INT AS y, CASE k WHEN 0 THEN p0 WHEN 1 THEN p1 WHEN 2 THEN p2 ELSE p3 END AS p FROM score_k, range(4) t(k)),
     rk AS (SELECT label, y, rank() OVER (PARTITION BY label ORDER BY p) + (count(*) OVER (PARTITION BY label, p) - 1) / 2 AS rk FROM lg),
     a AS (SELECT label, sum(y) AS n1, (sum(rk) FILTER (WHERE y = 1) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * (count(*) - sum(y))) AS auc FROM rk GROUP BY 1)
-    SELECT label, {r('auc', 'roc_auc')} FROM a UNION ALL SELECT 'macro', round(avg(auc), 4) FROM a
-    UNION ALL SELECT 'weighted', round(sum(auc * n1) / sum(n1), 4) FROM a""")
+    SELECT label, {r('auc', 'roc_auc')} FROM a UNION ALL SELECT 'macro', {r('avg(auc)', 'roc_auc')} FROM a
+    UNION ALL SELECT 'weighted', {r('sum(auc * n1) / sum(n1)', 'roc_auc')} FROM a""")
 def e07(spark, sf):
     return rounded(ev.one_vs_rest_auc(fx.score_k(spark, sf), [0, 1, 2, 3]))
 

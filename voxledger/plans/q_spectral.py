@@ -39,7 +39,7 @@ def f01(spark, sf):
 
 
 @query("f02_spectrum", "samp_emb", f"""{AM} SELECT {KEYS}, bin, 'decibel' AS kind, {r('20 * log10(ampl)', 'value', 6)} FROM am
-    UNION ALL SELECT {KEYS}, bin, 'energy', round(ampl * ampl, 6) FROM am UNION ALL SELECT {KEYS}, bin, 'power', round(ampl * ampl / c, 6) FROM am""")
+    UNION ALL SELECT {KEYS}, bin, 'energy', {r('ampl * ampl', 'value', 6)} FROM am UNION ALL SELECT {KEYS}, bin, 'power', {r('ampl * ampl / c', 'value', 6)} FROM am""")
 def f02(spark, sf):
     parts = [sp.spectrum(emb(spark, sf), k).select("audio_id", "real_or_fake", "bin", F.lit(k).alias("kind"), "value")
              for k in ("decibel", "energy", "power")]

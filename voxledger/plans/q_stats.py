@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from ..functions.describe import DESCRIPTIVE, MEASURES
 from ..operators import stats as st
 from . import fixtures as fx
-from .registry import query, rounded
+from .registry import NUDGE, query, rounded
 
 
 def r(x: str, name: str, digits: int = 4) -> str:
+    x = f"({x}) + {NUDGE}::DOUBLE" if digits <= 7 else x
     return f'round({x}, {digits}) + 0.0 AS "{name}"'
 
 

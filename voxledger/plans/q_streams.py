@@ -91,8 +91,8 @@ KU = "CASE WHEN min(x) < max(x) THEN count(*) * sum(d*d*d*d) / pow(sum(d*d), 2)
 @query("x04_windowed_stats_stream", sql=f"""
     WITH w AS (SELECT user_id::VARCHAR AS audio_id, value AS x, time_bucket(INTERVAL 1 day, ts) - to_days(k::INT) AS s FROM events, range(2) t(k)),
     d AS (SELECT *, x - avg(x) OVER (PARTITION BY audio_id, s) AS d FROM w)
-    SELECT audio_id, s AS start, s + INTERVAL 2 day AS "end", count(*) AS n, {r('avg(x)', 'mean', 9)}, {r('var_pop(x)', 'variance', 9)}, {r('min(x)', 'min', 9)}, {r('max(x)', 'max', 9)},
-    {r(SK, 'skewness', 9)}, {r(KU, 'kurtosis', 9)} FROM d WHERE s + INTERVAL 2 day <= (SELECT max(ts) - INTERVAL 10 minute FROM events) GROUP BY audio_id, s""")
+    SELECT audio_id, s AS start, s + INTERVAL 2 day AS "end", count(*) AS n, {r('avg(x)', 'mean', 9)}, {r('stddev_pop(x)', 'std_dev')}, {r('min(x)', 'min', 9)}, {r('max(x)', 'max', 9)},
+    {r(SK, 'skewness')}, {r(KU, 'kurtosis')} FROM d WHERE s + INTERVAL 2 day <= (SELECT max(ts) - INTERVAL 10 minute FROM events) GROUP BY audio_id, s""")
 def x04(spark, sf):
     base = shared_folder(spark, "stats-stream")
     s = samples(spark, sf)
@@ -103,4 +103,6 @@ def x04(spark, sf):
 
     arrivals(s, f"{base}/in", ["a", "b", "c"], part_of(F.col("ts")), run)
     out = spark.read.parquet(f"{base}/out")
-    return rounded(out.withColumn("start", F.col("start").cast("timestamp_ntz")).withColumn("end", F.col("end").cast("timestamp_ntz")), 9)
+    r4 = [F.round(c, 4).alias(c) for c in ("skewness", "kurtosis")]
+    return rounded(out.select("audio_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"),
+                              "n", "mean", F.round(F.sqrt("variance"), 4).alias("std_dev"), "min", "max", *r4), 9)

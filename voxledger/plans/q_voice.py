@@ -82,8 +82,8 @@ def v06(spark, sf):
 @query("v07_perturbation", "pulses", f"""{JIT}, {SHIM.replace('a AS', 'a2 AS', 1).replace('FROM a)', 'FROM a2)').replace('c AS', 'c2 AS', 1).replace('FROM c)', 'FROM c2)').replace('d AS', 'd2 AS', 1).replace('FROM d GROUP', 'FROM d2 GROUP')}
     SELECT audio_id, {r('j.d1', 'jitter_absolute')}, {r('3 * j.d3 / t', 'jitter_ddp')}, {r('db', 'shimmer_db')}, {r('d11 / m', 'shimmer_apq11')} FROM j JOIN s USING (audio_id)""")
 def v07(spark, sf):
-    j = _jitter(spark, sf).select("audio_id", "jitter_absolute", "jitter_ddp")
-    return rounded(j.join(_shimmer(spark, sf).select("audio_id", "shimmer_db", "shimmer_apq11"), "audio_id"))
+    p = vo.perturbation(fx.pulses(spark, sf), 0.0, 1e6, 1e3, 20.0, ("audio_id",))
+    return rounded(p.select("audio_id", "jitter_absolute", "jitter_ddp", "shimmer_db", "shimmer_apq11"))
 
 
 @query("v08_hnr_db")
@@ -135,11 +135,11 @@ def prefixed(alias: str, name: str) -> str:
     l AS (SELECT {KEYS}, count(*) AS c FROM samp_user GROUP BY {KEYS}),
     mx AS (SELECT *, max(db + 10 * log10(1 / 4e-10)) OVER (PARTITION BY {KEYS}) AS mx FROM lv),
     sr AS (SELECT {KEYS}, count(*) FILTER (WHERE db + 10 * log10(1 / 4e-10) > 0.3 * mx) AS k FROM mx GROUP BY {KEYS})
-    SELECT {KEYS}, {prefixed('hz', 'zero_crossing_rate')}, {prefixed('he', 'energy')}, {r('coalesce(k, 0) / (c / 16)', 'speaking_rate', 9)}, {prefixed('hp', 'pause')}
+    SELECT {KEYS}, {prefixed('hz', 'zero_crossing_rate')}, {prefixed('he', 'energy')}, {r('coalesce(k, 0) / (c / 16)', 'speaking_rate', 7)}, {prefixed('hp', 'pause')}
     FROM l LEFT JOIN hz USING ({KEYS}) LEFT JOIN he USING ({KEYS}) LEFT JOIN hp USING ({KEYS}) LEFT JOIN sr USING ({KEYS})""")
 def h06(spark, sf):
     opts = row.Options(n_fft=W_, hop=H_, target_sr=None, pause_db=-2.5, min_silent=0.6, min_sounding=0.6)
-    return rounded(row.feature_row(fx.sig_user(spark, sf), ["zero_crossing_rate", "energy", "speaking_rate", "pauses"], opts), 9)
+    return rounded(row.feature_row(fx.sig_user(spark, sf), ["zero_crossing_rate", "energy", "speaking_rate", "pauses"], opts), 7)
 
 
 @query("h06_feature_row_all")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .fixtures import with_views
 
@@ -25,9 +25,9 @@ def query(name: str, views: str = "", sql: str | None = None) -> Callable[[Query
     return add
 
 
-def r4(c: Column | str, digits: int = 4) -> Column:
-    """Round so that sums taken in another order compare equal."""
-    return F.round(F.col(c) if isinstance(c, str) else c, digits)
+# Added before rounding on both sides: a value that lies exactly between two
+# rounded neighbours would otherwise fall either way with the order of a sum.
+NUDGE = 1e-9
 
 
 def rounded(df: DataFrame, digits: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -37,7 +37,8 @@ def rounded(df: DataFrame, digits: int = 4, keep: tuple[str, ...] = ()) -> DataF
         kind = f.dataType.simpleString()
         c = F.col(f"`{f.name}`")
         if kind in ("double", "float") and f.name not in keep:
-            c = F.round(c.cast("double"), digits)
+            c = c.cast("double")
+            c = F.round(c + NUDGE if digits <= 7 else c, digits)
         elif kind in ("int", "smallint", "tinyint"):
             c = c.cast("bigint")
         cols.append(c.alias(f.name))
