@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -262,31 +260,12 @@ def rank_features(tests: DataFrame, n: int, by: tuple[str, str] = ("t_p_val", "u
 
 # --- correlation -----------------------------------------------------------
 
-FEW_COLUMNS = 3
-
-
 def correlation_matrix(df: DataFrame, columns: list[str], centre: dict[str, float] | None = None) -> DataFrame:
-    """Pearson r of every column pair i < j, over rows where both are present.
+    """Pearson r of every column pair i < j, over rows where both are present; null for a constant.
 
-    Few columns: one aggregation of ``corr`` expressions. Many: each task adds
-    up its own cross-product matrices and only those are shuffled. ``centre``
-    gives column means known from an earlier pass.
+    Each task adds up its own cross-product matrices and only those are
+    shuffled. ``centre`` gives column means known from an earlier pass.
     """
-    if len(columns) <= FEW_COLUMNS:
-        return _pairwise_corr(df, columns)
-    return _gram_corr(df, columns, centre)
-
-
-def _pairwise_corr(df: DataFrame, columns: list[str]) -> DataFrame:
-    pairs = list(combinations(range(len(columns)), 2))
-    one = df.agg(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(columns[i]).alias("feature_a"),
-                            F.lit(columns[j]).alias("feature_b"), F.corr(columns[i], columns[j]).alias("r")
-                            ).alias(f"p{i}_{j}") for i, j in pairs])
-    out = one.select(F.explode(F.array(*[F.col(f"p{i}_{j}") for i, j in pairs])).alias("p")).select("p.*")
-    return out.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
-
-
-def _gram_corr(df: DataFrame, columns: list[str], centre: dict[str, float] | None = None) -> DataFrame:
     centre = centre or df.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
     mean = np.array([centre[c] if centre[c] is not None else 0.0 for c in columns])
     k = len(columns)
@@ -303,7 +282,8 @@ def _gram_corr(df: DataFrame, columns: list[str], centre: dict[str, float] | Non
         yield pd.DataFrame({"i": iu.astype(np.int32), "j": ju.astype(np.int32), "n": acc[0], "sa": acc[1],
                             "sb": acc[2], "qa": acc[3], "qb": acc[4], "p": acc[5]})
 
-    tasks = max(4 * df.sparkSession.sparkContext.defaultParallelism, 1)
+    # fewer, longer tasks keep the number of partial matrices small
+    tasks = max(4 * df.sparkSession.sparkContext.defaultParallelism, 2000)
     rows = spread_small(df.select(*[F.col(c).cast("double") for c in columns])).coalesce(tasks)
     parts = (rows.mapInPandas(partial, "i int, j int, n double, sa double, sb double, qa double, qb double, p double"))
     g = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "p")])
