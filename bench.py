@@ -23,7 +23,7 @@ def main() -> None:
 
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     spark = build_session("voxledger-bench", cpus)
     spark.sparkContext.setLogLevel("ERROR")
     out: dict[str, float] = {}

@@ -14,11 +14,10 @@ from .stats import to_long
 
 def ks_from_counts(counts: DataFrame, p_limit: float = 0.03) -> DataFrame:
     """KS from (feature, value, n_train, n_new) rows."""
-    cum = running_sums(counts, ["feature"], ["value"], {"c_train": "n_train", "c_new": "n_new"})
-    totals = counts.groupBy("feature").agg(F.sum("n_train").alias("t_train"), F.sum("n_new").alias("t_new"))
-    totals = totals.where((F.col("t_train") > 0) & (F.col("t_new") > 0))
+    cum = running_sums(counts, ["feature"], ["value"], {"c_train": "n_train", "c_new": "n_new"},
+                       {"t_train": "n_train", "t_new": "n_new"}).where((F.col("t_train") > 0) & (F.col("t_new") > 0))
     gap = F.abs(F.col("c_train") / F.col("t_train") - F.col("c_new") / F.col("t_new"))
-    d = cum.join(totals, "feature").groupBy("feature", "t_train", "t_new").agg(F.max(gap).alias("ks_statistic"))
+    d = cum.groupBy("feature", "t_train", "t_new").agg(F.max(gap).alias("ks_statistic"))
     p = ks_pvalue(F.col("ks_statistic"), F.col("t_train"), F.col("t_new"))
     return d.select("feature", "ks_statistic", p.alias("p_value")).withColumn("drifted", F.col("p_value") < p_limit)
 

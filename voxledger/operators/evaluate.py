@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import checkpointed
 from .scale import running_sums
 from .stats import histogram, rank_sums
 
@@ -74,10 +75,9 @@ def roc_points(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """(fpr, tpr, threshold) at every distinct score from high to low, after (0, 0, inf)."""
     c = _score_counts(df, [], p, F.col(y) == 1).withColumn("n_second", F.col("n") - F.col("n_first"))
     c = c.withColumn("_down", -F.col(p))
-    cum = running_sums(c, [], ["_down"], {"tp": "n_first", "fp": "n_second"})
-    total = cum.agg(F.max("tp").alias("ap"), F.max("fp").alias("an")).first()  # one row
-    points = cum.select((F.col("fp") / (total["an"] or None)).alias("fpr"),
-                        (F.col("tp") / (total["ap"] or None)).alias("tpr"), F.col(p).alias("threshold"))
+    cum = running_sums(c, [], ["_down"], {"tp": "n_first", "fp": "n_second"}, {"ap": "n_first", "an": "n_second"})
+    points = cum.select((F.col("fp") / F.nullif("an", F.lit(0))).alias("fpr"),
+                        (F.col("tp") / F.nullif("ap", F.lit(0))).alias("tpr"), F.col(p).alias("threshold"))
     start = df.sparkSession.range(1).select(F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
                                             F.lit(float("inf")).alias("threshold"))
     return start.union(points)
@@ -90,12 +90,11 @@ def one_vs_rest_auc(df: DataFrame, classes: list[int], y: str = "y", prefix: str
         for k in classes])).alias("s")).select("s.*")
     r = rank_sums(_score_counts(long, ["label"], "p", F.col("y") == 1), ["label"], "p")
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
-    per = r.select("label", ((F.col("rank_sum") - n1 * (n1 + 1) / 2) / F.nullif(n1 * n2, F.lit(0.0))).alias("roc_auc"), "n1")
-    # rollup keeps the class rows and adds the total without a second pass
-    both = per.groupBy("label").agg(F.max("roc_auc").alias("roc_auc"), F.max("n1").alias("n1"))
-    total = both.agg(F.avg("roc_auc").alias("macro"),
+    # one row per class, read twice below
+    per = checkpointed(r.select("label", ((F.col("rank_sum") - n1 * (n1 + 1) / 2) / F.nullif(n1 * n2, F.lit(0.0))).alias("roc_auc"), "n1"))
+    total = per.agg(F.avg("roc_auc").alias("macro"),
                      (F.sum(F.col("roc_auc") * F.col("n1")) / F.sum("n1")).alias("weighted"))
-    return both.select("label", "roc_auc").union(
+    return per.select("label", "roc_auc").union(
         total.unpivot([], ["macro", "weighted"], "label", "roc_auc"))
 
 

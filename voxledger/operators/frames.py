@@ -50,16 +50,19 @@ def power_db(ms: Column, ref: float = 1.0) -> Column:
 # --- frames ------------------------------------------------------------------------
 
 def frames(df: DataFrame, window: int | Column, step: int | Column, *, col: str = "samples",
-           keep: tuple[str, ...] = KEEP, ragged: bool = False) -> DataFrame:
+           keep: tuple[str, ...] = KEEP, ragged: bool = False, short: bool = False) -> DataFrame:
     """floor((n - w) / s) + 1 windows per recording, no padding; none when n < w.
 
     ``ragged`` starts a window at every step and keeps the short ones at the end.
+    ``short`` keeps a recording without any window as one row with nulls.
     """
     w = F.lit(window) if isinstance(window, int) else window
     s = F.lit(step) if isinstance(step, int) else step
     room = F.size(col) - (F.lit(1) if ragged else w)
-    cut = df.where(room >= 0).select(*keep, F.col(col).alias("_x"), w.alias("_w"), s.alias("_s"),
-                                     F.explode(F.sequence(F.lit(0), F.floor(room / s).cast("int"))).alias("frame_idx"))
+    starts = F.when(room >= 0, F.sequence(F.lit(0), F.floor(room / s).cast("int")))
+    rows = df if short else df.where(room >= 0)
+    cut = rows.select(*keep, F.col(col).alias("_x"), w.alias("_w"), s.alias("_s"),
+                      (F.explode_outer(starts) if short else F.explode(starts)).alias("frame_idx"))
     return cut.select(*keep, "frame_idx", F.slice("_x", F.col("frame_idx") * F.col("_s") + 1, F.col("_w")).alias("frame"))
 
 
@@ -151,10 +154,10 @@ def resample(df: DataFrame, target_sr: int = 16000) -> DataFrame:
 
 # --- runs of quiet frames ------------------------------------------------------------
 
-def level_frames(df: DataFrame, window: int, step: int, ref: float = 1.0) -> DataFrame:
+def level_frames(df: DataFrame, window: int, step: int, ref: float = 1.0, short: bool = False) -> DataFrame:
     """(recording, frame_idx, start, end, db): frame i stands for samples [i step, (i + 1) step), the last one for the rest."""
     sized = df.withColumn("_n", F.size("samples")).withColumn("_sr", F.col("sampling_rate"))
-    f = frames(sized, window, step, keep=(*KEEP, "_n", "_sr"))
+    f = frames(sized, window, step, keep=(*KEEP, "_n", "_sr"), short=short)
     last = F.floor((F.col("_n") - window) / step)
     end = F.when(F.col("frame_idx") == last, F.col("_n")).otherwise((F.col("frame_idx") + 1) * step)
     return f.select(*KEEP, "frame_idx", (F.col("frame_idx") * step / F.col("_sr")).alias("start"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions import dsp
-from .frames import KEEP, level_frames, merge_runs, silences
+from .frames import KEEP, level_frames, merge_runs
 
 
 def dominant_frequency(df: DataFrame, min_sr_ratio: float = 2.0) -> DataFrame:
@@ -21,10 +21,12 @@ def clipping(df: DataFrame, threshold: float = 0.98) -> DataFrame:
 
 def long_silence(df: DataFrame, top_db: float = 20.0, min_s: float = 0.5, window: int = 2048, step: int = 512) -> DataFrame:
     """Longest silent gap per recording and whether it reaches ``min_s``; none counts as 0."""
-    gaps = silences(df, top_db, window, step).groupBy(*KEEP).agg(F.max("duration").alias("longest"))
-    longest = F.coalesce("longest", F.lit(0.0))
-    return df.select(*KEEP).join(gaps, list(KEEP), "left").select(
-        *KEEP, longest.alias("longest"), (longest >= min_s).alias("has_long_silence"))
+    lv = level_frames(df, window, step, short=True)  # a recording shorter than a frame has one row without level
+    loud = F.max("db").over(W.partitionBy(*KEEP))
+    runs = merge_runs(lv.withColumn("silent", F.coalesce(F.col("db") <= loud - top_db, F.lit(False))), "silent", "frame_idx")
+    longest = F.coalesce(F.max(F.when(F.col("silent"), F.col("end") - F.col("start"))), F.lit(0.0))
+    return runs.groupBy(*KEEP).agg(longest.alias("longest")).select(
+        *KEEP, "longest", (F.col("longest") >= min_s).alias("has_long_silence"))
 
 
 def snr_db(df: DataFrame, n_fft: int = 2048, hop: int | None = None) -> DataFrame:

@@ -180,7 +180,7 @@ def stratified_split(df: DataFrame, frac: float = 0.2, seed: int = 42, label: st
     A class may hold most rows, so rows are ranked inside (class, hash prefix).
     """
     h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}")))
-    keyed = df.withColumn("_h", h).withColumn("_prefix", F.substring("_h", 1, 3))
+    keyed = df.withColumn("_h", h).withColumn("_prefix", F.substring("_h", 1, 4))
     ranked = position_in_group(keyed, [label], "_prefix", ["_h", id_col], "_pos")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     return (ranked.join(sizes, label)

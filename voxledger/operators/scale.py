@@ -44,35 +44,39 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def running_sums(df: DataFrame, group: list[str], order: list[str | Column], sums: dict[str, str],
-                 small_bytes: int = SMALL_BYTES) -> DataFrame:
-    """Inclusive running sum of each ``sums`` input along ``order`` per group.
-
-    ``sums`` maps output name to input column. Rows that compare equal on group
-    and order must have been merged before. Below ``small_bytes`` a window per
-    group does; beyond it rows are range-partitioned on group and order, so one
-    large group spreads over many partitions, and each partition adds the
-    totals of those before it to its own sums.
+                 totals: dict[str, str] | None = None, small_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Inclusive running sum of each ``sums`` input along ``order``, and group ``totals``.
+
+    Both map output name to input column. Rows that compare equal on group and
+    order must have been merged before. Below ``small_bytes`` a window per group
+    does; beyond it rows are range-partitioned on group and order, so one large
+    group spreads over many partitions, and each partition adds the totals of
+    those before it to its own sums.
     """
+    totals = totals or {}
+    keys = group or [F.lit(0)]
     if estimated_bytes(df) < small_bytes:
-        w = W.partitionBy(*(group or [F.lit(0)])).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(w).alias(o) for o, c in sums.items()])
+        w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(c).over(w).alias(o) for o, c in sums.items()],
+                         *[F.sum(c).over(W.partitionBy(*keys)).alias(o) for o, c in totals.items()])
     fixed = checkpointed(df.orderBy(*group, *order)).withColumn("_part", F.spark_partition_id())
     local = W.partitionBy("_part", *group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     within = fixed.select("*", *[F.sum(c).over(local).alias(f"_in_{o}") for o, c in sums.items()])
-    totals = fixed.groupBy("_part", *group).agg(*[F.sum(c).alias(f"_tot_{o}") for o, c in sums.items()])
-    before = (W.partitionBy(*(group or [F.lit(0)])).orderBy("_part")
-              .rowsBetween(W.unboundedPreceding, -1))
-    offsets = totals.select("_part", *group, *[
-        F.coalesce(F.sum(f"_tot_{o}").over(before), F.lit(0)).alias(f"_off_{o}") for o in sums])
+    # one row per partition and group from here on
+    pieces = fixed.groupBy("_part", *group).agg(
+        *[F.sum(c).alias(f"_tot_{o}") for o, c in sums.items()], *[F.sum(c).alias(f"_all_{o}") for o, c in totals.items()])
+    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = pieces.select(
+        "_part", *group, *[F.coalesce(F.sum(f"_tot_{o}").over(before), F.lit(0)).alias(f"_off_{o}") for o in sums],
+        *[F.sum(f"_all_{o}").over(W.partitionBy(*keys)).alias(o) for o in totals])
     joined = within.join(offsets, ["_part", *group])
-    return joined.select(*df.columns, *[
-        (F.col(f"_in_{o}") + F.col(f"_off_{o}")).alias(o) for o in sums])
+    return joined.select(*df.columns, *[(F.col(f"_in_{o}") + F.col(f"_off_{o}")).alias(o) for o in sums], *totals)
 
 
 def global_position(df: DataFrame, order: list[str], name: str = "pos", small_bytes: int = SMALL_BYTES) -> DataFrame:
     """0-based position of every row in the total order."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
-    out = running_sums(one, [], order, {"_pos": "_one"}, small_bytes)
+    out = running_sums(one, [], order, {"_pos": "_one"}, small_bytes=small_bytes)
     return out.select(*df.columns, (F.col("_pos") - 1).alias(name))
 
 
@@ -92,12 +96,10 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str,
     at the wanted ranks meet in the last aggregation.
     """
     counted = value_counts(df.select(*group, value), group, value)
-    ranked = running_sums(counted, group, [value], {"_cum": "n"})
-    keys = group or ["_all"]
+    joined = running_sums(counted, group, [value], {"_cum": "n"}, {"_total": "n"})
     if not group:
-        ranked = ranked.withColumn("_all", F.lit(0))
-    totals = ranked.groupBy(*keys).agg(F.max("_cum").alias("_total"))
-    joined = ranked.join(totals, keys)
+        joined = joined.withColumn("_all", F.lit(0))
+    keys = group or ["_all"]
     at = lambda r: (F.col("_cum") > r) & (F.col("_cum") - F.col("n") <= r)
     wanted, aggs = [], []
     for name, q in probs.items():

@@ -7,7 +7,7 @@ overlay of two recordings.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import describe, dsp
 from .frames import KEEP
@@ -15,6 +15,15 @@ from .frames import KEEP
 N_FFT, HOP = 2048, 512
 
 
+def _positions(array: Column, kind: str = "array<double>") -> Column:
+    """posexplode of an array that a UDF made.
+
+    On a bare column Spark adds a not-empty filter and moves it below the
+    projection, which would run the UDF a second time; an expression is left alone.
+    """
+    return F.posexplode(F.coalesce(array, F.array().cast(kind)))
+
+
 def amplitude_spectrum(df: DataFrame) -> DataFrame:
     """spectrum ARRAY<STRUCT<hz, ampl>>; the axis runs evenly from 0 to sr / 2."""
     a = df.select(*KEEP, "sampling_rate", F.size("samples").alias("n"), dsp.amplitude_of("samples").alias("_a"))
@@ -29,13 +38,13 @@ def spectrum(df: DataFrame, kind: str = "amplitude") -> DataFrame:
     kinds = {"amplitude": a, "decibel": 20 * F.log10(F.nullif(a, F.lit(0.0))), "energy": a * a, "power": a * a / F.col("n")}
     if kind not in kinds:
         raise ValueError(f"unknown spectrum kind {kind!r}")
-    long = amplitude_spectrum(df).select(*KEEP, "n", F.posexplode("spectrum").alias("bin", "s"))
+    long = amplitude_spectrum(df).select(*KEEP, "n", _positions(F.col("spectrum"), "array<struct<hz:double,ampl:double>>").alias("bin", "s"))
     return long.select(*KEEP, "bin", F.col("s.hz").alias("hz"), kinds[kind].alias("value"))
 
 
 def _matrix_rows(df: DataFrame, matrix, index: str, value: str) -> DataFrame:
     rows = df.select(*KEEP, F.posexplode(matrix).alias("frame_idx", "_row"))
-    return rows.select(*KEEP, "frame_idx", F.posexplode("_row").alias(index, value))
+    return rows.select(*KEEP, "frame_idx", _positions(F.col("_row")).alias(index, value))
 
 
 def spectrogram_db(df: DataFrame, n_fft: int = N_FFT, hop: int = HOP, top_db: float = 80.0) -> DataFrame:
@@ -59,7 +68,7 @@ def tracks(df: DataFrame, names: list[str], n_fft: int = N_FFT, hop: int = HOP,
 
 def track(df: DataFrame, name: str, n_fft: int = N_FFT, hop: int = HOP, **options) -> DataFrame:
     """One track as (frame_idx, value) rows."""
-    return tracks(df, [name], n_fft, hop, **{name: options}).select(*KEEP, F.posexplode(name).alias("frame_idx", "value"))
+    return tracks(df, [name], n_fft, hop, **{name: options}).select(*KEEP, _positions(F.col(name)).alias("frame_idx", "value"))
 
 
 def spectral_centroid(df, n_fft=N_FFT, hop=HOP, *, bins: bool = False) -> DataFrame:
@@ -67,7 +76,7 @@ def spectral_centroid(df, n_fft=N_FFT, hop=HOP, *, bins: bool = False) -> DataFr
     return track(df, "centroid_bin" if bins else "spectral_centroid", n_fft, hop)
 
 
-def bin_to_freq(bin_col, n_bins: int, sr_col) -> "F.Column":
+def bin_to_freq(bin_col, n_bins: int, sr_col) -> Column:
     return bin_col * (sr_col / 2 / n_bins)
 
 
@@ -118,7 +127,7 @@ def welch_psd(df: DataFrame, segment: int = 256) -> DataFrame:
     """(bin, hz, psd) rows."""
     p = df.select(*KEEP, "sampling_rate", F.least(F.lit(segment), F.size("samples")).alias("_n"),
                   dsp.welch_of("samples", "sampling_rate", segment).alias("_p"))
-    return (p.select(*KEEP, "sampling_rate", "_n", F.posexplode("_p").alias("bin", "psd"))
+    return (p.select(*KEEP, "sampling_rate", "_n", _positions(F.col("_p")).alias("bin", "psd"))
             .select(*KEEP, "bin", (F.col("bin") * F.col("sampling_rate") / F.col("_n")).alias("hz"), "psd"))
 
 
@@ -139,6 +148,6 @@ def spectrum_overlay(df: DataFrame) -> DataFrame:
     s = amplitude_spectrum(df)
     real = s.where("real_or_fake = 'R'").select("audio_id", F.col("spectrum.ampl").alias("_real"))
     fake = s.where("real_or_fake <> 'R'").join(real, "audio_id", "left")
-    return (fake.select(*KEEP, "_real", F.posexplode("spectrum").alias("bin", "s"))
+    return (fake.select(*KEEP, "_real", _positions(F.col("spectrum"), "array<struct<hz:double,ampl:double>>").alias("bin", "s"))
             .select(*KEEP, "bin", F.col("s.hz").alias("hz"), F.col("s.ampl").alias("ampl"),
                     F.get("_real", F.col("bin")).alias("real_ampl")))

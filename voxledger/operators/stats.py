@@ -77,17 +77,24 @@ def property_summary(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> DataFrame:
     """Equal-width bins from min to max, the last one closed; empty bins stay."""
-    key = by or "_all"
-    src = df.select(F.col(by) if by else F.lit(0).alias("_all"), F.col(col).alias("_v")).where(F.col("_v").isNotNull())
-    edges = src.groupBy(key).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    src = df.select(*([by] if by else []), F.col(col).alias("_v")).where(F.col("_v").isNotNull())
+    bounds = [F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n")]
     width = (F.col("_hi") - F.col("_lo")) / bins
     bin_no = F.when(F.col("_hi") == F.col("_lo"), 0).otherwise(
-        F.least(F.floor((F.col("_v") - F.col("_lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1)))
-    counts = src.join(edges, key).groupBy(key, bin_no.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("_c"))
+        F.least(F.floor((F.col("_v") - F.col("_lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))).cast("int")
+    if by:
+        edges = src.groupBy(by).agg(*bounds)
+        placed = src.join(edges, by)
+    else:  # one row, so its values become constants
+        row = src.agg(*bounds).first()
+        edges = df.sparkSession.createDataFrame([tuple(row)], "_lo double, _hi double, _n bigint")
+        placed = src.select("*", F.lit(row["_lo"]).alias("_lo"), F.lit(row["_hi"]).alias("_hi"))
+    keys = [by, "bin"] if by else ["bin"]
+    counts = placed.select(*([by] if by else []), bin_no.alias("bin")).groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
     grid = edges.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     n = F.coalesce("_c", F.lit(0))
-    return grid.join(counts, [key, "bin"], "left").select(
-        *([by] if by else []), "bin", (F.col("_lo") + width * F.col("bin")).alias("lo"),
+    return grid.join(counts, keys, "left").select(
+        *keys, (F.col("_lo") + width * F.col("bin")).alias("lo"),
         (F.col("_lo") + width * (F.col("bin") + 1)).alias("hi"), n.alias("n"),
         (n / (F.col("_n") * F.nullif(width, F.lit(0.0)))).alias("density"))
 

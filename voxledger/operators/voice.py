@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions import voice as vo
 from ..functions.describe import peak_positions, summary_of
 from ..functions.dsp import per_recording
-from .frames import KEEP, level_frames, mean_square, power_db, sounding_intervals, total
+from .frames import KEEP, mean_square, power_db, sounding_intervals, total
 
 F0_LOW, F0_HIGH = 65.406391, 2093.004522  # the notes C2 and C7 in Hz
 SOUND_REF = 4e-10  # (2e-5 Pa) squared
@@ -202,7 +202,8 @@ def speech_rate(df: DataFrame, window: int = 2048, step: int = 512, *, silence_d
     cols = [*KEEP, "sampling_rate", F.size("samples").alias("_n"), level_array(window, step).alias("_l")]
     if voicing:
         cols.append(vo.pitch_of("samples", "sampling_rate", 30.0, 450.0, 0.02, 0.25).alias("_p"))
-    lv = df.select(*cols).where(F.size("_l") > 0)
+    # the filter is on the samples: one on the levels would compute them twice
+    lv = df.where(F.size("samples") >= window).select(*cols)
     lv = lv.select("*", F.sort_array("_l").alias("_sorted"))
     lv = lv.select("*", (_quantile(F.col("_sorted"), 0.99) + silence_db).alias("_cut"))
     lv = lv.withColumn("_thr", F.greatest(F.col("_cut"), F.array_min("_l")))
@@ -220,7 +221,11 @@ def speech_rate(df: DataFrame, window: int = 2048, step: int = 512, *, silence_d
         inside = lambda t: F.greatest(F.lit(0), F.least(near(t), F.size("_p.t") - 1))
         lv = lv.withColumn("_ok", F.filter("_ok", lambda t: F.coalesce(
             F.when(F.size("_p.t") > 1, F.get("_p.f0", inside(t)) > 0), F.lit(False))))
-    frames = level_frames(df, window, step, SOUND_REF).join(lv.select(*KEEP, "_cut"), list(KEEP))
+    rows = lv.select(*KEEP, "_cut", "_n", sr.alias("_sr"), F.posexplode(F.coalesce("_l", F.array().cast("array<double>"))).alias("frame_idx", "db"))
+    last = F.floor((F.col("_n") - window) / step)
+    stop = F.when(F.col("frame_idx") == last, F.col("_n")).otherwise((F.col("frame_idx") + 1) * step)
+    frames = rows.select(*KEEP, "_cut", "frame_idx", "db", (F.col("frame_idx") * step / F.col("_sr")).alias("start"),
+                         (stop / F.col("_sr")).alias("end"))
     iv = sounding_intervals(frames, F.col("_cut"), min_pause, min_sounding).where(~F.col("silent"))
     per = iv.groupBy(*KEEP).agg(F.collect_list(F.struct("start", "end")).alias("_iv"))
     j = lv.join(per, list(KEEP), "left").withColumn("_iv", F.coalesce("_iv", F.array().cast("array<struct<start:double,end:double>>")))

@@ -34,7 +34,7 @@ AM = whole_dft("samp_emb", 64)
 
 @query("f01_amplitude_spectrum", "samp_emb", f"{AM} SELECT {KEYS}, bin, {r('hz', 'hz')}, {r('ampl', 'ampl', 6)} FROM am")
 def f01(spark, sf):
-    a = sp.amplitude_spectrum(emb(spark, sf)).select("audio_id", "real_or_fake", F.posexplode("spectrum").alias("bin", "s"))
+    a = sp.amplitude_spectrum(emb(spark, sf)).select("audio_id", "real_or_fake", sp._positions(F.col("spectrum"), "array<struct<hz:double,ampl:double>>").alias("bin", "s"))
     return rounded(a.select("audio_id", "real_or_fake", "bin", F.round("s.hz", 4).alias("hz"), "s.ampl"), 6)
 
 

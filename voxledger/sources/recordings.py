@@ -100,12 +100,14 @@ def assign_shards(df: DataFrame, low: int = 90, high: int = 110, id_col: str = "
     return df.join(shard, id_col)
 
 
-def write_shards(df: DataFrame, path: str) -> None:
+def write_shards(df: DataFrame, path: str, pieces: int = 16) -> None:
     """One folder per shard, so scan_partition reads only its own files.
 
-    Rows go out by id as well as shard: a shard is written by as many tasks as it has ids.
+    Rows of a shard go to up to ``pieces`` tasks by a hash of the row, so a
+    shard or an id with most of the rows is not written by one task.
     """
-    (df.repartition("partition_id", "audio_id").write.mode("overwrite")
+    piece = F.pmod(F.xxhash64(*df.columns), F.lit(pieces))
+    (df.repartition("partition_id", piece).write.mode("overwrite")
      .partitionBy("partition_id").option("maxRecordsPerFile", 100_000).parquet(path))
 
 
