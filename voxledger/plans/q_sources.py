@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import relational as rel
 from ..sources import features as feat, recordings as rec
 from . import fixtures as fx
-from .registry import query, rounded
+from .registry import NUDGE, query, rounded
 
 
 def folder(name: str) -> str:
@@ -161,7 +161,8 @@ def s12(spark, sf):
         F.col("samples")[0].alias("first"), F.col("samples")[63].alias("last")), keep=("first", "last"))
 
 
-@query("s13_decode_pcm_wav")
+@query("s13_decode_pcm_wav", "samp_emb", """
+    SELECT audio_id AS path, n::BIGINT AS n, round(round(x * 32767) / 32768, 8) + 0.0 AS x, 64::BIGINT AS sampling_rate FROM samp_emb""")
 def s13(spark, sf):
     from ..sources.wav import decode_pcm_wav
 
@@ -178,7 +179,8 @@ def s13(spark, sf):
     text = lambda t: F.encode(F.lit(t), "US-ASCII")
     wav = F.concat(text("RIFF"), le("riff", 4), text("WAVEfmt "), F.unhex(F.lit("10000000" "0100" "0100")),
                    le("rate", 4), le("byterate", 4), F.unhex(F.lit("0200" "1000")), text("data"), le("len", 4), F.col("pcm"))
-    return decode_pcm_wav(b.select(F.col("audio_id").alias("path"), wav.alias("content")))
+    out = decode_pcm_wav(b.select(F.col("audio_id").alias("path"), wav.alias("content")))
+    return rounded(out.select("path", "sampling_rate", F.posexplode("samples").alias("n", "x")), 8)
 
 
 @query("s14_resume_shards", "feat_line", """
@@ -212,7 +214,9 @@ def s16(spark, sf):
     return rec.training_iteration(fx.manifest(spark, sf).select(name.alias("name")), "train")
 
 
-@query("s17_save_load_pipeline")
+@query("s17_save_load_pipeline", "feat_emb", "m AS (SELECT " + ", ".join(
+    f"avg(e{i}) AS m{i}, stddev_pop(e{i}) AS s{i}" for i in range(8)) + " FROM feat_emb) SELECT audio_id, real_or_fake, " + ", ".join(
+    f"round((e{i} - m{i}) / s{i} + {NUDGE}::DOUBLE, 4) + 0.0 AS e{i}" for i in range(8)) + ", (real_or_fake <> 'R')::BIGINT AS target FROM feat_emb, m")
 def s17(spark, sf):
     from ..operators import prep
 
@@ -221,7 +225,7 @@ def s17(spark, sf):
     path = shared_folder(spark, "state")
     feat.save_pipeline(model, fx.EMB[:8], path, spark)
     loaded, selected = feat.load_pipeline(spark, path)
-    return prep.prepare(f, loaded, selected)
+    return rounded(prep.prepare(f, loaded, selected))
 
 
 @query("s18_write_predictions", "score", """

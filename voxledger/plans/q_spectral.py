@@ -75,9 +75,14 @@ def f06(spark, sf):
     return rounded(sp.spectral_bandwidth(emb(spark, sf), **P))
 
 
-@query("f07_spectral_contrast")
+DB = "10 * log10(greatest({}, 1e-10))"
+
+
+@query("f07_spectral_contrast", "samp_emb", f"""{stft_sql()},
+    b AS (SELECT *, bd FROM sp, (VALUES (0, 0, 1), (1, 1, 2), (2, 2, 8)) v(bd, lo, hi) WHERE k BETWEEN lo AND hi)
+    SELECT {KEYS}, (bd * 7 + frame_idx)::BIGINT AS frame_idx, {r(f"{DB.format('max(a)')} - {DB.format('min(a)')}", 'value')} FROM b GROUP BY {KEYS}, frame_idx, bd""")
 def f07(spark, sf):
-    return sp.spectral_contrast(emb(spark, sf), fmin=4.0, bands=2, **P)
+    return rounded(sp.spectral_contrast(emb(spark, sf), fmin=4.0, bands=2, **P))
 
 
 @query("f08_spectral_flatness", "samp_emb", f"""{stft_sql()}
@@ -105,14 +110,23 @@ def f11(spark, sf):
     return sp.mfcc(emb(spark, sf), n=5, n_mels=6, **P)
 
 
-@query("f12_chroma")
+# only bins 7 and 8 (28 and 32 Hz) lie above 27.5 Hz; they are the pitch classes A and C
+CHROMA = f"""{stft_sql()}, ac AS (SELECT {KEYS}, frame_idx, max(CASE WHEN k = 7 THEN a * a END) AS pa, max(CASE WHEN k = 8 THEN a * a END) AS pc FROM sp {G})"""
+
+
+@query("f12_chroma", "samp_emb", f"""{CHROMA}
+    SELECT {FI}, c AS coef, {r('CASE c WHEN 1 THEN pc WHEN 10 THEN pa ELSE 0 END / greatest(pa, pc)', 'value')} FROM ac, range(1, 13) t(c)""")
 def f12(spark, sf):
-    return sp.chroma(emb(spark, sf), **P)
+    return rounded(sp.chroma(emb(spark, sf), **P))
 
 
-@query("f13_tonnetz")
+@query("f13_tonnetz", "samp_emb", f"""{CHROMA},
+    w AS (SELECT * FROM (VALUES (1, 7 / 6, 1.0), (3, 3 / 2, 1.0), (5, 2 / 3, 0.5)) v(c0, turn, rad)),
+    s AS (SELECT *, pc / (pa + pc) AS sc, pa / (pa + pc) AS sa FROM ac)
+    SELECT {FI}, c0 AS coef, {r('rad * sa * sin(9 * pi() * turn)', 'value')} FROM s, w
+    UNION ALL SELECT {FI}, c0 + 1, {r('rad * (sc + sa * cos(9 * pi() * turn))', 'value')} FROM s, w""".replace("c0 AS coef", "c0::BIGINT AS coef").replace("c0 + 1,", "c0::BIGINT + 1,"))
 def f13(spark, sf):
-    return sp.tonnetz(emb(spark, sf), **P)
+    return rounded(sp.tonnetz(emb(spark, sf), **P))
 
 
 @query("f14_band_energy_ratio", "samp_emb", f"""{stft_sql()}

@@ -71,7 +71,13 @@ def x02(spark, sf):
     return rounded(spark.read.parquet(f"{base}/out/*"))
 
 
-@query("x03_pause_sessions_stream")
+@query("x03_pause_sessions_stream", sql=f"""
+    WITH f AS (SELECT user_id::VARCHAR AS audio_id, time_bucket(INTERVAL 6 hour, ts) + INTERVAL 6 hour - INTERVAL 1 microsecond AS t, avg(value * value) AS p
+        FROM events GROUP BY 1, 2 HAVING avg(value * value) < 900),
+    b AS (SELECT *, CASE WHEN t - lag(t) OVER w < INTERVAL 13 hour THEN 0 ELSE 1 END AS nw FROM f WINDOW w AS (PARTITION BY audio_id ORDER BY t)),
+    r AS (SELECT *, sum(nw) OVER (PARTITION BY audio_id ORDER BY t) AS run FROM b)
+    SELECT audio_id, min(t) AS start, max(t) + INTERVAL 13 hour AS "end", count(*) AS n_frames, {r('max(p)', 'max_power')} FROM r GROUP BY audio_id, run
+    HAVING max(t) + INTERVAL 13 hour <= (SELECT max(ts) - INTERVAL 10 minute FROM events)""")
 def x03(spark, sf):
     base = shared_folder(spark, "pause-stream")
     s = samples(spark, sf)
@@ -81,7 +87,8 @@ def x03(spark, sf):
         return xs.to_files(xs.pause_sessions_stream(st, "6 hours", 900.0, "13 hours"), f"{base}/out", f"{base}/state")
 
     arrivals(s, f"{base}/in", ["a", "b", "c"], part_of(F.col("ts")), run)
-    return spark.read.parquet(f"{base}/out")
+    out = spark.read.parquet(f"{base}/out")
+    return rounded(out.withColumn("start", F.col("start").cast("timestamp_ntz")).withColumn("end", F.col("end").cast("timestamp_ntz")))
 
 
 SK = "CASE WHEN min(x) < max(x) THEN sqrt(count(*)) * sum(d*d*d) / pow(sum(d*d), 1.5) END"
@@ -103,6 +110,6 @@ def x04(spark, sf):
 
     arrivals(s, f"{base}/in", ["a", "b", "c"], part_of(F.col("ts")), run)
     out = spark.read.parquet(f"{base}/out")
-    r4 = [F.round(c, 4).alias(c) for c in ("skewness", "kurtosis")]
-    return rounded(out.select("audio_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"),
-                              "n", "mean", F.round(F.sqrt("variance"), 4).alias("std_dev"), "min", "max", *r4), 9)
+    cols = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("start", "end")]
+    return rounded(rounded(out.select("audio_id", *cols, "n", "mean", F.sqrt("variance").alias("std_dev"), "min", "max", "skewness", "kurtosis"),
+                           4, keep=("mean", "min", "max")), 9, keep=("std_dev", "skewness", "kurtosis"))
