@@ -183,15 +183,14 @@ def correlated_columns(df: DataFrame, columns: list[str], threshold: float = 0.9
 
 
 def correlated_greedy(df: DataFrame, columns: list[str], threshold: float = 0.6) -> list[str]:
-    """Kept columns: a kept column removes the earlier ones it is correlated with."""
-    earlier: dict[str, set[str]] = defaultdict(set)
-    for r in correlation_matrix(df, columns).where(F.abs("r") > threshold).collect():
-        earlier[r["feature_b"]].add(r["feature_a"])
-    dropped: set[str] = set()
-    for c in columns:
-        if c not in dropped:
-            dropped |= earlier[c] - {c}
-    return [c for c in columns if c not in dropped]
+    """Kept columns when each column, taken in order, removes the earlier ones it is correlated with.
+
+    A column can only be removed by a later one, so it always takes its own turn
+    first: it goes exactly when some later column is correlated with it.
+    """
+    hits = correlation_matrix(df, columns).where(F.abs("r") > threshold)
+    drop = {r[0] for r in hits.select("feature_a").distinct().collect()}
+    return [c for c in columns if c not in drop]
 
 
 def select_features(train: DataFrame, columns: list[str], quasi: float = 0.99, corr: float = 0.9,

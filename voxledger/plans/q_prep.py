@@ -75,9 +75,9 @@ def p06(spark, sf):
     return names(spark, prep.duplicate_columns(fx.feat_line(spark, sf), fx.FEATURES), fx.FEATURES)
 
 
-def high_corr_sql(cols: list[str]) -> str:
+def high_corr_sql(cols: list[str], limit: float = 0.9) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{a}' AS fa, '{b}' AS feature FROM feat_line WHERE {a} IS NOT NULL AND {b} IS NOT NULL HAVING abs(corr({a}, {b})) > 0.9"
+        f"SELECT '{a}' AS fa, '{b}' AS feature FROM feat_line WHERE {a} IS NOT NULL AND {b} IS NOT NULL HAVING abs(corr({a}, {b})) > {limit}"
         for i, a in enumerate(cols) for b in cols[i + 1:])
 
 
@@ -89,7 +89,8 @@ def p07(spark, sf):
     return names(spark, prep.correlated_columns(fx.feat_line(spark, sf), VARIED), fx.FEATURES)
 
 
-@query("p08_correlated_greedy")
+@query("p08_correlated_greedy", "feat_line", f"""c AS ({high_corr_sql(VARIED, 0.6)}),
+    v AS (SELECT unnest({VARIED}) AS feature) SELECT {POS} AS pos, feature FROM v WHERE feature NOT IN (SELECT fa FROM c)""")
 def p08(spark, sf):
     return names(spark, prep.correlated_greedy(fx.feat_line(spark, sf), VARIED), fx.FEATURES)
 

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import relational as rel
 from ..sources import features as feat, recordings as rec
 from . import fixtures as fx
 from .registry import NUDGE, query, rounded
@@ -23,7 +23,6 @@ def shared_folder(spark, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         return folder(name)
-    import uuid
     return f"{base.rstrip('/')}/voxledger-{name}-{uuid.uuid4().hex}"
 
 
@@ -188,7 +187,6 @@ def s13(spark, sf):
     SELECT audio_id, partition_id FROM f WHERE partition_id IN (SELECT partition_id FROM f GROUP BY 1
     HAVING count(*) <> count(*) FILTER (WHERE partition_id NOT IN (2, 5) AND NOT (partition_id = 7 AND l_quantity < 5)))""")
 def s14(spark, sf):
-    li = fx.table(spark, sf, "lineitem")
     f = fx.feat_line(spark, sf).select(
         "audio_id", "qty", F.pmod(F.split("audio_id", "-")[3].cast("bigint"), F.lit(10)).alias("partition_id"))
     done = f.where(~F.col("partition_id").isin(2, 5) & ~((F.col("partition_id") == 7) & (F.col("qty") < 5)))
@@ -214,7 +212,7 @@ def s16(spark, sf):
     return rec.training_iteration(fx.manifest(spark, sf).select(name.alias("name")), "train")
 
 
-@query("s17_save_load_pipeline", "feat_emb", "m AS (SELECT " + ", ".join(
+@query("s17_save_load_state", "feat_emb", "m AS (SELECT " + ", ".join(
     f"avg(e{i}) AS m{i}, stddev_pop(e{i}) AS s{i}" for i in range(8)) + " FROM feat_emb) SELECT audio_id, real_or_fake, " + ", ".join(
     f"round((e{i} - m{i}) / s{i} + {NUDGE}::DOUBLE, 4) + 0.0 AS e{i}" for i in range(8)) + ", (real_or_fake <> 'R')::BIGINT AS target FROM feat_emb, m")
 def s17(spark, sf):

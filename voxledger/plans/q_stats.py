@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.describe import DESCRIPTIVE, MEASURES
+from ..functions.describe import DESCRIPTIVE
 from ..operators import stats as st
 from . import fixtures as fx
 from .registry import NUDGE, query, rounded

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import feature_row as row, voice as vo
 from ..operators.scale import spread_small
 from . import fixtures as fx
