@@ -23,18 +23,19 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import query, shared_folder, table, text_of
+from .common import query, shared_folder, stored, table, text_of
 from .lexicon import Lexicon, build
 
 LEXICON_WORDS = 1 << 16
-CACHE = 300_000  # word forms that a worker remembers; it starts anew beyond
+CACHE = 400_000  # word forms that a worker remembers; it starts anew beyond
+SLICE = 500  # texts whose pieces are held at once
 COUNTER = 500_000  # distinct words that a task counts before it hands them on
 
 #: The pattern of byte-level pre-tokenisation.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
                      r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Pieces of plain prose that split alike alone and in their text.
-PLAIN = re.compile(r" ?\S+|\n(?=\S)")
+PLAIN = re.compile(r" ?[^\W\d_]+|[.,;:!?](?=[ \n]|\Z)|\n(?=\S)| ?\S+")
 
 
 @dataclass
@@ -94,6 +95,82 @@ def merge(word: bytes, v: Vocabulary) -> list[int]:
     return ids
 
 
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
+class Merger:
+    """Merges many words at once: every step joins the best pair of each word, leftmost first."""
+
+    def __init__(self, v: Vocabulary) -> None:
+        self.v, self.base = v, len(v.raw)
+        pairs = np.array([a * self.base + b for a, b in v.merges], np.int64)
+        order = np.argsort(pairs)
+        ranks = np.array([[r, i] for r, i in v.merges.values()], np.int64).reshape(-1, 2)
+        self.pairs, self.rank = pairs[order], ranks[order, 0]
+        self.joined = np.zeros(int(ranks[:, 0].max(initial=0)) + 1, np.int64)
+        self.joined[ranks[:, 0]] = ranks[:, 1]
+        self.none = len(self.joined)  # above every rank
+        self.byte_id = np.array(v.byte_id, np.int64)
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair; a negative id has none."""
+        code = a * self.base + b
+        at = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == code) & (a >= 0) & (b >= 0), self.rank[at], self.none)
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """Ids of every word as the bytes of int32 numbers."""
+        out = [b""] * len(words)
+        length = np.array([len(w) for w in words], np.int64)
+        if not len(self.pairs):
+            return [packed(merge(w, self.v)) for w in words]
+        low = 0
+        for high in (4, 8, 12, 16, 24, 40, 64):
+            some = np.flatnonzero((length > low) & (length <= high))
+            low = high
+            for at in range(0, len(some), 20_000):
+                self._block(some[at:at + 20_000], words, high, out)
+        for i in np.flatnonzero(length > low):
+            out[i] = packed(merge(words[i], self.v))
+        return out
+
+    def _block(self, chosen: np.ndarray, words: list[bytes], width: int, out: list) -> None:
+        grid = np.frombuffer(b"".join(words[i].ljust(width, b"\0") for i in chosen), np.uint8).reshape(len(chosen), width)
+        size = np.array([len(words[i]) for i in chosen])
+        ids = np.full((len(chosen), width + 1), -1, np.int64)  # a last column of no token
+        ids[:, :width] = np.where(np.arange(width) < size[:, None], self.byte_id[grid], -1)
+        rank = np.full((len(chosen), width + 1), self.none, np.int64)  # of the pair that begins there
+        rank[:, :width] = self.ranks(ids[:, :-1], ids[:, 1:])
+        columns = np.arange(width + 1)
+        while len(chosen):
+            j = rank.argmin(1)
+            rows = np.arange(len(chosen))
+            best = rank[rows, j]
+            live = best < self.none
+            if not live.all():
+                done = ids[~live].astype(np.int32)
+                raw, wide = done.tobytes(), 4 * (width + 1)
+                for k, (i, n) in enumerate(zip(chosen[~live].tolist(), (done >= 0).sum(1).tolist())):
+                    out[i] = raw[k * wide:k * wide + 4 * n]
+                chosen, ids, rank, j, best = chosen[live], ids[live], rank[live], j[live], best[live]
+                rows = rows[:len(chosen)]
+                if not len(chosen):
+                    break
+            source = np.minimum(columns + (columns > j[:, None]), width)
+            ids[rows, j] = self.joined[best]
+            ids = np.take_along_axis(ids, source, 1)
+            rank = np.take_along_axis(rank, source, 1)
+            rank[rows, j] = self.ranks(ids[rows, j], ids[rows, np.minimum(j + 1, width)])
+            before = np.maximum(j - 1, 0)
+            rank[rows, before] = np.where(j > 0, self.ranks(ids[rows, before], ids[rows, j]), rank[rows, before])
+
+
+def words_of(piece: str) -> list[str]:
+    """The words of one piece; letters alone need no regular expression."""
+    return [piece] if piece.isalpha() or piece[0] == " " and piece[1:].isalpha() else WORD.findall(piece)
+
+
 def plain_pieces(text: str) -> list[str]:
     """Pieces whose words are the text's words: words with their space in plain prose, else every word."""
     pieces = PLAIN.findall(text)
@@ -110,37 +187,40 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Encoder:
-    """Encodes texts in one worker; remembers the ids of the pieces it has met."""
+    """Encodes texts in one worker; remembers the ids (as bytes) of the pieces it has met."""
 
     def __init__(self, v: Vocabulary, lexicon: Lexicon) -> None:
-        self.v, self.lexicon, self.known = v, lexicon, {}
+        self.v, self.lexicon, self.known, self.merger = v, lexicon, {}, Merger(v)
 
     def learn(self, pieces: set[str]) -> None:
-        words = {p: [w.encode("utf-8", "surrogatepass") for w in WORD.findall(p)] for p in pieces}
+        words = {p: [w.encode("utf-8", "surrogatepass") for w in words_of(p)] for p in pieces}
         distinct = list(set(chain.from_iterable(words.values())))
-        ids = {}
+        ids, unseen = {}, []
         for w, rank in zip(distinct, self.lexicon.ranks(distinct).tolist()):
-            ids[w] = self.lexicon.output(rank) if rank >= 0 else merge(w, self.v)
+            if rank >= 0:
+                ids[w] = self.lexicon.output(rank)
+            else:
+                unseen.append(w)
+        ids.update(zip(unseen, self.merger.merge_all(unseen)))
         for p, ws in words.items():
-            self.known[p] = ids[ws[0]] if len(ws) == 1 else list(chain.from_iterable(map(ids.__getitem__, ws)))
+            self.known[p] = ids[ws[0]] if len(ws) == 1 else b"".join(map(ids.__getitem__, ws))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text; the pieces of at most ``SLICE`` texts are held at once."""
         split, added = self.v.split_added, self.v.added
-        parts = [[s for s in split.split(t) if s] if split and any(a in t for a in added) else [t] for t in texts]
-        pieces = [[x for s in ss for x in ([s] if s in added else plain_pieces(s))] for ss in parts]
-        for s, i in added.items():
-            self.known[s] = [i]
-        for at in range(0, len(pieces), 500):
-            some = pieces[at:at + 500]
-            new = {p for ps in some for p in ps if p not in self.known}
-            if len(self.known) + len(new) > CACHE:
-                self.known = {s: [i] for s, i in added.items()}
-                new = {p for ps in some for p in ps if p not in self.known}
-            self.learn(new)
+        fixed = {s: packed([i]) for s, i in added.items()}
+        self.known.update(fixed)
+        out = []
+        for at in range(0, len(texts), SLICE):
+            parts = [[s for s in split.split(t) if s] if split and any(a in t for a in added) else [t] for t in texts[at:at + SLICE]]
+            pieces = [[x for s in ss for x in ([s] if s in added else plain_pieces(s))] for ss in parts]
+            seen = set(chain.from_iterable(pieces))
+            if len(self.known) + len(seen) > CACHE:
+                self.known = dict(fixed)
+            self.learn(seen.difference(self.known))
             get = self.known.__getitem__
-            for k, ps in enumerate(some):
-                pieces[at + k] = list(chain.from_iterable(map(get, ps)))
-        return pieces
+            out += [np.frombuffer(b"".join(map(get, ps)), np.int32) for ps in pieces]
+        return out
 
 
 def encoder(vocab_path: str, lexicon_file: str) -> Encoder:
@@ -159,7 +239,7 @@ def word_counts(docs: DataFrame, vocab_path: str, text_col: str = "text") -> Dat
         def flush():
             words: Counter = Counter()
             for p, n in seen.items():
-                for w in WORD.findall(p):
+                for w in words_of(p):
                     words[w] += n
             seen.clear()
             return pa.RecordBatch.from_pydict({"word": [w.encode() for w in words], "n": list(words.values())})
@@ -181,13 +261,23 @@ def word_counts(docs: DataFrame, vocab_path: str, text_col: str = "text") -> Dat
 def ship_lexicon(docs: DataFrame, vocab_path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
     """Compile the ``words`` most frequent words and send the file to all executors; its name.
 
-    Counts cover all texts. The number of words, not the corpus, bounds what
-    the driver holds.
+    Counts cover all texts; words that occur once are left to the merges. The
+    number of words, not the corpus, bounds what the driver holds.
     """
     spark = docs.sparkSession
     v = load_vocabulary(vocab_path)
-    top = word_counts(docs, vocab_path, text_col).orderBy(F.desc("n"), "word").limit(words).select("word").collect()
-    data = build({bytes(r.word): merge(bytes(r.word), v) for r in top if len(r.word) <= 64})
+    counts = stored(word_counts(docs, vocab_path, text_col).where("n > 1"), "words")
+    # how many words are how frequent, in a bounded number of steps: where to cut
+    step = F.floor(F.log2("n") * 16)
+    sizes = sorted(((r.k, r.c) for r in counts.groupBy(step.alias("k")).agg(F.count(F.lit(1)).alias("c")).collect()), reverse=True)
+    room, least = words, None
+    for k, c in sizes:
+        if c > room:
+            break
+        room, least = room - c, k
+    top = counts.where(step >= least).select("word").collect() if least is not None else []
+    frequent = [bytes(r.word) for r in top if len(r.word) <= 64]
+    data = build({w: np.frombuffer(i, np.int32).tolist() for w, i in zip(frequent, Merger(v).merge_all(frequent))})
     buffer = pa.BufferOutputStream()
     np.save(buffer, data)
     # the file is written to the shared folder by Spark's own file system layer
@@ -210,7 +300,7 @@ def encode(text: Column, vocab_path: str, lexicon_file: str) -> Column:
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         e = encoder(vocab_path, lexicon_file)
         for texts in batches:
-            yield pd.Series(e.encode(texts.fillna("").tolist()), dtype=object)
+            yield pd.Series([*e.encode(texts.fillna("").tolist()), None], dtype=object)[:-1]
 
     return ids(text)
 
@@ -240,7 +330,8 @@ def digests(ids: Column, vocab_path: str) -> Column:
         for rows in batches:
             yield pd.DataFrame([(
                 len(r), hashlib.sha256(b",".join(map(v.decimal.__getitem__, r))).hexdigest(),
-                hashlib.sha256(to_bytes(r, v).decode("utf-8", "replace").encode()).hexdigest()) for r in rows],
+                hashlib.sha256(to_bytes(r, v).decode("utf-8", "replace").encode()).hexdigest())
+                for r in map(np.ndarray.tolist, rows)],
                 columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return summary(ids)

@@ -12,7 +12,7 @@ from ..session import checkpointed
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-__all__ = ["ORACLE", "QUERIES", "checkpointed", "query", "shared_folder", "table", "text_of", "without_space"]
+__all__ = ["ORACLE", "QUERIES", "checkpointed", "query", "shared_folder", "stored", "table", "text_of", "without_space"]
 
 
 def query(name: str, sql: str | None = None):
@@ -57,3 +57,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         base = "file://" + tempfile.mkdtemp(prefix="voxledger-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table into the shared folder and read it back: cuts the lineage, with compressed columns."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

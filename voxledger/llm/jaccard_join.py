@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import checkpointed, query, table
+from .common import checkpointed, query, stored, table
 from .components import components
 from .shingles import mix, pieces, shingle_sets
 
@@ -295,7 +295,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose whole sets have a Jaccard similarity of at least 0.8."""
     pairs = checkpointed(pairs)
     wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct()
-    sets = checkpointed(whole_sets(docs.join(wanted, "_id", "left_semi")))
+    sets = stored(whole_sets(docs.join(wanted, "_id", "left_semi")), "whole")
     left = pairs.join(sets.select(F.col("_id").alias("a"), F.col("s").alias("sa")), "a")
     both = left.join(sets.select(F.col("_id").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
@@ -318,7 +318,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     counts = leading(docs).groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= LATE_COUNT)
     top = counts.orderBy(F.desc("c"), "sig").limit(LATE).select("sig").toPandas()["sig"]
     late = np.sort(top.to_numpy(np.int64).view(np.uint64))
-    rows = checkpointed(features(docs, late))
+    rows = stored(features(docs, late), "sets")
     groups = rows.where("n > 0").groupBy("k1", "k2", "n").agg(
         F.min("_id").alias("id"), F.min_by(F.struct("sketch", "lead"), "_id").alias("f"))
     reps = checkpointed(groups.where("id is not null").select("id", "k1", "k2", "n", "f.*"))
@@ -330,7 +330,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lists = reps.where(5 * F.col("n") > 4 * boundary).select("id", "n", F.posexplode(F.slice(
         "lead", F.lit(1), F.floor(F.col("n") / 5).cast("int") + 1)).alias("pos", "sig"))
     shared = lists.withColumn("size", F.count(F.lit(1)).over(W.partitionBy("sig"))).where("size > 1")
-    members = checkpointed(shared.join(reps.select("id", "sketch"), "id"))
+    members = stored(shared.join(reps.select("id", "sketch"), "id"), "lists")
     first = likely_pairs(members.withColumn("comp", F.monotonically_increasing_id()), forest=True)
     links = checkpointed(links.union(verified(first, docs)))
     label = components(links)

@@ -77,7 +77,9 @@ class Lexicon:
         for n in (edges, edges, edges, states, words + 1, ids):
             parts.append(data[at:at + n])
             at += n
-        self.keys, self.targets, self.before, self.finals, self.starts, self.ids = parts
+        self.keys, self.targets, self.before, self.finals, self.starts = parts[:5]
+        self.ids = parts[5].astype(np.int32).tobytes()
+        self.at = self.starts.tolist()
 
     def ranks(self, words: Sequence[bytes]) -> np.ndarray:
         """Rank of every word, -1 where the automaton has none; all words step at once."""
@@ -110,5 +112,6 @@ class Lexicon:
             out[chosen[ok]] = rank[ok]
         return out
 
-    def output(self, rank: int) -> list[int]:
-        return self.ids[self.starts[rank]:self.starts[rank + 1]].tolist()
+    def output(self, rank: int) -> bytes:
+        """The ids of the word of this rank, as the bytes of int32 numbers."""
+        return self.ids[4 * self.at[rank]:4 * self.at[rank + 1]]
