@@ -12,7 +12,7 @@ from ..session import checkpointed
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-__all__ = ["ORACLE", "QUERIES", "checkpointed", "query", "shared_folder", "stored", "table", "text_of", "without_space"]
+__all__ = ["ORACLE", "QUERIES", "checkpointed", "of_ids", "query", "shared_folder", "stored", "table", "text_of", "without_space"]
 
 
 def query(name: str, sql: str | None = None):
@@ -64,3 +64,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     folder = shared_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+#: Ids that are sent to every task; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def of_ids(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` is in the distinct ``ids``: at the scan if these are few, by a shuffle beyond."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, column, "left_semi")

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import checkpointed, query, stored, table
+from .common import checkpointed, of_ids, query, stored, table
 from .components import components
 from .shingles import mix, pieces, shingle_sets
 
@@ -295,7 +295,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose whole sets have a Jaccard similarity of at least 0.8."""
     pairs = checkpointed(pairs)
     wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct()
-    sets = stored(whole_sets(docs.join(wanted, "_id", "left_semi")), "whole")
+    sets = stored(whole_sets(of_ids(docs, wanted, "_id")), "whole")
     left = pairs.join(sets.select(F.col("_id").alias("a"), F.col("s").alias("sa")), "a")
     both = left.join(sets.select(F.col("_id").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
