@@ -224,14 +224,15 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS h, CAST(CAST(unhex(sha1(coalesce(html, ''))) AS BIT) AS VARCHAR) AS bits FROM pages)
-SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
-       list_aggregate(list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-         1 + list_sum(list_transform(range(0, 5), j -> CAST(substr(bits, CAST(1 + 5 * k + j AS BIGINT), 1) AS INTEGER) * CAST(pow(2, 4 - j) AS INTEGER))), 1)),
-         'string_agg', '') AS payload_digest,
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, CAST(CAST(unhex(sha1(coalesce(html, ''))) AS BIT) AS VARCHAR) AS bits FROM pages),
+g AS (SELECT h, bits, k, substr(bits, 1 + 5 * k, 5) AS five FROM (SELECT DISTINCT h, bits FROM p), range(0, 32) r(k)),
+d AS (SELECT h, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(five[1] AS INTEGER) + 8 * CAST(five[2] AS INTEGER)
+        + 4 * CAST(five[3] AS INTEGER) + 2 * CAST(five[4] AS INTEGER) + CAST(five[5] AS INTEGER), 1), '' ORDER BY k) AS payload_digest
+      FROM g GROUP BY h)
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN page_id = min(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> min(page_id) OVER w THEN min(page_id) OVER w END AS refers_to
-FROM p WINDOW w AS (PARTITION BY h)"""
+FROM p JOIN d USING (h) WINDOW w AS (PARTITION BY h)"""
 
 
 @query("op4_warc", SQL)
