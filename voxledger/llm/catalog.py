@@ -1,6 +1,6 @@
 """All registered queries of this folder."""
 
-from . import bpe, decontamination, exact_dedup, html_text, jaccard_join, suffix_dedup, url_filter, warc  # noqa: F401
+from . import bpe, decontamination, exact_dedup, html_text, jaccard_join, license_scan, quality, suffix_dedup, url_filter, warc  # noqa: F401
 from .common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
