@@ -83,14 +83,14 @@ def _ordinal(counts: np.ndarray) -> np.ndarray:
 
 
 def leading(docs: DataFrame) -> DataFrame:
-    """(sig) for the leading shingles of every text in the order of hashes."""
+    """(sig) for the first shingles of every text, in the order of hashes, that a larger partner looks up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in pieces(batch.column("_text").to_pylist()):
                 h, at = shingle_sets(texts)
                 n = np.bincount(at, minlength=len(texts))
-                keep = _ordinal(n) < np.repeat(prefix_length(n), n)
+                keep = _ordinal(n) < np.repeat(n // 9 + 1, n)
                 yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64))], ["sig"])
 
     return docs.select("_text").mapInArrow(run, "sig long")
@@ -293,9 +293,8 @@ def likely_pairs(members: DataFrame, forest: bool) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose whole sets have a Jaccard similarity of at least 0.8."""
-    pairs = checkpointed(pairs)
     wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct()
-    sets = stored(whole_sets(of_ids(docs, wanted, "_id")), "whole")
+    sets = whole_sets(of_ids(docs, wanted, "_id"))
     left = pairs.join(sets.select(F.col("_id").alias("a"), F.col("s").alias("sa")), "a")
     both = left.join(sets.select(F.col("_id").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
@@ -319,9 +318,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     top = counts.orderBy(F.desc("c"), "sig").limit(LATE).select("sig").toPandas()["sig"]
     late = np.sort(top.to_numpy(np.int64).view(np.uint64))
     rows = stored(features(docs, late), "sets")
-    groups = rows.where("n > 0").groupBy("k1", "k2", "n").agg(
-        F.min("_id").alias("id"), F.min_by(F.struct("sketch", "lead"), "_id").alias("f"))
-    reps = checkpointed(groups.where("id is not null").select("id", "k1", "k2", "n", "f.*"))
+    # sets that agree are one class, named by its smallest id
+    groups = checkpointed(rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("_id").alias("id")).where("id is not null"))
+    reps = of_ids(rows.withColumnRenamed("_id", "id"), groups.select("id").distinct(), "id").where("n > 0")
 
     sizes = {r.n: r.c for r in reps.where(F.col("n") <= LIGHT_MOST * 5 // 4 + 1).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
     boundary = choose_boundary(sizes)
@@ -329,21 +328,29 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     lists = reps.where(5 * F.col("n") > 4 * boundary).select("id", "n", F.posexplode(F.slice(
         "lead", F.lit(1), F.floor(F.col("n") / 5).cast("int") + 1)).alias("pos", "sig"))
-    shared = lists.withColumn("size", F.count(F.lit(1)).over(W.partitionBy("sig"))).where("size > 1")
+    of_list = W.partitionBy("sig")
+    shared = lists.select("*", F.count(F.lit(1)).over(of_list).alias("size"), F.min(F.col("pos") - F.floor(F.col("n") / 9)).over(of_list).alias("role"),
+                          F.min("n").over(of_list).alias("least"), F.max("n").over(of_list).alias("most"))
+    # a list needs a set that is looked up in it, and a list of two needs sizes that can link
+    shared = shared.where("size > 1 and role <= 0 and (size > 2 or 5 * least >= 4 * most)").drop("role", "least", "most")
     members = stored(shared.join(reps.select("id", "sketch"), "id"), "lists")
-    first = likely_pairs(members.withColumn("comp", F.monotonically_increasing_id()), forest=True)
+    first = checkpointed(likely_pairs(members.withColumn("comp", F.monotonically_increasing_id()), forest=True))
     links = checkpointed(links.union(verified(first, docs)))
     label = components(links)
 
-    # lists that still hold several components: every likely pair between them
-    named = members.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-    mixed = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
-    second = verified(likely_pairs(named.join(mixed, "sig", "left_semi"), forest=False), docs)
-    label = components(links.union(second))
-
-    reps = reps.join(label.withColumnRenamed("node", "id"), "id", "left").select(
+    # where a likely pair failed, likely sets may still hold several components: every likely pair between these
+    near = components(first).withColumnRenamed("component", "near")
+    named = near.join(label, "node", "left").select(F.col("node").alias("id"), "near", F.coalesce("component", "node").alias("comp"))
+    named = checkpointed(named)
+    split = named.groupBy("near").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("near")
+    open_ids = checkpointed(named.join(split, "near", "left_semi").select("id", "comp"))
+    rest = of_ids(members, open_ids.select("id").distinct(), "id").join(open_ids, "id")
+    second = checkpointed(verified(likely_pairs(rest, forest=False), docs))
+    label = components(links.union(second)) if second.limit(1).count() else label
+
+    classes = groups.join(label.withColumnRenamed("node", "id"), "id", "left").select(
         "k1", "k2", "n", F.coalesce("component", "id").alias("_c"))
-    out = rows.select("_id", "n", "k1", "k2").join(reps, ["k1", "k2", "n"], "left")
+    out = rows.select("_id", "n", "k1", "k2").join(classes, ["k1", "k2", "n"], "left")
     return out.select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
                       F.when(F.col("n") > 0, F.col("_c")).otherwise(F.col("_id")).alias("component_id"))
 

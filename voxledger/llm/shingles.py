@@ -78,8 +78,8 @@ def shingle_sets(texts: list[bytes], late: np.ndarray | None = None) -> tuple[np
     few = np.flatnonzero((count > 0) & (count < WIDTH))
     if len(few):
         first = np.cumsum(count) - count
-        short = np.array([int(np.sum(words[first[i]:first[i] + count[i]] * _PLACE[:count[i]], dtype=np.uint64)
-                              + _SHORT[count[i]]) & (2**64 - 1) for i in few], np.uint64)
+        short = np.array([(int(np.sum(words[first[i]:first[i] + count[i]] * _PLACE[:count[i]], dtype=np.uint64))
+                           + int(_SHORT[count[i]])) % 2**64 for i in few], np.uint64)
         full, at = np.concatenate([full, mix(short)]), np.concatenate([at, few])
     if late is not None and len(late):
         pos = np.minimum(np.searchsorted(late, full), len(late) - 1)
