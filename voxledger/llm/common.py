@@ -12,7 +12,7 @@ from ..session import checkpointed
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-__all__ = ["ORACLE", "QUERIES", "checkpointed", "of_ids", "query", "shared_folder", "stored", "table", "text_of", "without_space"]
+__all__ = ["ORACLE", "QUERIES", "checkpointed", "free_name", "of_ids", "query", "shared_folder", "stored", "table", "text_of", "without_space"]
 
 
 def query(name: str, sql: str | None = None):
@@ -31,6 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(rows: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``rows`` has it."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_of(name: str) -> Column:
     """The text column with null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -131,8 +131,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     other = F.exists("pairs", lambda p: p["mine"] != p["theirs"])
     judged = fair.groupBy("id", "item", "need").agg(F.count_distinct("ipos").alias("n"), F.max(other).alias("other")).where("n >= need")
     per_text = judged.groupBy("id").agg(F.sort_array(F.collect_set("item")).alias("_items"), F.sum("n").alias("_n"), F.max("other").alias("_other"))
-    out = docs.select(id_col).join(per_text, F.col(id_col) == F.col("id"), "left")
-    return out.select(id_col, F.col("_items").isNotNull().alias("contaminated"),
+    out = docs.select(F.col(id_col).alias("_in")).join(per_text, F.col("_in") == F.col("id"), "left")
+    return out.select(F.col("_in").alias(id_col), F.col("_items").isNotNull().alias("contaminated"),
                       F.coalesce(F.col("_items").cast("array<bigint>"), F.array().cast("array<bigint>")).alias("item_ids"),
                       F.coalesce("_n", F.lit(0)).cast("long").alias("n_windows"), F.coalesce("_other", F.lit(False)).alias("reparameterised"))
 
@@ -140,7 +140,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without a benchmark item; rows with a null id stay."""
     bad = contaminated(docs, items, id_col, text_col).where("contaminated").select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col) == F.col("_bad"), "left_anti")
+    return docs.join(bad, docs[id_col] == bad["_bad"], "left_anti")
 
 
 @query("op7_decontamination")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import checkpointed, query, table, text_of, without_space
+from .common import checkpointed, free_name, query, table, text_of, without_space
 
 SALTS = 256
 LEAD = 64
@@ -58,11 +58,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     digest = F.sha2(without_space(text_of(text_col)).cast("binary"), 256)
     kept = exact_groups(docs, id_col, text_col).where("kept").select(
         F.col(id_col).alias("_kid"), F.col("text_sha256").alias("_ksha"))
-    tagged = docs.withColumn("_sha", digest)
-    found = tagged.join(kept, F.col(id_col).eqNullSafe(F.col("_kid")) & (F.col("_sha") == F.col("_ksha")), "left_semi")
+    sha, rank = free_name(docs, "_sha"), free_name(docs, "_rank")
+    tagged = docs.withColumn(sha, digest)
+    found = tagged.join(kept, tagged[id_col].eqNullSafe(kept["_kid"]) & (tagged[sha] == kept["_ksha"]), "left_semi")
     # rows that repeat id and text both match; one of them stays
-    one = W.partitionBy(id_col, "_sha").orderBy(F.char_length(text_of(text_col)).desc())
-    return found.withColumn("_rank", F.row_number().over(one)).where("_rank = 1").select(*docs.columns)
+    one = W.partitionBy(id_col, sha).orderBy(F.char_length(text_of(text_col)).desc())
+    return found.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).select(*docs.columns)
 
 
 SQL = r"""

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import checkpointed, of_ids, query, stored, table
+from .common import checkpointed, free_name, of_ids, query, stored, table
 from .components import components
 from .shingles import mix, pieces, shingle_sets
 
@@ -362,9 +362,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     ids = near_groups(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
         F.col(id_col).alias("_kid")).distinct()
-    kept = docs.join(ids, F.col(id_col).eqNullSafe(F.col("_kid")), "left_semi")
+    kept, rank = docs.join(ids, docs[id_col].eqNullSafe(ids["_kid"]), "left_semi"), free_name(docs, "_rank")
     one = W.partitionBy(id_col).orderBy(F.char_length(text_col).desc_nulls_last(), F.col(text_col))
-    return kept.withColumn("_rank", F.row_number().over(one)).where("_rank = 1").select(*docs.columns)
+    return kept.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).select(*docs.columns)
 
 
 @query("op10_jaccard_join")

@@ -21,7 +21,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import query, stored, table, text_of
+from .common import free_name, query, stored, table, text_of
 
 TRAINING_ROWS = 20_000  # bound of the labelled rows that are learned from
 TREES, DEPTH = 12, 3
@@ -153,16 +153,16 @@ def with_scores(docs: DataFrame, model: RuleModel, text_col: str = "text") -> Da
 
     Rows repeat as they are; an empty table gives an empty result.
     """
-    kept = [c for c in docs.columns if c != "score"]
-    scored = docs.select(*kept, statistics(text_of(text_col)).alias("_s"))
-    return scored.select(*kept, model.score(F.col("_s")).alias("score"))
+    kept, own = [c for c in docs.columns if c != "score"], free_name(docs, "_s")
+    scored = docs.select(*kept, statistics(text_of(text_col)).alias(own))
+    return scored.select(*kept, model.score(F.col(own)).alias("score"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose score reaches ``THRESHOLD``, with all their columns."""
     model = fit_rules(docs, labels, id_col, text_col)
-    score = model.score(F.col("_s"))
-    return docs.withColumn("_s", statistics(text_of(text_col))).where(score >= THRESHOLD).select(*docs.columns)
+    own = free_name(docs, "_s")
+    return docs.withColumn(own, statistics(text_of(text_col))).where(model.score(F.col(own)) >= THRESHOLD).select(*docs.columns)
 
 
 @query("op1_quality_rules")

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import query, table
+from .common import free_name, query, table
 
 #: The rules of the contract, (verdict, rule).
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -160,8 +160,9 @@ def filter_urls(rows: DataFrame, url: str = "url", rules: Sequence[tuple[str, st
     host, path = canonical(url)
     kept = [c for c in rows.columns if c not in ("host", "path", "rule", "verdict")]
     parts = rows.select(*kept, host.alias("host"), path.alias("path"))
-    k = F.col("_rule") + 1
-    return parts.withColumn("_rule", fitting(F.concat("host", "path"))).select(
+    own = free_name(parts, "_rule")
+    k = F.col(own) + 1
+    return parts.withColumn(own, fitting(F.concat("host", "path"))).select(
         *kept, "host", "path",
         F.element_at(F.array(F.lit(None).cast("string"), *map(F.lit, names)), k + 1).alias("rule"),
         F.element_at(F.array(F.lit(default), *[F.lit(v) for v, _ in rules]), k + 1).alias("verdict"))
