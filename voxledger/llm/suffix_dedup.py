@@ -31,6 +31,7 @@ GRAM = 32
 CHUNK = 1 << 19  # bytes of text that a task treats at once
 LEAD = 16
 BUCKET_BYTES = 64 << 20  # text whose suffixes make one bucket
+HOT_ROWS = 4096  # undecided suffixes of one gram beyond which each window is a key of its own
 SAMPLE_TEXTS = 2_000  # texts that the splitters are drawn from
 LOWEST = -(2**63)  # stands for a null id
 
@@ -229,44 +230,65 @@ def settled(rows: DataFrame, buckets: int, length: int) -> DataFrame:
                                            nothing if place is None else pa.array(place)], ["doc", "lo", "hi", "gram", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def open_rows():
-            for batch in batches:
-                done = batch.filter(batch.column("gram").is_null())
-                if done.num_rows:
-                    place = done.column("place").to_numpy()
-                    ready.append(batch_of(done.column("doc").to_numpy(), place >> 32, place & 0xFFFFFFFF))
-                yield batch.filter(batch.column("gram").is_valid())
-
-        ready: list[pa.RecordBatch] = []
-        for t in runs_of(open_rows(), ["gram"]):
-            while ready:
-                yield ready.pop()
-            gram, around, doc, place = (t.column(c).to_numpy() for c in ("gram", "around", "doc", "place"))
+        # the last row stays for the comparison across the border of two batches; a group is never held whole
+        last, waiting = None, None  # waiting: the first suffix of an open group that has one kind of surroundings so far
+        for batch in batches:
+            done = batch.filter(batch.column("gram").is_null())
+            if done.num_rows:
+                place = done.column("place").to_numpy()
+                yield batch_of(done.column("doc").to_numpy(), place >> 32, place & 0xFFFFFFFF)
+            batch = batch.filter(batch.column("gram").is_valid())
+            if not batch.num_rows:
+                continue
+            rows = np.stack([batch.column(c).to_numpy() for c in ("gram", "around", "doc", "place")])
+            start = 0
+            if last is not None:
+                rows, start = np.concatenate([last, rows], 1), 1
+            gram, around, doc, place = rows
             new = np.ones(len(gram), bool)
             new[1:] = gram[1:] != gram[:-1]
             lead = new.copy()  # first suffix with its surroundings
             lead[1:] |= around[1:] != around[:-1]
-            at = np.flatnonzero(~lead & ~np.concatenate([[False], (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])]))
+            same = np.zeros(len(gram), bool)  # a repeated row: the same place, no earlier one
+            same[1:] = (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])
+            if start:
+                new[0] = lead[0] = False
+            at = np.flatnonzero(~lead & ~same)
+            at = at[at >= start]
             order = at[np.lexsort((place[at], doc[at]))]
             p, lo = place[order] >> 16, (place[order] >> 16) - (place[order] >> 8 & 255)
             ids, code = np.unique(doc[order], return_inverse=True)
             lo, hi, code = merged(lo, lo + (place[order] & 255) + length, code)
             if len(lo):
                 yield batch_of(ids[code], lo, hi)
-            group = np.cumsum(new) - 1
-            several = np.bincount(group, weights=lead) > 1
-            at = np.flatnonzero(lead & several[group])
-            if len(at):
-                zero = np.zeros(len(at), np.int64)
-                yield batch_of(doc[at], zero, zero, gram[at], place[at])
-        yield from ready
+            leads = np.flatnonzero(lead)
+            group = np.cumsum(new)  # 0: the group that was open
+            kinds = np.bincount(group[leads], minlength=int(group[-1]) + 1)
+            chosen = leads[(kinds[group[leads]] > 1) | (group[leads] == 0)]
+            out = rows[:, chosen]
+            if kinds[0] and waiting is not None:
+                out, waiting = np.concatenate([waiting, out], 1), None
+            if group[-1] > 0:  # the open group is another one now
+                tail = leads[group[leads] == group[-1]]
+                waiting = rows[:, tail] if len(tail) == 1 else None
+            if out.shape[1]:
+                zero = np.zeros(out.shape[1], np.int64)
+                yield batch_of(out[2], zero, zero, out[0], out[3])
+            last = rows[:, -1:]
 
     return dealt.mapInArrow(run, schema)
 
 
 def surroundings(docs: DataFrame, undecided: DataFrame, length: int) -> DataFrame:
-    """(gram, doc, place, around) with the bytes of all windows that each undecided suffix leads."""
-    wanted = undecided.groupBy("doc").agg(F.collect_list(F.struct("gram", "place")).alias("w"))
+    """(gram, doc, place, bytes) with the bytes of all windows that each undecided suffix leads.
+
+    Suffixes of a gram that is hot come as one row for each window instead:
+    ``gram`` is then a hash of the window, which is a key of its own, ``place``
+    its start, and ``bytes`` null. So the group is dealt over many tasks.
+    """
+    hot = undecided.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > HOT_ROWS).select("gram", F.lit(True).alias("hot"))
+    wanted = undecided.join(hot, "gram", "left").groupBy("doc").agg(
+        F.collect_list(F.struct("gram", "place", F.col("hot").isNotNull().alias("hot"))).alias("w"))
     found = docs.join(wanted, "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,22 +296,34 @@ def surroundings(docs: DataFrame, undecided: DataFrame, length: int) -> DataFram
             texts, lists = batch.column("text").to_pylist(), batch.column("w")
             flat = lists.flatten()
             gram, place = (flat.field(k).to_numpy() for k in (0, 1))
+            hot = flat.field(2).to_numpy(zero_copy_only=False)
             ends = np.cumsum(lists.value_lengths().to_numpy())
             first = 0
-            out = [[], [], [], []]
+            cold, windows = [[], [], [], []], [[], [], []]
             for i, doc in enumerate(batch.column("doc").to_pylist()):
                 raw = (texts[i] or "").encode("utf-8", "surrogatepass")
-                for k in range(first, int(ends[i])):
-                    w = int(place[k])
-                    lo = (w >> 16) - (w >> 8 & 255)
-                    out[3].append(raw[lo:lo + (w & 255) + length])
-                out[0].append(gram[first:ends[i]])
-                out[1].append(np.full(int(ends[i]) - first, doc, np.int64))
-                out[2].append(place[first:ends[i]])
+                own = np.arange(first, int(ends[i]))
                 first = int(ends[i])
-            if out[3]:
-                yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in out[:3]), pa.array(out[3], pa.binary())],
-                                                 ["gram", "doc", "place", "bytes"])
+                p, back, count = place[own] >> 16, place[own] >> 8 & 255, place[own] & 255
+                lo = p - back
+                some = ~hot[own]
+                cold[3] += [raw[x:y] for x, y in zip(lo[some].tolist(), (lo + count + length)[some].tolist())]
+                cold[0].append(gram[own[some]])
+                cold[1].append(np.full(int(some.sum()), doc, np.int64))
+                cold[2].append(place[own[some]])
+                if not some.all():
+                    grams = Grams(np.frombuffer(raw, np.uint8))
+                    each = count[~some] + 1
+                    start = np.repeat(lo[~some], each) + np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)
+                    windows[0].append(grams.hashes(start, start + length).view(np.int64))
+                    windows[1].append(np.full(len(start), doc, np.int64))
+                    windows[2].append(start)
+            names = ["gram", "doc", "place", "bytes"]
+            if cold[3]:
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in cold[:3]), pa.array(cold[3], pa.binary())], names)
+            if windows[0]:
+                arrays = [pa.array(np.concatenate(x)) for x in windows]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(arrays[0]), pa.binary())], names)
 
     return found.select("doc", "text", "w").mapInArrow(run, "gram long, doc long, place long, bytes binary")
 
@@ -326,8 +360,8 @@ def repeated_windows(rows: DataFrame, length: int) -> DataFrame:
             raw = t.column("bytes").filter(pa.array(once)).to_pylist()
             starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
             at = 0
-            while at < len(starts):  # whole groups, about 20,000 suffixes at once
-                end = max(at + 1, int(np.searchsorted(starts, starts[at] + 20_000)))
+            while at < len(starts):  # whole groups, about 4,000 suffixes at once
+                end = max(at + 1, int(np.searchsorted(starts, starts[at] + 4_000)))
                 a, b = int(starts[at]), int(starts[end]) if end < len(starts) else len(gram)
                 at = end
                 length_of = np.array([len(x) for x in raw[a:b]])
@@ -366,8 +400,13 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     cuts = splitters(docs, buckets, total[0], length)
     first = stored(settled(suffix_rows(docs, cuts, length), buckets, length), "suffixes")
     undecided = first.where("gram is not null").select("doc", "gram", "place").distinct()
-    second = repeated_windows(surroundings(docs, undecided, length), length)
-    return first.where("gram is null").select("doc", "lo", "hi").union(second)
+    around = stored(surroundings(docs, undecided, length), "surroundings")
+    second = repeated_windows(around.where("bytes is not null"), length)
+    # windows of hot grams: the first of equal ones is pre-aggregated, the others repeat it
+    hot = around.where("bytes is null").select("gram", F.struct("doc", "place").alias("at"))
+    once = hot.groupBy("gram").agg(F.min("at").alias("first"))
+    third = hot.join(once, "gram").where("at <> first").select("at.doc", F.col("at.place").alias("lo"), (F.col("at.place") + length).alias("hi"))
+    return first.where("gram is null").select("doc", "lo", "hi").union(second).union(third)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
