@@ -143,8 +143,10 @@ def write_archives(pages: DataFrame, folder: str, html: str = "html", page: str
     to the same names.
     """
     rows = with_originals(pages, html, page)
-    sample = (pages.select(text_of(html).alias("h"), F.xxhash64(text_of(html)).alias("x")).where(F.octet_length("h").between(1, SAMPLE_BYTES))
-              .orderBy("x", "h").limit(SAMPLE_RECORDS).collect())
+    # the records with the smallest hashes: first the numbers alone, then only these texts
+    drawn = pages.select(text_of(html).alias("h"), F.xxhash64(text_of(html)).alias("x")).where(F.octet_length("h").between(1, SAMPLE_BYTES))
+    cut = drawn.select("x").orderBy("x").limit(SAMPLE_RECORDS).agg(F.max("x")).first()[0]
+    sample = drawn.where(F.col("x") <= cut).dropDuplicates(["x"]).orderBy("x").limit(SAMPLE_RECORDS).collect() if cut is not None else []
     dictionary = build_dictionary([record(k, "https://www.example.com/", r.h.encode("utf-8", "surrogatepass"), len(r.h.encode("utf-8", "surrogatepass")),
                                           digest(r.h.encode("utf-8", "surrogatepass"))) for k, r in enumerate(sample)])
 
