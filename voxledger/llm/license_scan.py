@@ -57,10 +57,11 @@ def words_of(text: str) -> list[str]:
 
 
 GAP = 300  # characters between lines of one notice that have a cue
+BEHIND = 3  # lines behind the last cue that a notice may go on
 
 
-def blocks(text: str) -> list[list[tuple[int, int]]]:
-    """Candidate blocks, each as (start, end) spans to try: the run of lines with cues, that with the line behind, its lines.
+def blocks(text: str) -> list[tuple[list[tuple[int, int]], list[tuple[int, int]]]]:
+    """Candidate blocks, each as (start, end) spans to try: the run of lines with cues with and without lines behind it, and its lines.
 
     Lines with cues that lie close together are one run; long lines are cut around their cues.
     """
@@ -86,9 +87,12 @@ def blocks(text: str) -> list[list[tuple[int, int]]]:
     out = []
     for run in runs:
         start, end = run[0][0], run[-1][1]
-        behind = text.find("\n", end + 1)
-        behind = min(len(text) if behind < 0 else behind, end + REACH)
-        out.append([(start, end), (start, behind), *(run if len(run) > 1 else [])])
+        wide = [(start, end)]
+        for _ in range(BEHIND):  # a notice may end in lines without a cue
+            behind = text.find("\n", end + 1)
+            end = min(len(text) if behind < 0 else behind, end + REACH)
+            wide.append((start, end))
+        out.append((wide, run if len(run) > 1 else []))
     return out
 
 
@@ -142,9 +146,10 @@ class Templates:
     def scan(self, text: str) -> tuple[int, list[dict]]:
         """(number of candidate blocks, confirmed findings) of one whole text."""
         runs, found = blocks(text), []
-        for spans in runs:
-            whole = [x for x in map(lambda s: self._confirmed(text, *s), spans[:2]) if x][:1]
-            found += whole or [x for x in map(lambda s: self._confirmed(text, *s), spans[2:]) if x]
+        for wide, lines in runs:
+            whole = [x for x in (self._confirmed(text, *span) for span in dict.fromkeys(wide)) if x]
+            found += [min(whole, key=lambda x: len(x["differences"]))] if whole else [
+                x for x in (self._confirmed(text, *span) for span in lines) if x]
         return len(runs), found
 
     def _confirmed(self, text: str, start: int, end: int) -> dict | None:
