@@ -1,7 +1,7 @@
 """The paths meant for large groups give the same rows as the plain ones."""
 
 import numpy as np
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from voxledger.operators import relational as rel, stats as st
 from voxledger.operators.scale import exact_quantiles, global_position, position_in_group, running_sums
@@ -19,18 +19,20 @@ def rows(df):
     return sorted(map(tuple, df.collect()))
 
 
-def test_running_sums_paths_agree(spark):
+def test_running_sums_equal_a_window(spark):
     d = hot(spark).groupBy("g", "v").agg(F.sum("one").alias("n"))
     for group in (["g"], []):
         src = d if group else d.groupBy("v").agg(F.sum("n").alias("n"))
-        small = running_sums(src, group, ["v"], {"c": "n"})
-        large = running_sums(src, group, ["v"], {"c": "n"}, small_bytes=0)
+        keys = W.partitionBy(*(group or [F.lit(0)]))
+        small = src.select("*", F.sum("n").over(keys.orderBy("v").rowsBetween(W.unboundedPreceding, 0)).alias("c"),
+                           F.sum("n").over(keys).alias("t"))
+        large = running_sums(src, group, ["v"], {"c": "n"}, {"t": "n"})
         assert rows(small) == rows(large.select(small.columns))
         assert len(rows(large)) == src.count()
 
 
 def test_global_position_is_dense(spark):
-    out = global_position(hot(spark), ["v", "id"], small_bytes=0)
+    out = global_position(hot(spark), ["v", "id"])
     got = [r["pos"] for r in out.orderBy("v", "id").collect()]
     assert got == list(range(3000))
 

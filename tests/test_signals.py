@@ -180,3 +180,11 @@ def test_ks_tail(spark):
 def test_pitch_needs_enough_samples():
     assert len(voice.pitch_track(np.zeros(5), SR, 75, 500, 0.01, 0.45)[0]) == 0
     assert dsp.stft_magnitude(np.zeros(3), 16, 8).shape == (0, 9)
+
+
+def test_voiced_runs_of_two_samples_have_no_pulses():
+    """Runs shorter than three samples used to end the job."""
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        t, amp = voice.find_pulses(rng.normal(size=64), 64.0, 4.0, 25.0, 0.01)
+        assert len(t) == len(amp)

@@ -12,10 +12,11 @@ def test_unknown_names_are_errors(spark, sf):
     with pytest.raises(ValueError):
         rec.scan_dataset(spark.range(1).withColumn("corpus", F.lit("a")), "b", ("a",))
     with pytest.raises(ValueError):
-        rec.shard_size(97 * 89, 90, 96)
+        rec.assign_shards(spark.range(97 * 89).select(F.col("id").cast("string").alias("audio_id")), 90, 96)
     with pytest.raises(ValueError, match="missing feature columns: nope"):
         rel.align_columns(fx.feat_line(spark, sf), ["qty", "nope"])
-    assert rec.shard_size(1000) == 100
+    sizes = spark.range(1).select(rec.even_shard_size(F.lit(1000), 90, 110), rec.even_shard_size(F.lit(97 * 89), 90, 96)).first()
+    assert tuple(sizes) == (100, None)
 
 
 def test_shards_keep_ids_whole(spark, tmp_path):

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
+# Output column names.
 MEASURES = ["mean", "std", "var", "min", "max", "range", "25th_percentile", "50th_percentile",
             "75th_percentile", "skew", "kurtosis"]
 

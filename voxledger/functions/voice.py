@@ -67,7 +67,9 @@ def find_pulses(x, sr, fmin, fmax, step, threshold=0.45):
                 found.append(p)
         times += sorted(found)
         last = end
-    p = np.array(sorted(set(times)))
+    if not times:  # every voiced run is shorter than three samples
+        return np.empty(0), np.empty(0)
+    p = np.array(sorted(set(times)), dtype=np.int64)
     inner = np.clip(p, 1, len(x) - 2)
     a, b, c = y[inner - 1], y[inner], y[inner + 1]
     bend = a - 2 * b + c

@@ -19,6 +19,7 @@ from .prep import fit_preparation
 from .relational import distinct_labels, real_vs
 from .scale import global_position
 
+# Display names of the runs.
 MODEL_NAMES = ["Logistic Regression", "Regularized Logistic Regression", "Random Forest",
                "Calibrated Logistic Regression", "Calibrated Random Forest"]
 

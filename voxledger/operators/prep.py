@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from itertools import combinations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
@@ -163,7 +162,7 @@ def _candidate_pairs(prof: dict[str, dict], columns: list[str]) -> list[tuple[st
     groups: dict[object, list[str]] = defaultdict(list)
     for c in columns:
         groups[prof[c]["hash"]].append(c)
-    return [pair for g in groups.values() for pair in combinations(g, 2)]
+    return [(g[0], c) for g in groups.values() for c in g[1:]]
 
 
 def duplicate_columns(df: DataFrame, columns: list[str], id_col: str = "audio_id") -> list[str]:

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from .scale import position_in_group
+from .scale import join_lookup, position_in_group
 from ..sources.recordings import base_name
 
 # Expected sampling rate by speaker family and version.
@@ -28,7 +28,7 @@ def class_index(df: DataFrame, label: str = "real_or_fake", real_first: bool = T
     order = [F.col(label) != "R", F.col(label)] if real_first else [F.col(label)]
     w = W.partitionBy(F.lit(0)).orderBy(*order)
     index = df.select(label).distinct().select(label, (F.row_number().over(w) - 1).alias("class_index"))
-    return df.join(index, label)
+    return join_lookup(df, index, label)
 
 
 def collapse_labels(df: DataFrame, mode: str = "prefix", label: str = "real_or_fake") -> DataFrame:
@@ -183,7 +183,7 @@ def stratified_split(df: DataFrame, frac: float = 0.2, seed: int = 42, label: st
     keyed = df.withColumn("_h", h).withColumn("_prefix", F.substring("_h", 1, 4))
     ranked = position_in_group(keyed, [label], "_prefix", ["_h", id_col], "_pos")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    return (ranked.join(sizes, label)
+    return (join_lookup(ranked, sizes, label)
             .withColumn("is_test", F.col("_pos") < F.round(F.col("_n") * frac))
             .select(*df.columns, "is_test"))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -69,10 +68,8 @@ def compare_runs(current: DataFrame, previous: DataFrame) -> DataFrame:
         "metric", "current", "previous", (F.col("current") - F.col("previous")).alias("change"))
 
 
-def evaluate_staged(scored: dict[str, DataFrame]) -> DataFrame:
-    """previous_version_* metrics of every staged model; ``scored`` maps model name to its y, p, pred rows."""
-    parts = [d.select(F.lit(m).alias("model"), "y", "p", "pred") for m, d in scored.items()]
-    rows = reduce(lambda a, b: a.unionByName(b), parts)
+def evaluate_staged(rows: DataFrame) -> DataFrame:
+    """previous_version_* metrics of every staged model from rows of (model, y, p, pred)."""
     m = binary_metrics(rows, ["model"]).join(roc_auc(rows, ["model"]), "model")
     names = {"accuracy": "accuracy", "precision": "precision", "recall": "recall", "f1": "f1_score", "roc_auc": "roc_auc_score"}
     return m.select("model", *[F.col(a).alias(f"previous_version_{b}") for a, b in names.items()])

@@ -35,7 +35,21 @@ def position_in_group(df: DataFrame, group: list[str], coarse: str,
             .drop("_local", "_shift"))
 
 
-SMALL_BYTES = 32 << 20
+#: Rows of a table of classes, features or shards up to which it is sent to all tasks.
+LOOKUP_ROWS = 100_000
+
+
+def join_lookup(df: DataFrame, per_key: DataFrame, keys: list[str] | str, how: str = "inner") -> DataFrame:
+    """Join one row per class, feature or shard without moving ``df``.
+
+    The keys are few and each may hold most of the rows, so a shuffle on them
+    would end in a few tasks. ``per_key`` is fixed first, so its count is exact
+    and it is not worked out twice; beyond ``LOOKUP_ROWS`` rows it is an
+    ordinary join.
+    """
+    fixed = checkpointed(per_key)
+    few = fixed.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS
+    return df.join(F.broadcast(fixed) if few else fixed, keys, how)
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -44,21 +58,16 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def running_sums(df: DataFrame, group: list[str], order: list[str | Column], sums: dict[str, str],
-                 totals: dict[str, str] | None = None, small_bytes: int = SMALL_BYTES) -> DataFrame:
+                 totals: dict[str, str] | None = None) -> DataFrame:
     """Inclusive running sum of each ``sums`` input along ``order``, and group ``totals``.
 
     Both map output name to input column. Rows that compare equal on group and
-    order must have been merged before. Below ``small_bytes`` a window per group
-    does; beyond it rows are range-partitioned on group and order, so one large
-    group spreads over many partitions, and each partition adds the totals of
-    those before it to its own sums.
+    order must have been merged before. Rows are range-partitioned on group and
+    order, so one large group spreads over many partitions, and each partition
+    adds the totals of those before it to its own sums.
     """
     totals = totals or {}
     keys = group or [F.lit(0)]
-    if estimated_bytes(df) < small_bytes:
-        w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(w).alias(o) for o, c in sums.items()],
-                         *[F.sum(c).over(W.partitionBy(*keys)).alias(o) for o, c in totals.items()])
     fixed = checkpointed(df.orderBy(*group, *order)).withColumn("_part", F.spark_partition_id())
     local = W.partitionBy("_part", *group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     within = fixed.select("*", *[F.sum(c).over(local).alias(f"_in_{o}") for o, c in sums.items()])
@@ -73,10 +82,10 @@ def running_sums(df: DataFrame, group: list[str], order: list[str | Column], sum
     return joined.select(*df.columns, *[(F.col(f"_in_{o}") + F.col(f"_off_{o}")).alias(o) for o in sums], *totals)
 
 
-def global_position(df: DataFrame, order: list[str], name: str = "pos", small_bytes: int = SMALL_BYTES) -> DataFrame:
+def global_position(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
     """0-based position of every row in the total order."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
-    out = running_sums(one, [], order, {"_pos": "_one"}, small_bytes=small_bytes)
+    out = running_sums(one, [], order, {"_pos": "_one"})
     return out.select(*df.columns, (F.col("_pos") - 1).alias(name))
 
 

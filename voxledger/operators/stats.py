@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import describe
 from ..functions.special import f_pvalue, normal_pvalue, t_pvalue
-from .scale import exact_quantiles, running_sums, spread_small
+from .scale import exact_quantiles, join_lookup, running_sums, spread_small
 
 
 def to_long(df: DataFrame, columns: list[str], ids: tuple[str, ...] = ("real_or_fake",)) -> DataFrame:
@@ -84,7 +84,7 @@ def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> Data
         F.least(F.floor((F.col("_v") - F.col("_lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))).cast("int")
     if by:
         edges = src.groupBy(by).agg(*bounds)
-        placed = src.join(edges, by)
+        placed = join_lookup(src, edges, by)
     else:  # one row, so its values become constants
         row = src.agg(*bounds).first()
         edges = df.sparkSession.createDataFrame([tuple(row)], "_lo double, _hi double, _n bigint")
@@ -108,7 +108,7 @@ def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     lo, hi = F.col("q1") - reach, F.col("q3") + reach
     inside = F.col(value).between(lo, hi)
-    return df.join(q, by).groupBy(by, "q1", "median", "q3").agg(
+    return join_lookup(df, q, by).groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"), F.count(F.lit(1)).alias("n"))
@@ -185,7 +185,7 @@ def levene(long: DataFrame, label: str = "real_or_fake") -> DataFrame:
     side = long.where(F.col("value").isNotNull()).select(
         "feature", F.when(F.col(label) == "R", "R").otherwise("F").alias("side"), "value")
     med = exact_quantiles(side, ["feature", "side"], "value", {"median": 0.5})
-    z = side.join(med, ["feature", "side"]).select(
+    z = join_lookup(side, med, ["feature", "side"]).select(
         "feature", F.col("side").alias("real_or_fake"), F.abs(F.col("value") - F.col("median")).alias("value"))
     out = class_moments(z).select("feature", anova_column().alias("levene_stat"),
                                   (F.col("n_r") + F.col("n_f") - 2).cast("double").alias("df2"))
@@ -270,8 +270,10 @@ def rank_features(tests: DataFrame, n: int, by: tuple[str, str] = ("t_p_val", "u
 def correlation_matrix(df: DataFrame, columns: list[str], centre: dict[str, float] | None = None) -> DataFrame:
     """Pearson r of every column pair i < j, over rows where both are present; null for a constant.
 
-    Each task adds up its own cross-product matrices and only those are
-    shuffled. ``centre`` gives column means known from an earlier pass.
+    Each task adds up its own cross-product matrices and hands on one packed
+    row; these are added in two steps, by about as many tasks as the root of
+    their number and then by one, and unpacked once. ``centre`` gives column
+    means known from an earlier pass.
     """
     centre = centre or df.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
     mean = np.array([centre[c] if centre[c] is not None else 0.0 for c in columns])
@@ -286,14 +288,29 @@ def correlation_matrix(df: DataFrame, columns: list[str], centre: dict[str, floa
             z, m = np.where(m, x - mean, 0.0), m.astype(np.float64)
             n, s, q, p = m.T @ m, z.T @ m, (z * z).T @ m, z.T @ z
             acc += np.stack([n[iu, ju], s[iu, ju], s.T[iu, ju], q[iu, ju], q.T[iu, ju], p[iu, ju]])
-        yield pd.DataFrame({"i": iu.astype(np.int32), "j": ju.astype(np.int32), "n": acc[0], "sa": acc[1],
-                            "sb": acc[2], "qa": acc[3], "qb": acc[4], "p": acc[5]})
-
-    # fewer, longer tasks keep the number of partial matrices small
-    tasks = max(4 * df.sparkSession.sparkContext.defaultParallelism, 2000)
-    rows = spread_small(df.select(*[F.col(c).cast("double") for c in columns])).coalesce(tasks)
-    parts = (rows.mapInPandas(partial, "i int, j int, n double, sa double, sb double, qa double, qb double, p double"))
-    g = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "p")])
+        yield pd.DataFrame({"part": [acc.tobytes()]})
+
+    def added(batches):
+        """One packed row per task; rows stream through, so their number does not matter."""
+        acc = None
+        for b in batches:
+            for raw in b["part"]:
+                own = np.frombuffer(raw, np.float64)
+                acc = own.copy() if acc is None else acc + own
+        if acc is not None:
+            yield pd.DataFrame({"part": [acc.tobytes()]})
+
+    def unpacked(batches):
+        for b in added(batches):
+            acc = np.frombuffer(b["part"][0], np.float64).reshape(6, len(iu))
+            yield pd.DataFrame({"i": iu.astype(np.int32), "j": ju.astype(np.int32), "n": acc[0], "sa": acc[1],
+                                "sb": acc[2], "qa": acc[3], "qb": acc[4], "p": acc[5]})
+
+    rows = spread_small(df.select(*[F.col(c).cast("double") for c in columns]))
+    parts = rows.mapInPandas(partial, "part binary")
+    some = max(1, int(np.sqrt(parts.rdd.getNumPartitions())))
+    g = parts.repartition(some).mapInPandas(added, "part binary").repartition(1).mapInPandas(
+        unpacked, "i int, j int, n double, sa double, sb double, qa double, qb double, p double")
     n = _nz(F.col("n"))
     cov = F.col("p") - F.col("sa") * F.col("sb") / n
     va, vb = F.col("qa") - F.col("sa") * F.col("sa") / n, F.col("qb") - F.col("sb") * F.col("sb") / n

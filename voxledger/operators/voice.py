@@ -69,9 +69,10 @@ def pulses(df: DataFrame, fmin: float = 75.0, fmax: float = 500.0, step: float =
     return rows.select(*KEEP, "i", "t", (F.col("t") - before).alias("period"), F.get("p.amp", F.col("i")).alias("amp"))
 
 
-def formants_at_pulses(df: DataFrame, fmin: float = 75.0, fmax: float = 500.0, step: float = 0.0025, ceiling: float = 5000.0) -> DataFrame:
+def formants_at_pulses(df: DataFrame, fmin: float = 75.0, fmax: float = 500.0, step: float = 0.0025, ceiling: float = 5000.0,
+                       pulse_step: float = 0.01) -> DataFrame:
     """Mean and median of F1 to F4 over pulses, each read at its nearest frame."""
-    both = df.select(*KEEP, vo.pulses_of("samples", "sampling_rate", fmin, fmax, 0.01).alias("p"),
+    both = df.select(*KEEP, vo.pulses_of("samples", "sampling_rate", fmin, fmax, pulse_step).alias("p"),
                      vo.formants_of("samples", "sampling_rate", step=step, ceiling=ceiling).alias("f"))
     t0 = F.get("f.t", F.lit(0))
     gap = F.coalesce(F.nullif(F.get("f.t", F.lit(1)) - t0, F.lit(0.0)), F.lit(step))

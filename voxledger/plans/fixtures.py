@@ -145,10 +145,10 @@ def drift(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, sf: str) -> DataFrame:
-    # rank <= 8 lets Spark keep 8 rows per model in each map task before the shuffle
-    w = W.partitionBy("o_orderpriority").orderBy("o_orderdate", "o_orderkey")
-    o = (table(spark, sf, "orders").select("o_orderpriority", "o_orderdate", "o_orderkey", "o_totalprice")
-         .withColumn("version", F.row_number().over(w)).where(F.col("version") <= 8))
+    # a model has most of the rows: they are numbered by day and shifted
+    o = table(spark, sf, "orders").select("o_orderpriority", "o_orderdate", "o_orderkey", "o_totalprice")
+    o = position_in_group(o, ["o_orderpriority"], "o_orderdate", ["o_orderdate", "o_orderkey"], "_pos")
+    o = o.withColumn("version", (F.col("_pos") + 1).cast("int"))
     v = F.col("version")
     return o.select(
         F.col("o_orderpriority").alias("model"), v,
@@ -228,7 +228,7 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
         0.5 + (o_totalprice % 1000) / 2000 AS auc,
         CASE version WHEN 3 THEN 'Staging' WHEN 2 THEN 'Production' ELSE 'None' END AS stage, o_orderdate AS ts
         FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS version
-        FROM orders) WHERE version <= 8"""),
+        FROM orders)"""),
     "manifest": ((), """SELECT doc_id, 'train/' || (CASE WHEN m = 0 THEN '' ELSE 'F0' || m::VARCHAR || '_' END)
         || family || g::VARCHAR || '.wav' AS path, text AS content,
         CASE WHEN doc_id % 11 = 0 THEN 8000 WHEN m = 0 THEN (CASE WHEN family = 'p' THEN 48000 ELSE 44100 END)

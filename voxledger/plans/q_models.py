@@ -42,7 +42,7 @@ def m03(spark, sf):
 @query("m04_calibrate")
 def m04(spark, sf):
     train, test = _split(spark, sf)
-    lr, rf = ml.logistic(train), ml.random_forest(train, 20)
+    lr, rf = ml.logistic(train), ml.random_forest(train, 100)
     a = ml.calibrate(lr, train).score(test).withColumn("model", F.lit("logistic"))
     return a.union(ml.calibrate(rf, train).score(test).withColumn("model", F.lit("forest")))
 
@@ -50,7 +50,7 @@ def m04(spark, sf):
 @query("m05_gradient_boosting")
 def m05(spark, sf):
     train, test = _split(spark, sf)
-    return ml.score(test, ml.gradient_boosting(train, 20))
+    return ml.score(test, ml.gradient_boosting(train, 100))
 
 
 def _multi(spark, sf):
@@ -69,19 +69,19 @@ def m06(spark, sf):
 @query("m07_multiclass_forest")
 def m07(spark, sf):
     rows, _ = _multi(spark, sf)
-    return ml.multiclass_forest(rows, 20).transform(rows).select("audio_id", "class_index", F.col("prediction").alias("pred"))
+    return ml.multiclass_forest(rows, 100).transform(rows).select("audio_id", "class_index", F.col("prediction").alias("pred"))
 
 
 @query("m08_dense_net")
 def m08(spark, sf):
     train, test = _split(spark, sf)
-    return ml.score(test, ml.dense_net(train, max_iter=50))
+    return ml.score(test, ml.dense_net(train))
 
 
 @query("m09_multiclass_net")
 def m09(spark, sf):
     rows, labels = _multi(spark, sf)
-    model = ml.multiclass_net(rows, len(labels), max_iter=50)
+    model = ml.multiclass_net(rows, len(labels))
     return model.transform(rows).select("audio_id", "class_index", F.col("prediction").alias("pred"))
 
 
@@ -113,7 +113,7 @@ def m14(spark, sf):
 @query("p10_rf_important")
 def p10(spark, sf):
     train, _ = _split(spark, sf)
-    return ml.rf_important(train, fx.EMB, 50)
+    return ml.rf_important(train, fx.EMB, 100)
 
 
 @query("p11_lr_importance")
@@ -125,11 +125,11 @@ def p11(spark, sf):
 def e10(spark, sf):
     train, _ = _split(spark, sf)
     a = ml.importances(ml.logistic(train), fx.EMB, spark).withColumn("model", F.lit("logistic"))
-    return a.union(ml.importances(ml.random_forest(train, 20), fx.EMB, spark).withColumn("model", F.lit("forest")))
+    return a.union(ml.importances(ml.random_forest(train, 100), fx.EMB, spark).withColumn("model", F.lit("forest")))
 
 
 @query("e12_permutation_importance")
 def e12(spark, sf):
     f = _features(spark, sf)
     model = ml.logistic(ml.assembled(f, fx.EMB))
-    return ml.permutation_importance(f, fx.EMB, model, fx.EMB[:16])
+    return ml.permutation_importance(f, fx.EMB, model)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.scale import global_position
+from ..operators.scale import global_position, join_lookup
 
 # Directory of the second corpus -> label.
 WAVE_DIR_LABELS = {
@@ -83,18 +83,18 @@ def list_ids(df: DataFrame, *, ids: list[str] | None = None, indices: list[int]
     return distinct
 
 
-def shard_size(n_ids: int, low: int = 90, high: int = 110) -> int:
-    """Largest divisor of the id count inside the range."""
-    for size in range(high, low - 1, -1):
-        if n_ids % size == 0:
-            return size
-    raise ValueError(f"no divisor of {n_ids} between {low} and {high}")
+def even_shard_size(n_ids: Column, low: int, high: int) -> Column:
+    """The largest shard size in the range that cuts ``n_ids`` evenly, null if none does."""
+    fits = F.filter(F.sequence(F.lit(low), F.lit(high)), lambda size: F.pmod(n_ids, size) == 0)
+    return F.array_max(fits)
 
 
 def assign_shards(df: DataFrame, low: int = 90, high: int = 110, id_col: str = "audio_id") -> DataFrame:
     """Add partition_id: ids in id order, cut into equal shards; an id stays whole."""
     ids = df.select(id_col).distinct()
-    size = shard_size(ids.count(), low, high)
+    n, size = ids.agg(F.count(F.lit(1)).alias("n")).select("n", even_shard_size(F.col("n"), low, high)).first()
+    if size is None:
+        raise ValueError(f"{n} ids cannot be cut into even shards of {low} to {high}")
     shard = (global_position(ids, [id_col])
              .select(id_col, F.floor(F.col("pos") / size).alias("partition_id")))
     return df.join(shard, id_col)
@@ -141,7 +141,7 @@ def resume_shards(source: DataFrame, done: DataFrame, by: str = "partition_id")
     b = done.groupBy(by).agg(F.count(F.lit(1)).alias("n_out"))
     todo = (a.join(b, by, "full_outer")
             .where(~F.col("n_in").eqNullSafe(F.col("n_out"))).select(by))
-    return source.join(todo, by, "left_semi")
+    return join_lookup(source, todo, by, "left_semi")
 
 
 def batch_number(path: Column) -> Column:
