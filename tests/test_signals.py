@@ -100,7 +100,7 @@ def test_silences_and_pauses(spark):
     assert len(got) == 2 and got[0][0] == pytest.approx(0.5, abs=0.05) and got[1][1] == pytest.approx(1.75)
     long = qa.long_silence(df, window=512, step=256).first()
     assert long["has_long_silence"] is False or long["longest"] >= 0.5
-    assert fr.intensity_pauses(df, window=512, step=256).count() == 2
+    assert fr.intensity_pauses(df, window=512 / SR, step=256 / SR).count() == 2
 
 
 def test_wav_round_trip(spark):
@@ -188,3 +188,19 @@ def test_voiced_runs_of_two_samples_have_no_pulses():
     for _ in range(300):
         t, amp = voice.find_pulses(rng.normal(size=64), 64.0, 4.0, 25.0, 0.01)
         assert len(t) == len(amp)
+
+
+def test_rates_do_not_follow_the_sampling_rate(spark):
+    """The same bursts at 16 and 48 kHz have the same rates, and pauses within a frame."""
+    def bursts(sr):
+        return np.concatenate([p for k in range(4) for p in (sine(300, 0.2, 0.5 + 0.1 * (k % 2), sr), np.zeros(int(0.4 * sr)))])
+
+    df = recordings(spark, [bursts(16000)]).union(recordings(spark, [bursts(48000)], 48000).selectExpr("'hi' audio_id", "real_or_fake", "samples", "sampling_rate"))
+    rate = [r["speaking_rate"] for r in vo.speaking_rate(df).collect()]
+    assert rate[0] == pytest.approx(rate[1], rel=0.02)
+    speech = [r for r in vo.speech_rate(df, voicing=False).collect()]
+    assert speech[0]["npause"] == speech[1]["npause"] == 3 and speech[0]["voicedcount"] == speech[1]["voicedcount"]
+    pauses = {}
+    for r in fr.intensity_pauses(df).orderBy("start").collect():
+        pauses.setdefault(r["audio_id"], []).append((r["start"], r["end"]))
+    assert np.allclose(pauses["0"], pauses["hi"], atol=0.016) and len(pauses["0"]) == 4

@@ -10,7 +10,7 @@ from ..functions import dsp, voice as fv
 from ..functions.describe import MEASURES, summaries_of, summary_of
 from . import voice as vo
 from .scale import spread_small
-from .frames import KEEP, crossings, intensity_pauses, resample, rms
+from .frames import KEEP, LEVEL_STEP, LEVEL_WINDOW, crossings, intensity_pauses, resample, rms
 
 # Feature names by group.
 GROUPS = {
@@ -40,6 +40,10 @@ class Options:
     pitch_low: float = 75.0
     pitch_high: float = 500.0
     pitch_step: float = 0.01
+    level_window: float = LEVEL_WINDOW
+    level_step: float = LEVEL_STEP
+    rate_window: float = LEVEL_WINDOW / 2
+    rate_step: float = LEVEL_STEP / 2
     pause_db: float = -25.0
     min_silent: float = 0.1
     min_sounding: float = 0.1
@@ -59,8 +63,9 @@ def feature_row(df: DataFrame, include: list[str] | None = None, opts: Options =
                 measures: list[str] | None = None) -> DataFrame:
     """Summary features of the named groups or single features (all when None).
 
-    Prosodic and voice features read the recording at its own rate, spectral
-    ones after resampling. Features that live inside the recording are computed
+    Spectral features, pitch and energy read the resampled recording; rates,
+    pauses, formants and voice quality read it at its own rate, with windows
+    in seconds. Features that live inside the recording are computed
     in place; only pauses, pulses and speech rate come back through a join.
     """
     want = {f for g in (include or list(GROUPS)) for f in GROUPS.get(g, [g])}
@@ -94,7 +99,7 @@ def feature_row(df: DataFrame, include: list[str] | None = None, opts: Options =
     if "chroma_stft" in want:
         stage1.append(dsp.matrix_of("samples", "sampling_rate", "chroma", opts.n_fft, opts.hop).alias("_chroma"))
     if "speaking_rate" in want:
-        stage1 += [vo.level_array(opts.n_fft, opts.hop, samples="_own").alias("_l"), (F.size("_own") / F.col("_own_sr")).alias("_d")]
+        stage1 += [vo.level_array(opts.rate_window, opts.rate_step, samples="_own", rate="_own_sr").alias("_l"), (F.size("_own") / F.col("_own_sr")).alias("_d")]
     if "formants" in want:
         stage1.append(fv.formants_of("_own", "_own_sr", step=opts.formant_step, count=opts.formant_count,
                                      ceiling=opts.formant_ceiling, window=opts.formant_window).alias("_fm"))
@@ -129,7 +134,7 @@ def feature_row(df: DataFrame, include: list[str] | None = None, opts: Options =
     # intervals and pulses need rows; each comes back as one row per recording
     parts: list[DataFrame] = []
     if "pauses" in want:
-        p = intensity_pauses(df, opts.pause_db, opts.min_silent, opts.min_sounding, opts.n_fft, opts.hop)
+        p = intensity_pauses(df, opts.pause_db, opts.min_silent, opts.min_sounding, opts.level_window, opts.level_step)
         d = p.groupBy(*KEEP).agg(F.collect_list("duration").alias("_d"))
         parts.append(d.select(*KEEP, summary_of("_d", names, "pause_").alias("s")).select(*KEEP, "s.*"))
     if want & {"jitter", "shimmer"}:
@@ -138,7 +143,7 @@ def feature_row(df: DataFrame, include: list[str] | None = None, opts: Options =
         cols = [c for f, cs in PERTURBATION.items() if f in want for c in cs]
         parts.append(vo.perturbation(pulses, hi=longest).select(*KEEP, *cols))
     if "speech_rate" in want:
-        parts.append(vo.speech_rate(df, opts.n_fft, opts.hop).drop("originaldur"))
+        parts.append(vo.speech_rate(df, opts.level_window, opts.level_step).drop("originaldur"))
     for part in parts:
         out = out.join(part, list(KEEP), "left")
     return out

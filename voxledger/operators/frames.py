@@ -66,6 +66,15 @@ def frames(df: DataFrame, window: int | Column, step: int | Column, *, col: str
     return cut.select(*keep, "frame_idx", F.slice("_x", F.col("frame_idx") * F.col("_s") + 1, F.col("_w")).alias("frame"))
 
 
+#: Seconds of the intensity track: one value each step, over a window that holds some periods of the lowest pitch.
+LEVEL_WINDOW, LEVEL_STEP = 0.064, 0.016
+
+
+def seconds(span: float, rate: str = "sampling_rate") -> Column:
+    """Samples of a span in seconds at the recording's own rate, one at least."""
+    return F.greatest(F.round(F.lit(float(span)) * F.col(rate)).cast("int"), F.lit(1))
+
+
 def frame_measure(df: DataFrame, name: str, measure, window: int, step: int, *, ragged: bool = False,
                   keep: tuple[str, ...] = KEEP) -> DataFrame:
     f = frames(df, window, step, keep=keep, ragged=ragged)
@@ -154,13 +163,15 @@ def resample(df: DataFrame, target_sr: int = 16000) -> DataFrame:
 
 # --- runs of quiet frames ------------------------------------------------------------
 
-def level_frames(df: DataFrame, window: int, step: int, ref: float = 1.0, short: bool = False) -> DataFrame:
+def level_frames(df: DataFrame, window: int | Column, step: int | Column, ref: float = 1.0, short: bool = False) -> DataFrame:
     """(recording, frame_idx, start, end, db): frame i stands for samples [i step, (i + 1) step), the last one for the rest."""
     sized = df.withColumn("_n", F.size("samples")).withColumn("_sr", F.col("sampling_rate"))
-    f = frames(sized, window, step, keep=(*KEEP, "_n", "_sr"), short=short)
-    last = F.floor((F.col("_n") - window) / step)
-    end = F.when(F.col("frame_idx") == last, F.col("_n")).otherwise((F.col("frame_idx") + 1) * step)
-    return f.select(*KEEP, "frame_idx", (F.col("frame_idx") * step / F.col("_sr")).alias("start"),
+    sized = sized.withColumn("_wide", F.lit(window) if isinstance(window, int) else window)
+    sized = sized.withColumn("_hop", F.lit(step) if isinstance(step, int) else step)
+    f = frames(sized, F.col("_wide"), F.col("_hop"), keep=(*KEEP, "_n", "_sr", "_wide", "_hop"), short=short)
+    last = F.floor((F.col("_n") - F.col("_wide")) / F.col("_hop"))
+    end = F.when(F.col("frame_idx") == last, F.col("_n")).otherwise((F.col("frame_idx") + 1) * F.col("_hop"))
+    return f.select(*KEEP, "frame_idx", (F.col("frame_idx") * F.col("_hop") / F.col("_sr")).alias("start"),
                     (end / F.col("_sr")).alias("end"), (F.col("_n") / F.col("_sr")).alias("duration_total"),
                     power_db(mean_square(F.col("frame")), ref).alias("db"))
 
@@ -194,8 +205,8 @@ def sounding_intervals(levels: DataFrame, threshold: Column, min_silent: float,
 
 
 def intensity_pauses(df: DataFrame, floor_db: float = -25.0, min_silent: float = 0.1, min_sounding: float = 0.1,
-                     window: int = 2048, step: int = 512) -> DataFrame:
-    """Pauses more than ``-floor_db`` below the loudest frame, after merging of short runs."""
-    lv = level_frames(df, window, step).withColumn("_top", F.max("db").over(W.partitionBy(*KEEP)))
+                     window: float = LEVEL_WINDOW, step: float = LEVEL_STEP) -> DataFrame:
+    """Pauses more than ``-floor_db`` below the loudest frame, after merging of short runs; ``window`` and ``step`` in seconds."""
+    lv = level_frames(df, seconds(window), seconds(step)).withColumn("_top", F.max("db").over(W.partitionBy(*KEEP)))
     iv = sounding_intervals(lv, F.col("_top") + floor_db, min_silent, min_sounding)
     return iv.where("silent").select(*KEEP, "start", "end", (F.col("end") - F.col("start")).alias("duration"))

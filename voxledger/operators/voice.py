@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions import voice as vo
 from ..functions.describe import peak_positions, summary_of
 from ..functions.dsp import per_recording
-from .frames import KEEP, mean_square, power_db, sounding_intervals, total
+from .frames import KEEP, LEVEL_STEP, LEVEL_WINDOW, mean_square, power_db, seconds, sounding_intervals, total
 
 F0_LOW, F0_HIGH = 65.406391, 2093.004522  # the notes C2 and C7 in Hz
 SOUND_REF = 4e-10  # (2e-5 Pa) squared
@@ -165,12 +165,11 @@ def perturbation(pulse_rows: DataFrame, lo: float = 0.0001, hi: float = 0.02, fa
 
 # --- rates from the intensity track ------------------------------------------------------
 
-def level_array(window: int, step: int, ref: float = SOUND_REF, samples: str = "samples") -> Column:
-    """dB of every frame as an array."""
-    n = F.size(samples)
-    starts = F.when(n >= window, F.sequence(F.lit(0), F.floor((n - window) / step).cast("int"))).otherwise(
-        F.array().cast("array<int>"))
-    return F.transform(starts, lambda k: power_db(mean_square(F.slice(samples, k * step + 1, F.lit(window))), ref))
+def level_array(window: float, step: float, ref: float = SOUND_REF, samples: str = "samples", rate: str = "sampling_rate") -> Column:
+    """dB of every frame as an array; ``window`` and ``step`` in seconds, so the rate of the recording does not matter."""
+    n, w, s = F.size(samples), seconds(window, rate), seconds(step, rate)
+    starts = F.when(n >= w, F.sequence(F.lit(0), F.floor((n - w) / s).cast("int"))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda k: power_db(mean_square(F.slice(samples, k * s + 1, w)), ref))
 
 
 def loud_rate(levels: str, duration: Column, share: float = 0.3) -> Column:
@@ -178,8 +177,8 @@ def loud_rate(levels: str, duration: Column, share: float = 0.3) -> Column:
     return F.size(loud) / F.nullif(duration, F.lit(0.0))
 
 
-def speaking_rate(df: DataFrame, window: int = 2048, step: int = 512, share: float = 0.3) -> DataFrame:
-    """Frames whose intensity exceeds ``share`` of the maximum, per second."""
+def speaking_rate(df: DataFrame, window: float = LEVEL_WINDOW / 2, step: float = LEVEL_STEP / 2, share: float = 0.3) -> DataFrame:
+    """Frames whose intensity exceeds ``share`` of the maximum, per second; ``window`` and ``step`` in seconds."""
     lv = df.select(*KEEP, (F.size("samples") / F.col("sampling_rate")).alias("_d"), level_array(window, step).alias("_l"))
     return lv.select(*KEEP, loud_rate("_l", F.col("_d"), share).alias("speaking_rate"))
 
@@ -191,20 +190,21 @@ def _quantile(sorted_array: Column, q: float) -> Column:
     return a + (h - lo) * (b - a)
 
 
-def speech_rate(df: DataFrame, window: int = 2048, step: int = 512, *, silence_db: float = -25.0, min_dip: float = 2.0,
+def speech_rate(df: DataFrame, window: float = LEVEL_WINDOW, step: float = LEVEL_STEP, *, silence_db: float = -25.0, min_dip: float = 2.0,
                 min_pause: float = 0.3, min_sounding: float = 0.1, voicing: bool = True) -> DataFrame:
     """Syllable nuclei (de Jong & Wempe 2009): voiced intensity peaks, pauses and the rates from them.
 
     A peak counts when it exceeds the threshold, the level dips by more than
     ``min_dip`` before the next such peak, it lies in a sounding interval and,
-    with ``voicing``, the pitch track is voiced there.
+    with ``voicing``, the pitch track is voiced there. ``window`` and ``step``
+    are in seconds.
     """
-    sr = F.col("sampling_rate")
+    sr, wide, hop = F.col("sampling_rate"), seconds(window), seconds(step)
     cols = [*KEEP, "sampling_rate", F.size("samples").alias("_n"), level_array(window, step).alias("_l")]
     if voicing:
         cols.append(vo.pitch_of("samples", "sampling_rate", 30.0, 450.0, 0.02, 0.25).alias("_p"))
     # the filter is on the samples: one on the levels would compute them twice
-    lv = df.where(F.size("samples") >= window).select(*cols)
+    lv = df.where(F.size("samples") >= wide).select(*cols)
     lv = lv.select("*", F.sort_array("_l").alias("_sorted"))
     lv = lv.select("*", (_quantile(F.col("_sorted"), 0.99) + silence_db).alias("_cut"))
     lv = lv.withColumn("_thr", F.greatest(F.col("_cut"), F.array_min("_l")))
@@ -215,24 +215,24 @@ def speech_rate(df: DataFrame, window: int = 2048, step: int = 512, *, silence_d
         F.slice("_pk", F.lit(1), F.greatest(F.size("_pk") - 1, F.lit(0))),
         F.slice("_pk", F.lit(2), F.greatest(F.size("_pk") - 1, F.lit(0))),
         lambda p, q: F.struct(p.alias("p"), (F.get("_l", p) - F.array_min(F.slice("_l", p + 1, q - p + 1)) > min_dip).alias("ok")))
-    lv = lv.withColumn("_ok", F.transform(F.filter(dips, lambda d: d["ok"]), lambda d: d["p"] * step / sr))
+    lv = lv.withColumn("_ok", F.transform(F.filter(dips, lambda d: d["ok"]), lambda d: d["p"] * hop / sr))
     if voicing:
         gap = F.get("_p.t", F.lit(1)) - F.get("_p.t", F.lit(0))
-        near = lambda t: F.round((t + window / 2 / sr - F.get("_p.t", F.lit(0))) / gap).cast("int")
+        near = lambda t: F.round((t + wide / 2 / sr - F.get("_p.t", F.lit(0))) / gap).cast("int")
         inside = lambda t: F.greatest(F.lit(0), F.least(near(t), F.size("_p.t") - 1))
         lv = lv.withColumn("_ok", F.filter("_ok", lambda t: F.coalesce(
             F.when(F.size("_p.t") > 1, F.get("_p.f0", inside(t)) > 0), F.lit(False))))
-    rows = lv.select(*KEEP, "_cut", "_n", sr.alias("_sr"), F.posexplode(F.coalesce("_l", F.array().cast("array<double>"))).alias("frame_idx", "db"))
-    last = F.floor((F.col("_n") - window) / step)
-    stop = F.when(F.col("frame_idx") == last, F.col("_n")).otherwise((F.col("frame_idx") + 1) * step)
-    frames = rows.select(*KEEP, "_cut", "frame_idx", "db", (F.col("frame_idx") * step / F.col("_sr")).alias("start"),
+    rows = lv.select(*KEEP, "_cut", "_n", sr.alias("_sr"), wide.alias("_wide"), hop.alias("_hop"), F.posexplode(F.coalesce("_l", F.array().cast("array<double>"))).alias("frame_idx", "db"))
+    last = F.floor((F.col("_n") - F.col("_wide")) / F.col("_hop"))
+    stop = F.when(F.col("frame_idx") == last, F.col("_n")).otherwise((F.col("frame_idx") + 1) * F.col("_hop"))
+    frames = rows.select(*KEEP, "_cut", "frame_idx", "db", (F.col("frame_idx") * F.col("_hop") / F.col("_sr")).alias("start"),
                          (stop / F.col("_sr")).alias("end"))
     iv = sounding_intervals(frames, F.col("_cut"), min_pause, min_sounding).where(~F.col("silent"))
     per = iv.groupBy(*KEEP).agg(F.collect_list(F.struct("start", "end")).alias("_iv"))
     j = lv.join(per, list(KEEP), "left").withColumn("_iv", F.coalesce("_iv", F.array().cast("array<struct<start:double,end:double>>")))
     count = F.size(F.filter("_ok", lambda t: F.exists("_iv", lambda v: (t >= v["start"]) & (t < v["end"])))).cast("double")
     base = j.select(*KEEP, count.alias("voicedcount"), (F.size("_iv") - 1).cast("double").alias("npause"),
-                    (F.col("_n") / sr).alias("originaldur"), (F.size("_l") * step / sr).alias("intensity_duration"),
+                    (F.col("_n") / sr).alias("originaldur"), (F.size("_l") * hop / sr).alias("intensity_duration"),
                     F.aggregate("_iv", F.lit(0.0), lambda s, v: s + v["end"] - v["start"]).alias("_speak"))
     v, speak, dur = F.col("voicedcount"), F.col("_speak"), F.col("originaldur")
     return base.select(*KEEP, "voicedcount", "npause", "originaldur", "intensity_duration",

@@ -123,7 +123,7 @@ def interval_sql(threshold: str, silent: float, sounding: float, carry: str = ""
 @query("t10_intensity_pauses", "samp_user", f"""{level_sql()}, {interval_sql(f'max(db) OVER (PARTITION BY {KEYS}) - 2.5', 0.6, 0.6)}
     SELECT {KEYS}, {r('s', 'start')}, {r('e', 'end')}, {r('e - s', 'duration')} FROM i3 WHERE q""")
 def t10(spark, sf):
-    return rounded(fr.intensity_pauses(_user(spark, sf), -2.5, 0.6, 0.6, W_, H_))
+    return rounded(fr.intensity_pauses(_user(spark, sf), -2.5, 0.6, 0.6, W_ / 16, H_ / 16))
 
 
 @query("t11_rolling", "samp_user", f"""

@@ -27,7 +27,7 @@ def v01(spark, sf):
     k AS (SELECT {KEYS}, count(*) FILTER (WHERE db > 0.9 * mx) AS k FROM m GROUP BY {KEYS})
     SELECT {KEYS}, {r('coalesce(k, 0) / (l.c / 16)', 'speaking_rate')} FROM l LEFT JOIN k USING ({KEYS})""")
 def v02(spark, sf):
-    return rounded(vo.speaking_rate(fx.sig_user(spark, sf), W_, H_, 0.9))
+    return rounded(vo.speaking_rate(fx.sig_user(spark, sf), W_ / 16, H_ / 16, 0.9))
 
 
 @query("v03_formants")
@@ -106,7 +106,7 @@ def v08(spark, sf):
     SELECT {KEYS}, v AS voicedcount, np::DOUBLE AS npause, {r('dur', 'originaldur')}, {r('idur', 'intensity_duration')}, {r('v / dur', 'speakingrate')},
     {r('v / nullif(speak, 0)', 'articulationrate')}, {r('speak / nullif(v, 0)', 'asd')}, {r('dur - speak', 'totalpauseduration')} FROM z""")
 def v09(spark, sf):
-    return rounded(vo.speech_rate(fx.sig_user(spark, sf), W_, H_, silence_db=-4.0, min_dip=1.0, min_pause=0.75,
+    return rounded(vo.speech_rate(fx.sig_user(spark, sf), W_ / 16, H_ / 16, silence_db=-4.0, min_dip=1.0, min_pause=0.75,
                                   min_sounding=0.75, voicing=False))
 
 
@@ -136,13 +136,13 @@ def prefixed(alias: str, name: str) -> str:
     SELECT {KEYS}, {prefixed('hz', 'zero_crossing_rate')}, {prefixed('he', 'energy')}, {r('coalesce(k, 0) / (c / 16)', 'speaking_rate', 7)}, {prefixed('hp', 'pause')}
     FROM l LEFT JOIN hz USING ({KEYS}) LEFT JOIN he USING ({KEYS}) LEFT JOIN hp USING ({KEYS}) LEFT JOIN sr USING ({KEYS})""")
 def h06(spark, sf):
-    opts = row.Options(n_fft=W_, hop=H_, target_sr=None, pause_db=-2.5, min_silent=0.6, min_sounding=0.6)
+    opts = row.Options(n_fft=W_, hop=H_, target_sr=None, level_window=W_ / 16, level_step=H_ / 16, rate_window=W_ / 16, rate_step=H_ / 16, pause_db=-2.5, min_silent=0.6, min_sounding=0.6)
     return rounded(row.feature_row(fx.sig_user(spark, sf), ["zero_crossing_rate", "energy", "speaking_rate", "pauses"], opts), 7)
 
 
 @query("h06_feature_row_all")
 def h06_all(spark, sf):
-    opts = row.Options(n_fft=W_, hop=H_, target_sr=None, n_mels=16, contrast_fmin=4.0, contrast_bands=2, f0_low=4.0, f0_high=24.0,
+    opts = row.Options(n_fft=W_, hop=H_, target_sr=None, level_window=W_ / 64, level_step=H_ / 64, rate_window=W_ / 64, rate_step=H_ / 64, n_mels=16, contrast_fmin=4.0, contrast_bands=2, f0_low=4.0, f0_high=24.0,
                        pitch_low=4.0, pitch_high=24.0, pitch_step=0.125, formant_ceiling=32.0, formant_count=2, formant_window=0.125,
                        formant_step=0.125)
     return row.feature_row(fx.sig_emb(spark, sf), None, opts)
