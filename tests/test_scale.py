@@ -76,7 +76,7 @@ def test_stratified_split_is_exact_and_stable(spark, sf):
         assert r["k"] == int(np.floor(0.2 * r["n"] + 0.5))
 
 
-def test_recordings_are_cut_at_the_bound(spark, sf, monkeypatch):
-    monkeypatch.setattr(fx, "MAX_SAMPLES", 20)
+def test_a_recording_is_a_month_of_a_user(spark, sf):
     sizes = fx.sig_user(spark, sf).select("audio_id", F.size("samples").alias("n")).toPandas()
-    assert sizes["n"].max() == 20 and sizes["n"].sum() == 1000
+    want = fx.table(spark, sf, "events").groupBy("user_id", F.month("ts")).count().toPandas()
+    assert sorted(sizes["n"]) == sorted(want["count"]) and sizes["audio_id"].is_unique

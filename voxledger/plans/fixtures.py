@@ -1,8 +1,7 @@
 """Views over the test tables, once as DataFrames and once as SQL.
 
-See FIXTURES.md for what each view stands for. A recording holds at most
-``MAX_SAMPLES`` samples: a longer sequence continues in a further recording,
-so no row and no group grows with the table.
+See FIXTURES.md for what each view stands for. A recording made from events is
+one user's month, so its length does not follow the size of the table.
 """
 
 from __future__ import annotations
@@ -11,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..operators.scale import position_in_group
 
-MAX_SAMPLES = 4096
-
 EVENT_LABEL = {"view": "R", "click": "F01", "error": "F02", "purchase": "F03", "signup": "F04"}
 
 
@@ -20,29 +17,20 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _chunked_events(spark: SparkSession, sf: str, group: list[str]) -> DataFrame:
-    ev = (table(spark, sf, "events")
-          .select("event_id", "ts", "user_id", "event_type", "value",
-                  F.date_trunc("minute", F.col("ts")).alias("minute")))
-    pos = position_in_group(ev, group, "minute", ["ts", "event_id"])
-    part = F.floor(F.col("pos") / MAX_SAMPLES)
-    return pos.select(
-        F.concat(F.col("user_id").cast("string"),
-                 F.when(part == 0, F.lit("")).otherwise(F.concat(F.lit("."), part.cast("string")))
-                 ).alias("audio_id"),
-        "user_id", "event_type", "ts", "value",
-        F.pmod("pos", F.lit(MAX_SAMPLES)).cast("int").alias("n"))
+def _recordings(spark: SparkSession, sf: str, label: F.Column) -> DataFrame:
+    """Events of one user and month (and label), in order, as one row with an array."""
+    ev = table(spark, sf, "events").select(
+        F.concat(F.col("user_id").cast("string"), F.date_format("ts", "'-'yyyy-MM")).alias("audio_id"),
+        label.alias("real_or_fake"), F.struct("ts", "event_id", "value").alias("e"))
+    return ev.groupBy("audio_id", "real_or_fake").agg(F.array_sort(F.collect_list("e")).alias("s"), F.avg("e.value").alias("m"))
 
 
 def sig_ev(spark: SparkSession, sf: str) -> DataFrame:
-    ev = _chunked_events(spark, sf, ["user_id", "event_type"])
     label = F.lit(None).cast("string")
     for kind, name in EVENT_LABEL.items():
         label = F.when(F.col("event_type") == kind, name).otherwise(label)
-    return (ev.groupBy("audio_id", label.alias("real_or_fake"))
-            .agg(F.array_sort(F.collect_list(F.struct("n", "value"))).alias("s"))
-            .select("audio_id", "real_or_fake", F.col("s.value").alias("samples"),
-                    F.lit(16).alias("sampling_rate")))
+    return _recordings(spark, sf, label).select(
+        "audio_id", "real_or_fake", F.col("s.value").alias("samples"), F.lit(16).alias("sampling_rate"))
 
 
 def _user_label() -> F.Column:
@@ -51,13 +39,8 @@ def _user_label() -> F.Column:
 
 
 def sig_user(spark: SparkSession, sf: str) -> DataFrame:
-    ev = _chunked_events(spark, sf, ["user_id"])
-    return (ev.groupBy("audio_id", _user_label().alias("real_or_fake"))
-            .agg(F.array_sort(F.collect_list(F.struct("n", "value"))).alias("s"),
-                 F.avg("value").alias("m"))
-            .select("audio_id", "real_or_fake",
-                    F.transform("s", lambda e: e["value"] - F.col("m")).alias("samples"),
-                    F.lit(16).alias("sampling_rate")))
+    return _recordings(spark, sf, _user_label()).select(
+        "audio_id", "real_or_fake", F.transform("s", lambda e: e["value"] - F.col("m")).alias("samples"), F.lit(16).alias("sampling_rate"))
 
 
 def samp_user(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,12 +58,10 @@ def sig_emb(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pulses(spark: SparkSession, sf: str) -> DataFrame:
-    ev = _chunked_events(spark, sf, ["user_id"]).withColumn(
-        "us", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"))
-    w = W.partitionBy("audio_id").orderBy("n")  # one recording, at most MAX_SAMPLES rows
-    return ev.select("audio_id", F.col("n").alias("i"),
-                     ((F.col("us") - F.lag("us").over(w)) / F.lit(1e6)).alias("period"),
-                     F.col("value").alias("amp"))
+    rows = _recordings(spark, sf, _user_label()).select("audio_id", "s", F.posexplode("s").alias("i", "e"))
+    us = lambda ts: F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    before = F.when(F.col("i") > 0, F.get("s.ts", F.col("i") - 1))
+    return rows.select("audio_id", "i", ((us(F.col("e.ts")) - us(before)) / F.lit(1e6)).alias("period"), F.col("e.value").alias("amp"))
 
 
 FEATURES = ["qty", "price", "disc", "tax", "const", "quasi", "dup_qty", "corr_price", "miss"]
@@ -172,20 +153,17 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
         F.col("text").alias("content"), rate.alias("rate"), F.col("lang").alias("corpus"))
 
 
-_CHUNK_ID = ("user_id::VARCHAR || CASE WHEN pos // {m} = 0 THEN '' ELSE '.' || (pos // {m})::VARCHAR END"
-             .format(m=MAX_SAMPLES))
+_RECORDING = "user_id::VARCHAR || '-' || strftime(ts, '%Y-%m')"
 
 # name -> (names it reads, body)
 SQL: dict[str, tuple[tuple[str, ...], str]] = {
-    "ev_pos": ((), "SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) - 1 AS pos FROM events"),
-    "us_pos": ((), "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos FROM events"),
-    "sig_ev": (("ev_pos",), f"""SELECT {_CHUNK_ID} AS audio_id,
+    "sig_ev": ((), f"""SELECT {_RECORDING} AS audio_id,
         CASE event_type WHEN 'view' THEN 'R' WHEN 'click' THEN 'F01' WHEN 'error' THEN 'F02'
         WHEN 'purchase' THEN 'F03' WHEN 'signup' THEN 'F04' END AS real_or_fake,
-        list(value ORDER BY pos) AS samples, 16 AS sampling_rate FROM ev_pos GROUP BY 1, 2"""),
-    "us_n": (("us_pos",), f"""SELECT {_CHUNK_ID} AS audio_id,
-        CASE WHEN user_id % 4 = 0 THEN 'R' ELSE 'F0' || (user_id % 4)::VARCHAR END AS real_or_fake,
-        pos % {MAX_SAMPLES} AS n, value, ts FROM us_pos"""),
+        list(value ORDER BY ts, event_id) AS samples, 16 AS sampling_rate FROM events GROUP BY 1, 2"""),
+    "us_n": ((), f"""SELECT audio_id, CASE WHEN user_id % 4 = 0 THEN 'R' ELSE 'F0' || (user_id % 4)::VARCHAR END AS real_or_fake,
+        row_number() OVER (PARTITION BY audio_id ORDER BY ts, event_id) - 1 AS n, value, ts
+        FROM (SELECT *, {_RECORDING} AS audio_id FROM events)"""),
     "samp_user": (("us_n",), """SELECT audio_id, real_or_fake, n,
         value - avg(value) OVER (PARTITION BY audio_id) AS x FROM us_n"""),
     "sig_emb": ((), """SELECT vec_id::VARCHAR AS audio_id,

@@ -85,7 +85,7 @@ def r09(spark, sf):
 
 
 @query("r10_pair_completeness", "sig_ev manifest", MANIFEST_IDS + """,
-    m AS (SELECT own AS audio_id, CASE WHEN name LIKE 'F0%' THEN 'F' ELSE 'R' END AS real_or_fake FROM ids WHERE doc_id % 17 <> 3)
+    m AS (SELECT own AS audio_id, CASE WHEN name LIKE 'F0%' THEN 'F' ELSE 'R' END AS real_or_fake FROM ids)
     SELECT audio_id, count(*) FILTER (WHERE real_or_fake <> 'R') AS n_fake, count(*) AS n_rows FROM m GROUP BY 1
     HAVING bool_or(real_or_fake = 'R') AND count(*) FILTER (WHERE real_or_fake <> 'R') <> 6""")
 def r10(spark, sf):
@@ -93,7 +93,7 @@ def r10(spark, sf):
 
     name = base_name(F.col("path"))
     fake = name.startswith("F0")
-    m = fx.manifest(spark, sf).where(F.pmod("doc_id", F.lit(17)) != 3).select(
+    m = fx.manifest(spark, sf).select(
         F.when(fake, F.substr(name, F.lit(5))).otherwise(name).alias("audio_id"),
         F.when(fake, "F").otherwise("R").alias("real_or_fake"))
     return rel.pair_completeness(m, fakes=6)
@@ -174,7 +174,7 @@ def r20(spark, sf):
 
 @query("r21_select_versions", "sig_ev", """
     SELECT audio_id, real_or_fake, len(samples)::BIGINT AS n_samples FROM sig_ev
-    WHERE audio_id = '7' AND real_or_fake IN ('R', 'F01', 'F03', 'F09')""")
+    WHERE audio_id = '7-2024-01' AND real_or_fake IN ('R', 'F01', 'F03', 'F09')""")
 def r21(spark, sf):
-    return rel.select_versions(fx.sig_ev(spark, sf), "7", [1, 3, 9]).select(
+    return rel.select_versions(fx.sig_ev(spark, sf), "7-2024-01", [1, 3, 9]).select(
         *KEY, F.size("samples").cast("bigint").alias("n_samples"))

@@ -71,9 +71,9 @@ def s03(spark, sf):
 
 
 @query("s04_scan_ids", "sig_ev", """
-    SELECT audio_id, real_or_fake, len(samples)::BIGINT AS n_samples FROM sig_ev WHERE audio_id IN ('1', '7', '12')""")
+    SELECT audio_id, real_or_fake, len(samples)::BIGINT AS n_samples FROM sig_ev WHERE audio_id IN ('1-2024-01', '7-2024-01', '12-2024-01')""")
 def s04(spark, sf):
-    return rec.scan_ids(fx.sig_ev(spark, sf), ["1", "7", "12"]).select(
+    return rec.scan_ids(fx.sig_ev(spark, sf), ["1-2024-01", "7-2024-01", "12-2024-01"]).select(
         "audio_id", "real_or_fake", F.size("samples").cast("bigint").alias("n_samples"))
 
 
@@ -150,14 +150,13 @@ def s11(spark, sf):
 
 
 @query("s12_flatten_examples", "sig_emb", """
-    SELECT audio_id, real_or_fake, sampling_rate::BIGINT AS sampling_rate, len(samples)::BIGINT AS n_samples,
-    samples[1] AS first, samples[64] AS last FROM sig_emb""")
+    SELECT audio_id, real_or_fake, sampling_rate::BIGINT AS sampling_rate, i - 1 AS n, samples[i] AS x
+    FROM (SELECT *, unnest(range(1, len(samples) + 1)) AS i FROM sig_emb)""")
 def s12(spark, sf):
     nested = fx.sig_emb(spark, sf).select(
         F.struct(F.col("samples").alias("array"), "sampling_rate").alias("audio"), "audio_id", "real_or_fake")
     return rounded(rec.flatten_examples(nested).select(
-        "audio_id", "real_or_fake", "sampling_rate", F.size("samples").alias("n_samples"),
-        F.col("samples")[0].alias("first"), F.col("samples")[63].alias("last")), keep=("first", "last"))
+        "audio_id", "real_or_fake", "sampling_rate", F.posexplode("samples").alias("n", "x")), keep=("x",))
 
 
 @query("s13_decode_pcm_wav", "samp_emb", """
@@ -213,15 +212,15 @@ def s16(spark, sf):
 
 
 @query("s17_save_load_state", "feat_emb", "m AS (SELECT " + ", ".join(
-    f"avg(e{i}) AS m{i}, stddev_pop(e{i}) AS s{i}" for i in range(8)) + " FROM feat_emb) SELECT audio_id, real_or_fake, " + ", ".join(
-    f"round((e{i} - m{i}) / s{i} + {NUDGE}::DOUBLE, 4) + 0.0 AS e{i}" for i in range(8)) + ", (real_or_fake <> 'R')::BIGINT AS target FROM feat_emb, m")
+    f"avg(e{i}) AS m{i}, stddev_pop(e{i}) AS s{i}" for i in range(64)) + " FROM feat_emb) SELECT audio_id, real_or_fake, " + ", ".join(
+    f"round((e{i} - m{i}) / s{i} + {NUDGE}::DOUBLE, 4) + 0.0 AS e{i}" for i in range(64)) + ", (real_or_fake <> 'R')::BIGINT AS target FROM feat_emb, m")
 def s17(spark, sf):
     from ..operators import prep
 
     f = fx.feat_emb(spark, sf)
     model = prep.fit_preparation(f, fx.EMB)
     path = shared_folder(spark, "state")
-    feat.save_pipeline(model, fx.EMB[:8], path, spark)
+    feat.save_pipeline(model, fx.EMB, path, spark)
     loaded, selected = feat.load_pipeline(spark, path)
     return rounded(prep.prepare(f, loaded, selected))
 
