@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from voxledger.operators import evaluate as ev, models as ml
+from voxledger.operators import evaluate as ev, models as ml, prep
 from voxledger.plans import fixtures as fx
 
 COLS = [f"x{i}" for i in range(6)]
@@ -57,3 +57,24 @@ def test_shap_sums_to_the_margin(spark, sf):
     out = ev.linear_shap(f, w).join(f.select("audio_id", F.col("e0").alias("a"), F.col("e1").alias("b")), "audio_id")
     bad = out.where(F.abs(F.col("e0") + F.col("e1") - (2 * (F.col("a") - mean[0]) - (F.col("b") - mean[1]))) > 1e-9)
     assert bad.count() == 0
+
+
+def test_saved_state_scores_like_the_fitted_one(spark, sf):
+    from voxledger.plans import q_models as qm
+    from voxledger.plans.catalog import QUERIES
+
+    got = {r["audio_id"]: (r["predicted"], r["probability"]) for r in QUERIES["m16_predict_pipeline"](spark, sf).collect()}
+    train, batch, state, kept = qm._prepared_sides(spark, sf)
+    fit, held = (ml.assembled(prep.prepare(side, state, kept), kept) for side in (train, batch))
+    want = {r["audio_id"]: (r["pred"], r["p"]) for r in ml.score(held, ml.logistic(fit)).collect()}
+    assert set(got) == set(want)
+    for k, (pred, p) in want.items():
+        assert got[k][0] == pred and abs(got[k][1] - p) < 1e-6 and 0 <= p <= 1
+
+
+def test_training_round_has_five_models(spark, sf):
+    from voxledger.plans.catalog import QUERIES
+
+    rows = QUERIES["m15_train_pipeline"](spark, sf).collect()
+    assert sorted(r["model"] for r in rows) == sorted(ml.MODEL_NAMES)
+    assert all(0 <= r[c] <= 1 for r in rows for c in ("accuracy", "precision", "recall", "f1", "roc_auc"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .evaluate import binary_metrics, roc_auc
 from .prep import fit_preparation
 from .relational import distinct_labels, real_vs
+from ..session import checkpointed
 from .scale import global_position
 
 # Display names of the runs.
@@ -122,7 +123,7 @@ def evaluate_all(models: dict[str, Model | Calibrated], test: DataFrame) -> Data
     """Accuracy, precision, recall, F1 and AUC, one row per model."""
     parts = [(m.score(test) if isinstance(m, Calibrated) else score(test, m)).select(F.lit(n).alias("model"), "y", "p", "pred")
              for n, m in models.items()]
-    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    rows = checkpointed(reduce(lambda a, b: a.unionByName(b), parts))  # every model scores every row once
     return binary_metrics(rows, ["model"]).join(roc_auc(rows, ["model"]), "model")
 
 
@@ -155,7 +156,8 @@ def one_vs_real_sweep(df: DataFrame, columns: list[str], label: str = "real_or_f
     for version in [v for v in distinct_labels(rows, label) if v != "R"]:
         sub = real_vs(rows, version, label)
         parts.append(score(sub, logistic(sub)).select(F.lit(version).alias("version"), "y", "p", "pred"))
-    scored = reduce(lambda a, b: a.unionByName(b), parts)
+    scored = checkpointed(reduce(lambda a, b: a.unionByName(b), parts))  # every model scores its rows once
+    rows.unpersist()
     return binary_metrics(scored, ["version"]).join(roc_auc(scored, ["version"]), "version")
 
 

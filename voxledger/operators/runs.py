@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import checkpointed
 from .evaluate import binary_metrics, roc_auc
 
 
@@ -70,6 +71,7 @@ def compare_runs(current: DataFrame, previous: DataFrame) -> DataFrame:
 
 def evaluate_staged(rows: DataFrame) -> DataFrame:
     """previous_version_* metrics of every staged model from rows of (model, y, p, pred)."""
+    rows = checkpointed(rows)  # scored once, counted twice
     m = binary_metrics(rows, ["model"]).join(roc_auc(rows, ["model"]), "model")
     names = {"accuracy": "accuracy", "precision": "precision", "recall": "recall", "f1": "f1_score", "roc_auc": "roc_auc_score"}
     return m.select("model", *[F.col(a).alias(f"previous_version_{b}") for a, b in names.items()])

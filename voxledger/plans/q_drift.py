@@ -105,3 +105,22 @@ def d08(spark, sf):
     SELECT model, version::BIGINT AS version, run_name, round(auc, 6) AS auc, ts FROM runs WHERE run_name = '2-HIGH_training_1' ORDER BY ts DESC, runs.version DESC LIMIT 1""")
 def d09(spark, sf):
     return rounded(rn.latest_run(fx.runs(spark, sf), "2-HIGH_training_1").select("model", "version", "run_name", "auc", "ts"), 6)
+
+
+@query("d10_ks_drift_wide", "feat_line", """drift AS (SELECT side, feature, value FROM (SELECT
+    CASE WHEN md5(audio_id)[1:1] < '8' THEN 'train' ELSE 'new' END AS side, qty AS qty_mean, disc AS disc_mean,
+    CASE WHEN md5(audio_id)[1:1] < '8' THEN price ELSE price * 1.1 END AS price_mean FROM feat_line)
+    UNPIVOT (value FOR feature IN (qty_mean, disc_mean, price_mean))), """ + f"""{KS}
+    SELECT feature, {r('d', 'ks_statistic')}, {r('p', 'p_value')}, p < 0.03 AS drifted FROM kp""")
+def d10(spark, sf):
+    """Both sides go through the preparation fitted on the training side; only columns named mean are compared."""
+    from ..operators import prep
+
+    is_train = F.substring(F.md5("audio_id"), 1, 1) < "8"
+    f = fx.feat_line(spark, sf).select(
+        "audio_id", "real_or_fake", F.col("qty").alias("qty_mean"), F.col("disc").alias("disc_mean"),
+        F.when(is_train, F.col("price")).otherwise(F.col("price") * 1.1).alias("price_mean"), F.col("tax").alias("tax_std"))
+    cols = ["qty_mean", "disc_mean", "price_mean", "tax_std"]
+    train, new = f.where(is_train), f.where(~is_train)
+    state = prep.fit_preparation(train, cols)
+    return rounded(dr.ks_drift(prep.prepare(train, state, cols), prep.prepare(new, state, cols)))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
-from ..operators import models as ml, relational as rel
+from ..operators import models as ml, prep, relational as rel
 from ..operators.scale import spread_small
+from ..sources import features as feat
 from . import fixtures as fx
+from .q_sources import shared_folder
 from .q_stats import r
 from .registry import query, rounded
 
@@ -56,20 +59,21 @@ def m05(spark, sf):
 def _multi(spark, sf):
     base = fx.feat_emb(spark, sf).join(fx.score_k(spark, sf).select("audio_id", F.col("y").cast("string").alias("k")), "audio_id")
     rows, labels = ml.indexed(ml.assembled(spread_small(base), fx.EMB, "k"), "k")
-    return rows.persist(), labels
+    rows = rel.hash_split(rows, 0.2, 42)
+    return rows.where(~F.col("is_test")).drop("is_test").persist(), rows.where("is_test").drop("is_test"), labels
 
 
 @query("m06_one_vs_rest_logistic")
 def m06(spark, sf):
-    rows, _ = _multi(spark, sf)
-    out = ml.one_vs_rest_logistic(rows).transform(rows)
+    train, test, _ = _multi(spark, sf)
+    out = ml.one_vs_rest_logistic(train).transform(test)
     return out.select("audio_id", "class_index", F.col("prediction").alias("pred"))
 
 
 @query("m07_multiclass_forest")
 def m07(spark, sf):
-    rows, _ = _multi(spark, sf)
-    return ml.multiclass_forest(rows, 100).transform(rows).select("audio_id", "class_index", F.col("prediction").alias("pred"))
+    train, test, _ = _multi(spark, sf)
+    return ml.multiclass_forest(train, 100).transform(test).select("audio_id", "class_index", F.col("prediction").alias("pred"))
 
 
 @query("m08_dense_net")
@@ -80,9 +84,9 @@ def m08(spark, sf):
 
 @query("m09_multiclass_net")
 def m09(spark, sf):
-    rows, labels = _multi(spark, sf)
-    model = ml.multiclass_net(rows, len(labels))
-    return model.transform(rows).select("audio_id", "class_index", F.col("prediction").alias("pred"))
+    train, test, labels = _multi(spark, sf)
+    model = ml.multiclass_net(train, len(labels))
+    return model.transform(test).select("audio_id", "class_index", F.col("prediction").alias("pred"))
 
 
 @query("m10_one_vs_real_sweep")
@@ -133,3 +137,36 @@ def e12(spark, sf):
     f = _features(spark, sf)
     model = ml.logistic(ml.assembled(f, fx.EMB))
     return ml.permutation_importance(f, fx.EMB, model)
+
+
+def _prepared_sides(spark, sf):
+    """Train and test tables, the preparation fitted on train, and the columns kept on train."""
+    rows = rel.hash_split(spread_small(fx.feat_emb(spark, sf)), 0.2, 42)
+    train, test = rows.where(~F.col("is_test")).drop("is_test"), rows.where("is_test").drop("is_test")
+    state = prep.fit_preparation(train, fx.EMB)
+    kept = prep.select_features(state.transform(train), fx.EMB)
+    return train, test, state, kept
+
+
+@query("m15_train_pipeline")
+def m15(spark, sf):
+    """Split, preparation, selection, the five models of a round, their metrics on the held-out side."""
+    train, test, state, kept = _prepared_sides(spark, sf)
+    fit, held = (ml.assembled(prep.prepare(side, state, kept), kept) for side in (train, test))
+    fit = fit.persist()
+    out = ml.evaluate_all(ml.train_all(fit), held)
+    fit.unpersist()
+    return out
+
+
+@query("m16_predict_pipeline")
+def m16(spark, sf):
+    """State and model are saved, loaded again, and score a new batch into a prediction table."""
+    train, batch, state, kept = _prepared_sides(spark, sf)
+    path = shared_folder(spark, "round")
+    feat.save_pipeline(state, kept, path, spark)
+    ml.logistic(ml.assembled(prep.prepare(train, state, kept), kept)).write().overwrite().save(f"{path}/model")
+    loaded, selected = feat.load_pipeline(spark, path)
+    model = LogisticRegressionModel.load(f"{path}/model")
+    feat.write_predictions(ml.score(ml.assembled(prep.prepare(batch, loaded, selected), selected), model), f"{path}/predictions")
+    return spark.read.parquet(f"{path}/predictions")

@@ -178,3 +178,9 @@ def r20(spark, sf):
 def r21(spark, sf):
     return rel.select_versions(fx.sig_ev(spark, sf), "7-2024-01", [1, 3, 9]).select(
         *KEY, F.size("samples").cast("bigint").alias("n_samples"))
+
+
+@query("r22_sort_files", "manifest", MANIFEST_IDS + """
+    SELECT path, CASE WHEN name LIKE 'p%' THEN 0 WHEN name LIKE 'SSB%' THEN 1 ELSE 2 END::BIGINT AS family FROM ids""")
+def r22(spark, sf):
+    return rounded(rel.sort_files(fx.manifest(spark, sf).select("path")))

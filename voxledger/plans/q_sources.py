@@ -231,3 +231,10 @@ def s18(spark, sf):
     out = shared_folder(spark, "predictions")
     feat.write_predictions(fx.score(spark, sf), out)
     return spark.read.parquet(out)
+
+
+@query("s19_id_file_map", "manifest", "SELECT doc_id::VARCHAR AS audio_id, 'https://files.example/' || path AS url FROM manifest")
+def s19(spark, sf):
+    url = F.struct(F.concat(F.lit("https://files.example/"), F.col("path")).alias("train"))
+    lines = fx.manifest(spark, sf).select(F.to_json(F.create_map(F.col("doc_id").cast("string"), url)).alias("value"))
+    return rec.id_file_map(lines)

@@ -216,3 +216,14 @@ def h16(spark, sf):
 def h17(spark, sf):
     return rounded(st.compare_classes(fx.feat_line(spark, sf), COMPARED).select(
         "feature", "t_stat", "u_stat", "effect_size", "f_stat"))
+
+
+@query("h08_box_stats_array", "samp_emb", f"""
+    q AS (SELECT real_or_fake, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3 FROM samp_emb GROUP BY 1)
+    SELECT real_or_fake, {r('q1', 'q1')}, {r('median', 'median')}, {r('q3', 'q3')},
+    {r('min(CASE WHEN x BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN x END)', 'whisker_low')},
+    {r('max(CASE WHEN x BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN x END)', 'whisker_high')},
+    count(*) FILTER (WHERE x NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS n_outliers, count(*) AS n
+    FROM samp_emb JOIN q USING (real_or_fake) GROUP BY real_or_fake, q1, median, q3""")
+def h08_array(spark, sf):
+    return rounded(st.box_stats(fx.sig_emb(spark, sf), "samples", "real_or_fake"))
