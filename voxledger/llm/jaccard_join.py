@@ -367,6 +367,25 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return kept.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).select(*docs.columns)
 
 
-@query("op10_jaccard_join")
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN w ELSE w[i:i + 4] END AS s 
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+h AS (SELECT doc_id, md5(array_to_string(s, ' ') || ' ' || len(s)) AS h FROM s),
+c AS (SELECT doc_id, n, md5(string_agg(h, '' ORDER BY h)) AS k FROM h JOIN n USING (doc_id) GROUP BY doc_id, n),
+r AS (SELECT k, min(doc_id) AS rep, any_value(n) AS n FROM c GROUP BY k),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM (SELECT h.* FROM h JOIN r ON rep = doc_id) a JOIN (SELECT h.* FROM h JOIN r ON rep = doc_id) b
+        ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN r x ON x.rep = a JOIN r y ON y.rep = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+g(x, y) AS (SELECT rep, rep FROM r UNION SELECT g.x, e.b FROM g JOIN e ON e.a = g.y),
+m AS (SELECT x, min(y) AS component FROM g GROUP BY x)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id
+FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN r USING (k) LEFT JOIN m ON m.x = r.rep"""
+
+
+@query("op10_jaccard_join", SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))

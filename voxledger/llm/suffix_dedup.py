@@ -451,7 +451,20 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return done.withColumnRenamed("doc", id_col)
 
 
-@query("op6_suffix_dedup")
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+b AS (SELECT doc_id, n, p, substr(x, 2 * p + 1, 2) AS byte, CASE WHEN p + 100 <= n THEN md5_number(substr(x, 2 * p + 1, 200)) END AS win
+      FROM (SELECT *, unnest(range(0, n)) AS p FROM d)),
+f AS (SELECT win, min((doc_id, p)) AS first FROM b WHERE win IS NOT NULL GROUP BY win),
+m AS (SELECT b.*, coalesce((doc_id, p) <> first, false)::INT AS again FROM b LEFT JOIN f USING (win)),
+g AS (SELECT *, max(again) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM m),
+k AS (SELECT *, gone = 1 AND lag(gone, 1, 0) OVER (PARTITION BY doc_id ORDER BY p) = 0 AS starts FROM g),
+o AS (SELECT doc_id, sum(gone) AS gone, count(*) FILTER (WHERE starts) AS spans, string_agg(byte, '' ORDER BY p) FILTER (WHERE gone = 0) AS rest FROM k GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(rest, ''))) AS kept_sha256
+FROM d LEFT JOIN o USING (doc_id)"""
+
+
+@query("op6_suffix_dedup", SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = without_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
