@@ -5,7 +5,8 @@ splitters that Spark samples, sorted there externally on the whole text, and
 neighbours are compared in full. Rows of one text may be most of the table: a
 salt of the id is the last part of the range key, so a hot group is cut into
 pieces that lie in many partitions. Each piece names its best row; pieces of
-one text then meet by digest and length, one short row each.
+one text then meet by digest and length, one short row each, and rows get their
+text's verdict through their piece.
 """
 
 from __future__ import annotations
@@ -39,14 +40,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     piece = W.partitionBy("_lead", "_fp", "_salt", "_norm")
     best_first = piece.orderBy(F.col("_chars").desc(), F.col("_id").asc_nulls_first())
     pieces = dealt.select(
-        "_id", "_chars", F.sha2(F.col("_norm").cast("binary"), 256).alias("_sha"),
+        "_id", "_chars", "_salt", F.sha2(F.col("_norm").cast("binary"), 256).alias("_sha"),
         F.octet_length("_norm").alias("_bytes"), F.row_number().over(best_first).alias("_rank"),
         F.count(F.lit(1)).over(piece).alias("_piece"))
     pieces = checkpointed(pieces)  # short rows; the texts have been read and shuffled once
-    groups = pieces.where("_rank = 1").groupBy("_sha", "_bytes").agg(
-        F.sum("_piece").alias("group_size"),
-        F.min(F.struct((-F.col("_chars")).alias("c"), F.col("_id").alias("i"))).alias("_best"))
-    joined = pieces.join(groups, ["_sha", "_bytes"])
+    # at most SALTS rows of one text meet here, and its rows are joined piece by piece
+    text_of_piece = W.partitionBy("_sha", "_bytes")
+    groups = pieces.where("_rank = 1").select(
+        "_sha", "_bytes", "_salt", F.sum("_piece").over(text_of_piece).alias("group_size"),
+        F.min(F.struct((-F.col("_chars")).alias("c"), F.col("_id").alias("i"))).over(text_of_piece).alias("_best"))
+    joined = pieces.join(groups, ["_sha", "_bytes", "_salt"])
     keep = F.col("_best.i")
     return joined.select(
         F.col("_id").alias(id_col), keep.alias("keep_id"), "group_size",
