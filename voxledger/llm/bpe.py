@@ -27,7 +27,7 @@ from .common import query, shared_folder, stored, table, text_of
 from .lexicon import Lexicon, build
 
 LEXICON_WORDS = 1 << 16
-CACHE = 400_000  # word forms that a worker remembers; it starts anew beyond
+CACHE = 300_000  # word forms that a worker remembers; it starts anew beyond
 SLICE = 500  # texts whose pieces are held at once
 COUNTER = 500_000  # distinct words that a task counts before it hands them on
 
@@ -226,6 +226,8 @@ class Encoder:
 def encoder(vocab_path: str, lexicon_file: str) -> Encoder:
     key = f"{vocab_path}|{lexicon_file}"
     if key not in _LOADED:
+        for old in [k for k in _LOADED if "|" in k]:  # a worker may outlive its query: one cache at a time
+            del _LOADED[old]
         _LOADED[key] = Encoder(vocabulary(vocab_path), Lexicon(np.load(SparkFiles.get(lexicon_file), mmap_mode="r")))
     return _LOADED[key]
 

@@ -265,8 +265,8 @@ def likely_pairs(members: DataFrame, forest: bool) -> DataFrame:
                     rows = np.arange(s, s + size)
                     x, y = cols["x"][s], cols["y"][s]
                     one, two = (rows, rows) if x == y else (rows[block[rows] == x], rows[block[rows] == y])
-                    for k in range(0, len(one), 256):
-                        some = one[k:k + 256]
+                    for k in range(0, len(one), 64):
+                        some = one[k:k + 64]
                         i, j = np.broadcast_arrays(some[:, None], two[None, :])
                         pick = i < j if x == y else np.ones(i.shape, bool)
                         take(i[pick], j[pick])
