@@ -358,13 +358,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id names their group, one of each; ids are integers.
 
-    Rows that repeat such an id are kept once, the one with the longest text.
+    Rows that repeat such an id are kept once, the one with the longest text;
+    rows without id stay, as links do not name them. While the ids that stay
+    are few enough to be sent to all tasks, no text is shuffled.
     """
-    ids = near_groups(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("_kid")).distinct()
-    kept, rank = docs.join(ids, docs[id_col].eqNullSafe(ids["_kid"]), "left_semi"), free_name(docs, "_rank")
-    one = W.partitionBy(id_col).orderBy(F.char_length(text_col).desc_nulls_last(), F.col(text_col))
-    return kept.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).select(*docs.columns)
+    ids = checkpointed(near_groups(docs, id_col, text_col).where(F.col(id_col) == F.col("component_id")).groupBy(
+        F.col(id_col).alias("_kid")).agg(F.count(F.lit(1)).alias("_rows")))
+    own, rank = free_name(docs, "_kid"), free_name(docs, "_rank")
+    named = docs.where(F.col(id_col).isNotNull()).withColumn(own, F.col(id_col).cast("long"))
+
+    def of(rows: str) -> DataFrame:
+        return of_ids(named, ids.where(rows).select(F.col("_kid").alias(own)), own)
+
+    one = W.partitionBy(own).orderBy(F.char_length(text_col).desc_nulls_last(), F.col(text_col))
+    repeated = of("_rows > 1").withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1)
+    return of("_rows = 1").select(*docs.columns).union(repeated.select(*docs.columns)).union(docs.where(F.col(id_col).isNull()))
 
 
 SQL = r"""
