@@ -130,6 +130,19 @@ def test_wording_decides():
     assert names("x " * 40_000 + "\nAll rights reserved.\n" + "y " * 40_000) == [("All-rights-reserved", [])]
 
 
+@pytest.mark.parametrize("between", ["\n", " ", "\nsee below\n"])
+def test_every_notice_of_a_block(between):
+    t = license_scan.Templates()
+    two = between.join(["Released under the MIT License.", "Licensed under CC BY 4.0."])
+    assert [f["license"] for f in t.scan(two)[1]] == ["MIT", "CC-BY-4.0"]
+    three = between.join(["Released under MIT License.", "Licensed under the Apache License, Version 2.0.", "All rights reserved."])
+    n, found = t.scan(three)
+    assert n == 1 and [(f["license"], f["differences"]) for f in found] == [("MIT", ["-the +"]), ("Apache-2.0", []), ("All-rights-reserved", [])]
+    assert three[found[1]["start"]:found[1]["end"]] == "Licensed under the Apache License, Version 2.0"
+    long = license_scan.TEMPLATES[3][1]  # holds a shorter template
+    assert [f["end"] - f["start"] for f in t.scan(between.join([long, long]))[1]] == [len(long) - 1] * 2
+
+
 def test_license_odd_rows(odd, empty):
     assert license_scan.scan_licenses(odd).count() == odd.count() and license_scan.scan_licenses(empty).count() == 0
 

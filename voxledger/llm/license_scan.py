@@ -1,16 +1,19 @@
 """License scan by conditional compression.
 
-A block that speaks of a license is compressed alone and with every template
-as a raw Zstandard dictionary; a template that the block repeats saves most.
-Templates are tried in order of the saving, and the first whose wording the
-block holds, up to listed differences, is confirmed.
+Around every cue, each template is laid over the words where it fits best, up
+to listed differences. The wording found is compressed alone and with the
+template as a raw Zstandard dictionary; a template that the wording repeats
+saves most. The largest saving is confirmed and cut out, and the rest is tried
+again until nothing fits.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
-from difflib import SequenceMatcher
 
 import pyarrow as pa
 import zstandard
@@ -45,7 +48,7 @@ TEMPLATES = (
     ("All-rights-reserved", "All rights reserved."),
 )
 CUES = ("licens", "licenc", "copyright", "rights reserved", "permission", "redistribution", "public domain", "free software", "source code form", "cc0")
-LEAST_SAVING = 0.25  # share of the block's compressed size
+LEAST_SAVING = 0.25  # share of the wording's compressed size
 ALLOWED = 0.2  # share of the template's words that may differ
 REACH = 1200  # characters around a cue in a long line
 
@@ -96,6 +99,18 @@ def blocks(text: str) -> list[tuple[list[tuple[int, int]], list[tuple[int, int]]
     return out
 
 
+def regions(runs: list[tuple[list[tuple[int, int]], list[tuple[int, int]]]]) -> list[tuple[int, int]]:
+    """What the candidate blocks reach over, as spans that do not meet."""
+    out: list[tuple[int, int]] = []
+    for wide, _ in runs:
+        start, end = wide[0][0], wide[-1][1]
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], end))
+        else:
+            out.append((start, end))
+    return out
+
+
 def _spots(low: str, cue: str) -> Iterator[int]:
     at = low.find(cue)
     while at >= 0:
@@ -116,50 +131,109 @@ class Templates:
         other = lambda k: {w for j, ws in enumerate(self.words) if self.names[j] != self.names[k] for w in ws}
         self.telling = [{w for w in ws if w not in other(k) or any(c.isdigit() for c in w) or "-" in w} for k, ws in enumerate(self.words)]
 
-    def ranked(self, block: str) -> list[tuple[float, int]]:
-        """(saving, template), largest saving first, then the longest template."""
-        raw = block.encode("utf-8", "surrogatepass")
+    def saved(self, wording: str, k: int) -> tuple[int, float]:
+        """Bytes that template ``k`` saves in the compressed wording, and their share."""
+        raw = wording.encode("utf-8", "surrogatepass")
         plain = len(self.alone.compress(raw))
-        found = [((plain - len(c.compress(raw))) / plain, k) for k, c in enumerate(self.given)]
-        return sorted((x for x in found if x[0] >= LEAST_SAVING), key=lambda x: (-x[0], -len(self.words[x[1]]), x[1]))
+        less = plain - len(self.given[k].compress(raw))
+        return less, less / plain
 
-    def differences(self, block_words: list[str], k: int) -> list[str] | None:
-        """Wording of the block that differs from template ``k`` between its first and last common word; null if too much."""
+    def fitting(self, words: list[str], k: int) -> tuple[int, int, list[str]] | None:
+        """(first word, behind the last word, differences) of the wording closest to template ``k``; null if too much differs."""
         mine = self.words[k]
-        match = [m for m in SequenceMatcher(None, mine, block_words, autojunk=False).get_matching_blocks() if m.size]
-        common = sum(m.size for m in match)
-        kept = {w for m in match for w in mine[m.a:m.a + m.size]}
-        if len(mine) - common > ALLOWED * len(mine) or not self.telling[k] <= kept:
+        here = set(words)
+        if sum(w in here for w in mine) < len(mine) - ALLOWED * len(mine):
             return None
-        out, a, b = [], 0, match[0].b
-        for m in match:
-            gone, new = mine[a:m.a], block_words[b:m.b]
-            if gone or new:
-                out.append(f"-{' '.join(gone)} +{' '.join(new)}")
-            a, b = m.a + m.size, m.b + m.size
-        if a < len(mine):
-            out.append(f"-{' '.join(mine[a:])} +")
-        if sum(len(x.partition(" +")[2].split()) for x in out) > max(2, ALLOWED * len(mine)):
-            return None
-        return out
+        for gone, new in ((1, 1), (2, 1), (len(mine), 1), (1, 2)):  # few differences, else few of one kind
+            match = aligned(mine, words, gone, new)
+            if not match or len(mine) - len(match) > ALLOWED * len(mine) or not self.telling[k] <= {mine[a] for a, _ in match}:
+                continue
+            out, a, b = [], 0, match[0][1]
+            for i, j in match + [(len(mine), match[-1][1] + 1)]:
+                if i > a or j > b:
+                    out.append((mine[a:i], words[b:j]))
+                a, b = i + 1, j + 1
+            if sum(len(x) for _, x in out) <= _most_new(mine):
+                return match[0][1], match[-1][1] + 1, [f"-{' '.join(x)} +{' '.join(y)}" for x, y in out]
+        return None
 
     def scan(self, text: str) -> tuple[int, list[dict]]:
         """(number of candidate blocks, confirmed findings) of one whole text."""
         runs, found = blocks(text), []
-        for wide, lines in runs:
-            whole = [x for x in (self._confirmed(text, *span) for span in dict.fromkeys(wide)) if x]
-            found += [min(whole, key=lambda x: len(x["differences"]))] if whole else [
-                x for x in (self._confirmed(text, *span) for span in lines) if x]
+        for start, end in regions(runs):
+            found += self._confirmed(text, start, end)
         return len(runs), found
 
-    def _confirmed(self, text: str, start: int, end: int) -> dict | None:
-        block = text[start:end]
-        words = words_of(block)
-        for saving, k in self.ranked(block):
-            differences = self.differences(words, k)
-            if differences is not None:
-                return {"license": self.names[k], "start": start, "end": end, "saving": round(saving, 4), "differences": differences}
-        return None
+    def _confirmed(self, text: str, start: int, end: int) -> list[dict]:
+        """All notices between two places, none over another, in order."""
+        spans = [m.span() for m in WORD.finditer(text, start, end)]
+        words = [text[a:b].lower() for a, b in spans]
+        places: dict[str, list[int]] = defaultdict(list)
+        for p, w in enumerate(words):
+            places[w].append(p)
+        heap: list[tuple] = []
+
+        def offer(k: int, q: int, p: int, low: int, high: int) -> None:
+            """Template ``k`` with its word ``q`` near place ``p``, between two places."""
+            more = _most_new(self.words[k])
+            first = max(low, p - q - more)
+            fit = self.fitting(words[first:min(high, p + len(self.words[k]) - q + more)], k)
+            if fit is None:
+                return
+            a, b = first + fit[0], first + fit[1]
+            less, share = self.saved(text[spans[a][0]:spans[b - 1][1]], k)
+            if share >= LEAST_SAVING:
+                heapq.heappush(heap, (-less, -len(self.words[k]), k, a, b, q, p, share, fit[2]))
+
+        for k, mine in enumerate(self.words):
+            must = self.telling[k] or set(mine)
+            if self.telling[k] and not all(w in places for w in must):
+                continue
+            rare = [min(must, key=lambda w: (len(places.get(w, ())) * mine.count(w), w))] if self.telling[k] else sorted(must)
+            for w in rare:
+                for q in (q for q, x in enumerate(mine) if x == w):
+                    for p in places.get(w, ()):
+                        offer(k, q, p, 0, len(words))
+        firsts, taken = [], {}  # words of confirmed notices: first places, and for each (behind the last, finding)
+        while heap:
+            _, _, k, a, b, q, p, share, differences = heapq.heappop(heap)
+            at = bisect_right(firsts, p)
+            low = taken[firsts[at - 1]][0] if at else 0
+            high = firsts[at] if at < len(firsts) else len(words)
+            if p < low:  # cut out already
+                continue
+            if a < low or b > high:
+                offer(k, q, p, low, high)
+                continue
+            firsts.insert(at, a)
+            taken[a] = b, {"license": self.names[k], "start": spans[a][0], "end": spans[b - 1][1], "saving": round(share, 4), "differences": differences}
+        return [taken[a][1] for a in firsts]
+
+
+def _most_new(mine: list[str]) -> int:
+    """Words that may stand between those of a template."""
+    return int(max(2, ALLOWED * len(mine)))
+
+
+def aligned(mine: list[str], words: list[str], gone: int, new: int) -> list[tuple[int, int]]:
+    """Pairs of equal words in order, with the least cost of words that are gone from ``mine`` or new between its first and last."""
+    rows = [[0] * (len(words) + 1)]
+    for a in mine:
+        above, row = rows[-1], [rows[-1][0] + gone]
+        for j, b in enumerate(words):
+            row.append(min(above[j + 1] + gone, row[j] + new, above[j] if a == b else above[j + 1] + gone))
+        rows.append(row)
+    i, j = len(mine), min(range(len(words) + 1), key=rows[-1].__getitem__)
+    out = []
+    while i and j:
+        if mine[i - 1] == words[j - 1] and rows[i][j] == rows[i - 1][j - 1]:
+            i, j = i - 1, j - 1
+            out.append((i, j))
+        elif rows[i][j] == rows[i - 1][j] + gone:
+            i -= 1
+        else:
+            j -= 1
+    return out[::-1]
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
