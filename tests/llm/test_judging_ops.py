@@ -143,6 +143,23 @@ def test_every_notice_of_a_block(between):
     assert [f["end"] - f["start"] for f in t.scan(between.join([long, long]))[1]] == [len(long) - 1] * 2
 
 
+def test_text_around_hides_no_notice():
+    t = license_scan.Templates()
+    names = lambda text: [f["license"] for f in t.scan(text)[1]]
+    prose = [hashlib.sha256(b"%d" % k).hexdigest()[:3 + k % 7] for k in range(600)]
+    for name, wording in license_scan.TEMPLATES:
+        for n in (0, 5, 10, 40, 150, 600):
+            around = " ".join(prose[:n])
+            assert names(f"{around} {wording}") == names(f"{wording} {around}") == names(f"{around} {wording} {around}") == [name]
+        parts = wording.split(" ")
+        for k in range(1, len(parts)):  # broken over lines anywhere, behind other lines
+            text = "\n".join([*prose[:9], " ".join(parts[:k]), " ".join(parts[k:]), *prose[:9]])
+            assert names(text) == [name], text
+    deep = ["first w%d" % k for k in range(80)] + ["copyright holds"]  # a template that goes far beyond the usual reach
+    deep = "\n".join(x + " " * 60 for x in deep)
+    assert [f["license"] for f in license_scan.Templates([("Deep", deep)]).scan("so\n" + deep)[1]] == ["Deep"]
+
+
 def test_license_odd_rows(odd, empty):
     assert license_scan.scan_licenses(odd).count() == odd.count() and license_scan.scan_licenses(empty).count() == 0
 

@@ -60,58 +60,67 @@ def words_of(text: str) -> list[str]:
 
 
 GAP = 300  # characters between lines of one notice that have a cue
-BEHIND = 3  # lines behind the last cue that a notice may go on
 
 
-def blocks(text: str) -> list[tuple[list[tuple[int, int]], list[tuple[int, int]]]]:
-    """Candidate blocks, each as (start, end) spans to try: the run of lines with cues with and without lines behind it, and its lines.
-
-    Lines with cues that lie close together are one run; long lines are cut around their cues.
-    """
+def blocks(text: str) -> list[tuple[int, int]]:
+    """Candidate blocks: runs of lines with cues that lie close together; long lines are cut around their cues."""
     low = text.lower()
     if len(low) != len(text):  # a character that changes length: compare letter by letter
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
     spots = sorted({m for cue in CUES for m in _spots(low, cue)})
-    lines: list[list[int]] = []
+    runs: list[tuple[int, int]] = []
     for at in spots:
         start = max(text.rfind("\n", 0, at) + 1, at - REACH)
         end = text.find("\n", at)
         end = min(len(text) if end < 0 else end, at + REACH)
-        if lines and start <= lines[-1][1]:
-            lines[-1][1] = max(lines[-1][1], end)
-        else:
-            lines.append([start, end])
-    runs: list[list[tuple[int, int]]] = []
-    for a, b in lines:
-        if runs and a - runs[-1][-1][1] <= GAP:
-            runs[-1].append((a, b))
+        if runs and start - runs[-1][1] <= GAP:
+            runs[-1] = runs[-1][0], max(runs[-1][1], end)
         else:
-            runs.append([(a, b)])
-    out = []
-    for run in runs:
-        start, end = run[0][0], run[-1][1]
-        wide = [(start, end)]
-        for _ in range(BEHIND):  # a notice may end in lines without a cue
-            behind = text.find("\n", end + 1)
-            end = min(len(text) if behind < 0 else behind, end + REACH)
-            wide.append((start, end))
-        out.append((wide, run if len(run) > 1 else []))
-    return out
+            runs.append((start, end))
+    return runs
+
 
+def regions(text: str, runs: list[tuple[int, int]], reach: int) -> list[tuple[int, int]]:
+    """The candidate blocks with at least ``reach`` words and ``REACH`` characters before and behind, as spans that do not meet.
 
-def regions(runs: list[tuple[list[tuple[int, int]], list[tuple[int, int]]]]) -> list[tuple[int, int]]:
-    """What the candidate blocks reach over, as spans that do not meet."""
+    A notice may begin or end in lines without a cue, and wherever in a line.
+    """
     out: list[tuple[int, int]] = []
-    for wide, _ in runs:
-        start, end = wide[0][0], wide[-1][1]
+    for start, end in runs:
+        start, end = _before(text, start, reach), _behind(text, end, reach)
         if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
+            out[-1] = out[-1][0], max(out[-1][1], end)
         else:
             out.append((start, end))
     return out
 
 
+def _before(text: str, at: int, reach: int) -> int:
+    size = REACH
+    while True:
+        start = max(0, at - size)
+        while start and not text[start - 1].isspace() and at - start < 2 * size:  # no word is cut
+            start -= 1
+        if not start or sum(1 for _ in WORD.finditer(text, start, at)) >= reach:
+            return start
+        size *= 2
+
+
+def _behind(text: str, at: int, reach: int) -> int:
+    size = REACH
+    while True:
+        end = min(len(text), at + size)
+        while end < len(text) and not text[end].isspace() and end - at < 2 * size:
+            end += 1
+        if end == len(text) or sum(1 for _ in WORD.finditer(text, at, end)) >= reach:
+            return end
+        size *= 2
+
+
 def _spots(low: str, cue: str) -> Iterator[int]:
+    if " " in cue:  # its words may stand on two lines
+        yield from (m.start() for m in re.finditer(r"[\W_]+".join(map(re.escape, cue.split())), low))
+        return
     at = low.find(cue)
     while at >= 0:
         yield at
@@ -160,7 +169,7 @@ class Templates:
     def scan(self, text: str) -> tuple[int, list[dict]]:
         """(number of candidate blocks, confirmed findings) of one whole text."""
         runs, found = blocks(text), []
-        for start, end in regions(runs):
+        for start, end in regions(text, runs, max((len(w) + _most_new(w) for w in self.words), default=0)):
             found += self._confirmed(text, start, end)
         return len(runs), found
 
