@@ -71,6 +71,13 @@ def test_other_parameters_are_found(spark):
     assert [got[k][0] for k in (3, 4, 5, 6)] == [False] * 4  # slots that clash, chance overlap, nothing
 
 
+def test_copies_in_any_case(spark):
+    other = "Bob has 7 apples and Eve gives Bob 9 more apples so how many kg does Bob have now in total"
+    got = judge(spark, [ITEM.upper(), ITEM.lower(), ITEM.title(), "so: " + ITEM.swapcase() + ".", ITEM, other.lower(), ITEM.lower()[:40]])
+    assert [got[k] for k in range(5)] == [(True, [0], False)] * 5
+    assert not got[5][0] and not got[6][0]  # in lower case other names are other words
+
+
 def test_planted_passages(spark, sf1):
     from voxledger.llm.catalog import QUERIES
 

@@ -57,27 +57,35 @@ def hashed(rows: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("_t", words(template(plain(text_of(text))))).withColumn("_h", F.transform("_t", lambda w: F.xxhash64(w)))
 
 
+def with_plain(rows: DataFrame, text: str) -> DataFrame:
+    """Adds ``_w``, the lower-cased words, and ``_p``, their hashes; a window without slots has the same hash either way."""
+    return rows.withColumn("_w", words(F.lower(plain(text_of(text))))).withColumn("_p", F.transform("_w", lambda w: F.xxhash64(w)))
+
+
 def is_slot(word: Column) -> Column:
     return word.isin(NUMBER, NAME, UNIT)
 
 
 def item_windows(items: DataFrame, item: str, text: str) -> DataFrame:
-    """(item, ipos, length, hash, slots, need) of every window of the benchmark with enough literal words.
+    """(item, ipos, length, hash, slots, typed, need) of every window of the benchmark with enough literal words.
 
-    ``slots`` are the values at the slots, null elsewhere. Items of fewer than
-    ``WINDOW`` words are one window.
+    A window with slots comes twice: typed, and as its plain lower-cased
+    words. ``slots`` are the values at the slots of typed windows, null
+    elsewhere. Items of fewer than ``WINDOW`` words are one window.
     """
     rows = hashed(items.select(F.col(item).alias("item"), F.col(text).alias("_text")), "_text")
-    rows = rows.withColumn("_w", words(F.lower(plain(text_of("_text"))))).where(F.size("_t") >= LEAST_WORDS)
+    rows = with_plain(rows, "_text").where(F.size("_t") >= LEAST_WORDS)
     length = F.least(F.size("_t"), F.lit(WINDOW))
     at = F.explode(F.sequence(F.lit(1), F.size("_t") - length + 1))
-    cut = rows.select("item", length.alias("length"), at.alias("ipos"), "_t", "_w", "_h").select(
-        "item", "ipos", "length", F.xxhash64(F.slice("_h", F.col("ipos"), F.col("length"))).alias("hash"),
-        F.slice("_t", F.col("ipos"), F.col("length")).alias("t"), F.slice("_w", F.col("ipos"), F.col("length")).alias("w"))
+    part = lambda c: F.slice(c, F.col("ipos"), F.col("length"))
+    cut = rows.select("item", length.alias("length"), at.alias("ipos"), "_t", "_w", "_h", "_p").select(
+        "item", "ipos", "length", F.xxhash64(part("_h")).alias("hash"), F.xxhash64(part("_p")).alias("plain"), part("_t").alias("t"), part("_w").alias("w"))
     literal = F.size(F.filter("t", lambda x: ~is_slot(x)))
-    cut = cut.where(literal >= LEAST_LITERAL).select(
-        "item", "ipos", "length", "hash", F.zip_with("t", "w", lambda a, b: F.when(is_slot(a), b)).alias("slots"))
-    total = cut.groupBy("item").agg(F.least(F.lit(ENOUGH), F.ceil(F.count(F.lit(1)) * SHARE)).cast("int").alias("need"))
+    typed = F.struct(F.col("hash"), F.zip_with("t", "w", lambda a, b: F.when(is_slot(a), b)).alias("slots"), F.lit(True).alias("typed"))
+    whole = F.struct(F.col("plain").alias("hash"), F.transform("t", lambda a: F.lit(None).cast("string")).alias("slots"), F.lit(False).alias("typed"))
+    both = F.when(literal < F.col("length"), F.array(typed, whole)).otherwise(F.array(typed))
+    cut = cut.where(literal >= LEAST_LITERAL).select("item", "ipos", "length", F.explode(both).alias("s")).select("item", "ipos", "length", "s.*")
+    total = cut.groupBy("item").agg(F.least(F.lit(ENOUGH), F.ceil(F.count_if("typed") * SHARE)).cast("int").alias("need"))
     return cut.join(total, "item")
 
 
@@ -86,7 +94,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """One row per input row: the id, ``contaminated``, ``item_ids``, ``n_windows`` and ``reparameterised``.
 
     ``item_ids`` are the benchmark items of which enough windows recur with
-    consistent slots, in order; ``n_windows`` counts these windows;
+    consistent slots, or word by word in any case, in order; ``n_windows`` counts these windows;
     ``reparameterised`` says that a slot of a hit has another value than in
     the item. Null and empty texts hit nothing, nor do items of less than
     ``LEAST_WORDS`` words. Rows that repeat an id are judged as one text. A
@@ -102,21 +110,22 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                            F.lit(0).cast("long").alias("n_windows"), F.lit(False).alias("reparameterised"))
 
     # texts with enough windows of an item, whatever fills the slots
-    found = hashed(texts.where("id is not null"), "_text").select("id", F.explode(F.concat(*[window_hashes("_h", n) for n in sorted(shape.lengths)])).alias("hash"))
-    keys = bench.select("item", "hash", "need").distinct()
-    likely = (found.join(few(keys), "hash").groupBy("id", "item", "need").agg(F.count(F.lit(1)).alias("n"))
+    found = with_plain(hashed(texts.where("id is not null"), "_text"), "_text").select("id", F.explode(F.concat(*[
+        F.array_union(window_hashes("_h", n), window_hashes("_p", n)) for n in sorted(shape.lengths)])).alias("hash"))
+    keys = bench.groupBy("item", "hash", "need").agg(F.count_distinct("ipos").alias("windows"))  # an item may repeat itself
+    likely = (found.join(few(keys), "hash").groupBy("id", "item", "need").agg(F.sum("windows").alias("n"))
               .where("n >= need").select("id", "item"))
     likely = stored(likely, "likely")
     again = of_ids(texts, likely.select("id").distinct(), "id")
 
     # these again, with their words: which windows fill their slots consistently
-    again = hashed(again, "_text").withColumn("_w", words(F.lower(plain(text_of("_text")))))
+    again = with_plain(hashed(again, "_text"), "_text")
 
-    def placed(n: int) -> Column:
-        return F.transform(window_hashes("_h", n), lambda h, i: F.struct(
+    def placed(hashes: str, n: int) -> Column:
+        return F.transform(window_hashes(hashes, n), lambda h, i: F.struct(
             h.alias("hash"), (i + 1).alias("pos"), F.slice("_w", i + 1, n).alias("w")))
 
-    parts = [placed(n) for n in sorted(shape.lengths)]
+    parts = [placed(h, n) for n in sorted(shape.lengths) for h in ("_h", "_p")]
     spots = again.select("id", F.explode(F.concat(*parts)).alias("s")).select("id", "s.*")
     hits = spots.join(few(bench), "hash").join(likely, ["id", "item"], "left_semi")
     hits = hits.select("id", "item", "need", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), F.filter(
