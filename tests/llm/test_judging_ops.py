@@ -78,6 +78,19 @@ def test_copies_in_any_case(spark):
     assert not got[5][0] and not got[6][0]  # in lower case other names are other words
 
 
+def test_items_of_few_literal_words(spark):
+    items = ["What Is The Capital Of France", "Anna Ben Carla David Emil Frida Georg Hanna Ida Jonas", "2 3 5 7 11 13 17 19 23", "Pi Day", "", None,
+             "Anna has 3 red apples and 4 green pears Anna Ben Carla David Emil Frida Georg Hanna Ida Jonas Kai Lea Max Nora Otto Paul"]
+    texts = ["so: " + t + ". ok" for t in items[:4]] + [t.lower() for t in items[:4]]
+    texts += ["What Is The Capital Of Spain", "Anna Ben Carla David Max Frida Georg Hanna Ida Jonas", "2 3 5 7 12 13 17 19 23", "pi and day", "",
+              "Bob has 7 red apples and 9 green pears Bob Yan Xia", items[6].upper()]
+    got = judge(spark, texts, items)
+    assert [got[k] for k in range(8)] == [(True, [k % 4], False) for k in range(4)] * 2
+    assert not any(got[k][0] for k in range(8, 13))
+    assert got[13] == (True, [6], True)  # its typed windows decide on other names
+    assert got[14][1] == [1, 6]
+
+
 def test_planted_passages(spark, sf1):
     from voxledger.llm.catalog import QUERIES
 

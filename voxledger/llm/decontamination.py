@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .common import checkpointed, of_ids, query, stored, table, text_of
 
 WINDOW = 8
-LEAST_WORDS = 5  # shorter items are too short to tell a copy from chance
-LEAST_LITERAL = 4  # words of a window that are no slots
+LEAST_WORDS = 5  # shorter items have no typed window, only their own words
+LEAST_LITERAL = 4  # words of a typed window that are no slots
 ENOUGH = 6  # windows that make a hit: thirteen words in a row
 SHARE = 0.5  # or this share of the item's windows, for short items
 BROADCAST_ROWS = 1_000_000  # windows of the benchmark that are sent to all tasks
@@ -67,25 +67,30 @@ def is_slot(word: Column) -> Column:
 
 
 def item_windows(items: DataFrame, item: str, text: str) -> DataFrame:
-    """(item, ipos, length, hash, slots, typed, need) of every window of the benchmark with enough literal words.
+    """(item, ipos, length, hash, slots, typed, need, need_any) of every window of the benchmark.
 
-    A window with slots comes twice: typed, and as its plain lower-cased
-    words. ``slots`` are the values at the slots of typed windows, null
-    elsewhere. Items of fewer than ``WINDOW`` words are one window.
+    A window is typed if it has enough literal words, and is its plain
+    lower-cased words if it has slots or is not typed. ``slots`` are the
+    values at the slots of typed windows, null elsewhere. Items of fewer than
+    ``WINDOW`` words are one window. ``need`` typed windows make a hit (null
+    if the item has none), or ``need_any`` of both kinds.
     """
     rows = hashed(items.select(F.col(item).alias("item"), F.col(text).alias("_text")), "_text")
-    rows = with_plain(rows, "_text").where(F.size("_t") >= LEAST_WORDS)
+    rows = with_plain(rows, "_text").where(F.size("_t") > 0)
     length = F.least(F.size("_t"), F.lit(WINDOW))
     at = F.explode(F.sequence(F.lit(1), F.size("_t") - length + 1))
     part = lambda c: F.slice(c, F.col("ipos"), F.col("length"))
     cut = rows.select("item", length.alias("length"), at.alias("ipos"), "_t", "_w", "_h", "_p").select(
         "item", "ipos", "length", F.xxhash64(part("_h")).alias("hash"), F.xxhash64(part("_p")).alias("plain"), part("_t").alias("t"), part("_w").alias("w"))
     literal = F.size(F.filter("t", lambda x: ~is_slot(x)))
+    telling = (F.col("length") >= LEAST_WORDS) & (literal >= LEAST_LITERAL)
     typed = F.struct(F.col("hash"), F.zip_with("t", "w", lambda a, b: F.when(is_slot(a), b)).alias("slots"), F.lit(True).alias("typed"))
     whole = F.struct(F.col("plain").alias("hash"), F.transform("t", lambda a: F.lit(None).cast("string")).alias("slots"), F.lit(False).alias("typed"))
-    both = F.when(literal < F.col("length"), F.array(typed, whole)).otherwise(F.array(typed))
-    cut = cut.where(literal >= LEAST_LITERAL).select("item", "ipos", "length", F.explode(both).alias("s")).select("item", "ipos", "length", "s.*")
-    total = cut.groupBy("item").agg(F.least(F.lit(ENOUGH), F.ceil(F.count_if("typed") * SHARE)).cast("int").alias("need"))
+    kinds = F.when(~telling, F.array(whole)).when(literal < F.col("length"), F.array(typed, whole)).otherwise(F.array(typed))
+    cut = cut.select("item", "ipos", "length", F.explode(kinds).alias("s")).select("item", "ipos", "length", "s.*")
+    share = lambda n: F.least(F.lit(ENOUGH), F.ceil(n * SHARE)).cast("int")
+    n_typed = F.count_if("typed")
+    total = cut.groupBy("item").agg(F.when(n_typed > 0, share(n_typed)).alias("need"), share(F.count_distinct("ipos")).alias("need_any"))
     return cut.join(total, "item")
 
 
@@ -96,14 +101,16 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     ``item_ids`` are the benchmark items of which enough windows recur with
     consistent slots, or word by word in any case, in order; ``n_windows`` counts these windows;
     ``reparameterised`` says that a slot of a hit has another value than in
-    the item. Null and empty texts hit nothing, nor do items of less than
-    ``LEAST_WORDS`` words. Rows that repeat an id are judged as one text. A
+    the item. Items of less than ``LEAST_WORDS`` words, and windows with fewer
+    than ``LEAST_LITERAL`` literal words, hit only as their own words in any
+    case; so an item of one word hits every text that has it. Null and empty
+    texts hit nothing, nor do items without a word. Rows that repeat an id are judged as one text. A
     null id hits nothing. Empty tables give an empty result or no hits; other
     columns are not read.
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
     bench = checkpointed(item_windows(items, item_col, item_text))
-    shape = bench.agg(F.count(F.lit(1)).alias("n"), F.collect_set("length").alias("lengths")).first()  # at most four lengths
+    shape = bench.agg(F.count(F.lit(1)).alias("n"), F.collect_set("length").alias("lengths"), F.collect_set(F.when(F.col("typed"), F.col("length"))).alias("typed")).first()  # at most eight lengths
     few = lambda df: F.broadcast(df) if shape.n <= BROADCAST_ROWS else df  # noqa: E731  beyond the bound a shuffle join
     if not shape.n:
         return docs.select(id_col, F.lit(False).alias("contaminated"), F.array().cast("array<bigint>").alias("item_ids"),
@@ -111,10 +118,12 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
     # texts with enough windows of an item, whatever fills the slots
     found = with_plain(hashed(texts.where("id is not null"), "_text"), "_text").select("id", F.explode(F.concat(*[
-        F.array_union(window_hashes("_h", n), window_hashes("_p", n)) for n in sorted(shape.lengths)])).alias("hash"))
-    keys = bench.groupBy("item", "hash", "need").agg(F.count_distinct("ipos").alias("windows"))  # an item may repeat itself
-    likely = (found.join(few(keys), "hash").groupBy("id", "item", "need").agg(F.sum("windows").alias("n"))
-              .where("n >= need").select("id", "item"))
+        F.array_union(window_hashes("_h", n), window_hashes("_p", n)) if n in shape.typed else F.array_distinct(window_hashes("_p", n))
+        for n in sorted(shape.lengths)])).alias("hash"))
+    keys = bench.groupBy("item", "hash", "need", "need_any").agg(  # an item may repeat itself
+        F.count_distinct(F.when(F.col("typed"), F.col("ipos"))).alias("typed"), F.count_distinct("ipos").alias("windows"))
+    likely = (found.join(few(keys), "hash").groupBy("id", "item", "need", "need_any").agg(F.sum("typed").alias("n_typed"), F.sum("windows").alias("n"))
+              .where("n_typed >= need or n >= need_any").select("id", "item"))
     likely = stored(likely, "likely")
     again = of_ids(texts, likely.select("id").distinct(), "id")
 
@@ -125,10 +134,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         return F.transform(window_hashes(hashes, n), lambda h, i: F.struct(
             h.alias("hash"), (i + 1).alias("pos"), F.slice("_w", i + 1, n).alias("w")))
 
-    parts = [placed(h, n) for n in sorted(shape.lengths) for h in ("_h", "_p")]
+    parts = [placed(h, n) for n in sorted(shape.lengths) for h in (("_h", "_p") if n in shape.typed else ("_p",))]
     spots = again.select("id", F.explode(F.concat(*parts)).alias("s")).select("id", "s.*")
     hits = spots.join(few(bench), "hash").join(likely, ["id", "item"], "left_semi")
-    hits = hits.select("id", "item", "need", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), F.filter(
+    hits = hits.select("id", "item", "need", "need_any", "typed", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), F.filter(
         F.zip_with("slots", "w", lambda a, b: F.when(a.isNotNull(), F.struct(a.alias("mine"), b.alias("theirs")))),
         lambda x: x.isNotNull()).alias("pairs"))
     hits = stored(hits.distinct(), "hits")
@@ -138,7 +147,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     fair = hits.join(clash, ["id", "item", "shift"], "left").where(
         F.col("bad").isNull() | ~F.exists("pairs", lambda p: F.array_contains("bad", p["mine"])))
     other = F.exists("pairs", lambda p: p["mine"] != p["theirs"])
-    judged = fair.groupBy("id", "item", "need").agg(F.count_distinct("ipos").alias("n"), F.max(other).alias("other")).where("n >= need")
+    judged = fair.groupBy("id", "item", "need", "need_any").agg(
+        F.count_distinct(F.when(F.col("typed"), F.col("ipos"))).alias("n_typed"), F.count_distinct("ipos").alias("n"),
+        F.max(other).alias("other")).where("n_typed >= need or n >= need_any")
     per_text = judged.groupBy("id").agg(F.sort_array(F.collect_set("item")).alias("_items"), F.sum("n").alias("_n"), F.max("other").alias("_other"))
     out = docs.select(F.col(id_col).alias("_in")).join(per_text, F.col("_in") == F.col("id"), "left")
     return out.select(F.col("_in").alias(id_col), F.col("_items").isNotNull().alias("contaminated"),
