@@ -83,6 +83,15 @@ def test_quasi_constant_paths_agree(spark, sf):
     assert "disc" in prep.quasi_constant_columns(f, fx.FEATURES, 0.05)
 
 
+def test_duplicates_in_repeated_rows(spark):
+    d = spark.createDataFrame([(str(i), i * 1.0, i * i * 1.0, i * i * 1.0, i * 1.0, None) for i in range(6)],
+                              "audio_id string, a double, b double, c double, d double, e double")
+    for twice in (d, d.union(d)):
+        assert prep.duplicate_columns(twice, ["a", "b", "c", "d", "e"]) == ["c", "d"]
+    one_hash = prep._candidate_pairs({c: {"hash": 0} for c in "abcde"}, list("abcde"))  # as if all hashes met
+    assert sorted(prep._equal_pairs(d, one_hash, prep._verify(d, {}, one_hash)[1])) == [("a", "d"), ("b", "c")]
+
+
 def test_greedy_selection_order(spark):
     d = spark.range(200).select(*[(F.rand(s) + F.col("id") * k).alias(n) for n, s, k in
                                   (("a", 1, 1.0), ("b", 2, 1.0), ("c", 3, 0.0), ("d", 4, 1.0))])

@@ -107,7 +107,7 @@ def _profile(df: DataFrame, columns: list[str], id_col: str | None = None, middl
         v = _present(c)
         aggs += [F.min(v).alias(f"lo_{c}"), F.max(v).alias(f"hi_{c}"), F.avg(v).alias(f"mean_{c}")]
         if id_col:
-            aggs.append(F.bit_xor(F.xxhash64(F.col(id_col), F.col(c))).alias(f"hash_{c}"))
+            aggs.append(F.sum(F.xxhash64(F.col(id_col), F.col(c)).cast("decimal(20,0)")).alias(f"hash_{c}"))  # repeated rows add up
         if middle:
             # within 1 % of the middle rank, which a value with over 55 % of the rows covers
             aggs.append(F.percentile_approx(v, 0.5, 100).alias(f"mid_{c}"))
@@ -165,11 +165,30 @@ def _candidate_pairs(prof: dict[str, dict], columns: list[str]) -> list[tuple[st
     return [(g[0], c) for g in groups.values() for c in g[1:]]
 
 
+def _equal_pairs(df: DataFrame, pairs: list[tuple[str, str]], same: list[bool]) -> list[tuple[str, str]]:
+    """The equal ones of checked candidate pairs, and those among the columns that differ from their first one.
+
+    Columns of one hash that differ from the first make a new class each
+    pass; hashes that meet by chance only take more passes.
+    """
+    equal: list[tuple[str, str]] = []
+    while pairs:
+        rest: dict[str, list[str]] = defaultdict(list)
+        for ok, (a, b) in zip(same, pairs):
+            if ok:
+                equal.append((a, b))
+            else:
+                rest[a].append(b)
+        pairs = [(g[0], c) for g in rest.values() for c in g[1:]]
+        _, same = _verify(df, {}, pairs)
+    return equal
+
+
 def duplicate_columns(df: DataFrame, columns: list[str], id_col: str = "audio_id") -> list[str]:
     """Columns equal to an earlier one: equal hashes first, then a row by row check."""
     pairs = _candidate_pairs(_profile(df, columns, id_col), columns)
     _, same = _verify(df, {}, pairs)
-    drop = {b for ok, (_, b) in zip(same, pairs) if ok}
+    drop = {b for _, b in _equal_pairs(df, pairs, same)}
     return [c for c in columns if c in drop]
 
 
@@ -206,7 +225,7 @@ def select_features(train: DataFrame, columns: list[str], quasi: float = 0.99, c
     pairs = _candidate_pairs(prof, kept)
     share, same = _verify(train, {c: prof[c]["mid"] for c in kept if prof[c]["mid"] is not None}, pairs)
     kept = [c for c in kept if share.get(c, 0.0) <= quasi]
-    twins = {b for ok, (a, b) in zip(same, pairs) if ok and a in kept}
+    twins = {b for a, b in _equal_pairs(train, pairs, same) if a in kept}
     kept = [c for c in kept if c not in twins]
     gone = set(correlated_columns(train, kept, corr, {c: prof[c]["mean"] for c in kept}))
     return [c for c in kept if c not in gone]
