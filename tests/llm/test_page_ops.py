@@ -37,6 +37,18 @@ def test_parts_of_a_page():
     assert html_text.parse("<p>a<p>b<div>c</div>d<style>p{}</style>") == ([], ["a", "b", "c", "d"])
 
 
+def test_marked_parts_without_article(spark):
+    menu, form = "<nav>Home News</nav><div class='menu'>About</div>", "<form>send</form><div id='comments'><p>nice</p></div><footer>f</footer>"
+    rows = [(1, f"<body class='has-sidebar'>{menu}<p>Own text</p>{form}</body>"), (2, f"<body class='comments-open'>{menu}<article><p>A</p></article>{form}"),
+            (3, f"<div class='widget'>{menu}<article><p>A</p><div class='ad'>buy</div></article></div>"),
+            (4, f"<main>{menu}<p>A long story of the main part.</p><article>Teaser</article></main>"),
+            (5, f"<form id='page'>{menu}<main><p>M</p></main></form>"), (6, "<form><p>All in a form</p></form>"),
+            (7, "<article><p>A</p></article><div class='sidebar'><article>Teaser</article></div>")]
+    df = spark.createDataFrame([(k, f"http://h{k}.example/", h) for k, h in rows], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.extract(df).collect()} == {
+        1: "Own text", 2: "A", 3: "A", 4: "A long story of the main part.\nTeaser", 5: "M", 6: "All in a form", 7: "A"}
+
+
 def test_articles_of_the_table(spark, sf):
     from voxledger.llm.catalog import QUERIES
 
