@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import relational as rel
 from . import fixtures as fx
-from .q_sources import MANIFEST_IDS
+from .q_sources import MANIFEST_IDS, stored_signals
 from .registry import query, rounded
 
 KEY = ("audio_id", "real_or_fake")
@@ -176,7 +176,7 @@ def r20(spark, sf):
     SELECT audio_id, real_or_fake, len(samples)::BIGINT AS n_samples FROM sig_ev
     WHERE audio_id = '7-2024-01' AND real_or_fake IN ('R', 'F01', 'F03', 'F09')""")
 def r21(spark, sf):
-    return rel.select_versions(fx.sig_ev(spark, sf), "7-2024-01", [1, 3, 9]).select(
+    return rel.select_versions(stored_signals(spark, sf), "7-2024-01", [1, 3, 9]).select(
         *KEY, F.size("samples").cast("bigint").alias("n_samples"))
 
 

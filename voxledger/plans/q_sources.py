@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources import features as feat, recordings as rec
+from ..sources import features as feat, recordings as rec, store
 from . import fixtures as fx
 from .registry import NUDGE, query, rounded
 
@@ -70,11 +70,27 @@ def s03(spark, sf):
     return rec.scan_partition(spark.read.parquet(out), 3).withColumn("partition_id", F.col("partition_id").cast("bigint"))
 
 
+def sized(df: DataFrame) -> DataFrame:
+    return df.select("audio_id", "real_or_fake", F.size("samples").cast("bigint").alias("n_samples"))
+
+
+def stored_signals(spark, sf):
+    return store.write_store(fx.sig_ev(spark, sf), shared_folder(spark, "signals"), 64)
+
+
 @query("s04_scan_ids", "sig_ev", """
     SELECT audio_id, real_or_fake, len(samples)::BIGINT AS n_samples FROM sig_ev WHERE audio_id IN ('1-2024-01', '7-2024-01', '12-2024-01')""")
 def s04(spark, sf):
-    return rec.scan_ids(fx.sig_ev(spark, sf), ["1-2024-01", "7-2024-01", "12-2024-01"]).select(
-        "audio_id", "real_or_fake", F.size("samples").cast("bigint").alias("n_samples"))
+    return sized(rec.scan_ids(stored_signals(spark, sf), ["1-2024-01", "7-2024-01", "12-2024-01"]))
+
+
+@query("s20_scan_id_table", "sig_ev", """
+    SELECT audio_id, real_or_fake, len(samples)::BIGINT AS n_samples FROM sig_ev
+    WHERE audio_id IN (SELECT audio_id FROM sig_ev WHERE real_or_fake = 'F04' AND len(samples) > 10)""")
+def s20(spark, sf):
+    signals = stored_signals(spark, sf)
+    wanted = signals.where((F.col("real_or_fake") == "F04") & (F.size("samples") > 10)).select("audio_id")
+    return sized(rec.scan_ids(signals, wanted))
 
 
 @query("s05_scan_dataset", "manifest", "SELECT doc_id, path, corpus FROM manifest WHERE corpus = 'de'")

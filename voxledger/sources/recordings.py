@@ -51,10 +51,23 @@ def scan_partition(df: DataFrame, partition_id: int) -> DataFrame:
     return df.where(F.col("partition_id") == partition_id)
 
 
+#: Ids up to which an id table becomes a filter, which files and buckets are selected by.
+FILTER_IDS = 1_000
+
+
 def scan_ids(df: DataFrame, ids: str | list[str] | DataFrame, id_col: str = "audio_id") -> DataFrame:
-    """Rows of one id, of a list of ids, or of an id table."""
+    """Rows of one id, of a list of ids, or of the first column of an id table; null ids match nothing.
+
+    On a table of ``store`` a filter selects buckets and row groups. A small id
+    table is turned into such a filter, a larger one is a semi-join, for which
+    the bucketed side is not shuffled.
+    """
     if isinstance(ids, DataFrame):
-        return df.join(ids.select(F.col(ids.columns[0]).alias(id_col)), id_col, "left_semi")
+        table = ids.select(F.col(ids.columns[0]).alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
+        few = table.limit(FILTER_IDS + 1).collect()
+        if len(few) > FILTER_IDS:
+            return join_lookup(df, table, id_col, "left_semi")
+        ids = [r[0] for r in few]
     return df.where(F.col(id_col).isin([ids] if isinstance(ids, str) else ids))
 
 
