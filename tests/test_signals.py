@@ -7,7 +7,7 @@ import wave
 import numpy as np
 import pytest
 
-from voxledger.functions import describe, dsp, special, voice
+from voxledger.functions import describe, runs, dsp, special, voice
 from voxledger.operators import feature_row as row, frames as fr, quality as qa, spectral as sp, voice as vo
 from voxledger.sources.wav import decode_pcm_wav
 
@@ -145,6 +145,44 @@ def test_full_feature_row_has_407_columns(spark):
         row.feature_row(recordings(spark, [sine(200.0)]), ["loudness"])
 
 
+def test_feature_row_is_one_scan_without_join(spark):
+    df = recordings(spark, [voiced(), sine(200.0)])
+    text = row.feature_row(df)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Scan") == 1 and "Join" not in text and "Exchange" not in text and "Window" not in text
+    assert text.count("ArrowEvalPython") == 3  # tracks; runs and pulses; summaries
+
+
+def test_runs_on_arrays_equal_windows(spark):
+    """Random levels: the interval kernel gives what windows over rows give."""
+    rng = np.random.default_rng(11)
+    for seed in range(6):
+        n = int(rng.integers(1, 60)) * 100
+        x = np.repeat(rng.choice([0.0, 0.001, 0.5, 1.0], n // 100), 100) * rng.standard_normal(n)
+        df = recordings(spark, [x])
+        want = sorted((r["start"], r["end"]) for r in fr.intensity_pauses(df).collect())
+        db = np.array(df.select(vo.level_array(fr.LEVEL_WINDOW, fr.LEVEL_STEP, 1.0).alias("l")).first()["l"])
+        top = db.max() - 25.0 if len(db) else None
+        flag, start, end = runs.intervals(db, top, round(fr.LEVEL_STEP * SR), n, SR, 0.1, 0.1)
+        assert sorted(zip(start[flag], end[flag])) == pytest.approx(want)
+    assert [len(v) for v in runs.intervals(np.empty(0), None, 1, 0, SR, 0.1, 0.1)] == [0, 0, 0]
+
+
+def test_perturbation_on_arrays_equals_windows(spark):
+    rng = np.random.default_rng(12)
+    for n in (0, 1, 2, 4, 5, 12, 60):
+        t = np.cumsum(rng.choice([0.004, 0.0045, 0.005, 0.03, 0.00005], n))
+        amp = rng.choice([1.0, 1.1, 0.9, 3.0, -0.5], n)
+        got = runs.perturbation(t, amp, 0.0001, 0.02, 1.3, 1.6)
+        if not n:
+            assert np.isnan(got).all()
+            continue
+        rows = [("a", i, float(t[i] - t[i - 1]) if i else None, float(amp[i])) for i in range(n)]
+        p = spark.createDataFrame(rows, "audio_id string, i int, period double, amp double")
+        want = vo.perturbation(p, keys=("audio_id",)).first().asDict()
+        for name, v in zip(runs.PERTURBATION, got):
+            assert (want[name] is None) == np.isnan(v) and (want[name] is None or v == pytest.approx(want[name])), (n, name)
+
+
 def test_summaries_of_edge_arrays(spark):
     df = recordings(spark, [[], [2.0], [1.0, 1.0], [1.0, 2.0, 4.0]])
     out = {r["audio_id"]: r for r in df.select("audio_id", describe.summary_of("samples").alias("s")).select("audio_id", "s.*").collect()}

@@ -109,7 +109,7 @@ def test_opened_again_it_prunes_as_before(spark, signals, stored):
     got = rec.scan_ids(again, ["a4", "a5"])
     assert read(got)[0] < ROWS / 5
     assert rows(got) == rows(signals.where("audio_id IN ('a4', 'a5')"))
-    assert again.schema["samples"].dataType == signals.schema["samples"].dataType
+    assert again.schema["samples"].dataType.simpleString() == "array<double>"
 
 
 def test_versions_of_one_id_read_one_bucket(stored):

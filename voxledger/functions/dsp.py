@@ -271,6 +271,20 @@ def matrix_of(col, sr, name: str, n_fft: int, hop: int, **options) -> Column:
     return per_recording("array<array<double>>", fn, col, sr)
 
 
+def spectral_of(col, sr, tracks: list[str], matrices: list[str], n_fft: int, hop: int, options: dict[str, dict] | None = None) -> Column:
+    """Struct of tracks (an array each) and matrices (an array per frame) from one short-time spectrum."""
+    opts = options or {}
+
+    def fn(x, r):
+        a, hz = _spectrum(x, r, n_fft, hop)
+        if not len(a):
+            return [np.empty(0)] * len(tracks) + [[]] * len(matrices)
+        return [TRACKS[n](a, hz, **opts.get(n, {})) for n in tracks] + [list(MATRICES[n](a, hz, **opts.get(n, {}))) for n in matrices]
+
+    fields = [f"`{n}` array<double>" for n in tracks] + [f"`{n}` array<array<double>>" for n in matrices]
+    return per_recording(", ".join(fields), fn, col, sr)
+
+
 def magnitudes_of(col, n_fft: int, hop: int) -> Column:
     return per_recording("array<array<double>>", lambda x: list(stft_magnitude(x, n_fft, hop)), col)
 

@@ -40,8 +40,12 @@ def pitch_track(x, sr, fmin, fmax, step, threshold):
 
 
 def find_pulses(x, sr, fmin, fmax, step, threshold=0.45):
-    """One extremum per period inside each voiced stretch, walked outwards from its strongest point."""
     t, f0, _ = pitch_track(x, sr, fmin, fmax, step, threshold)
+    return pulses_on(x, sr, t, f0, step)
+
+
+def pulses_on(x, sr, t, f0, step):
+    """One extremum per period inside each voiced stretch of a pitch track, walked outwards from its strongest point."""
     voiced = np.flatnonzero(f0 > 0)
     if not len(voiced):
         return np.empty(0), np.empty(0)
@@ -121,6 +125,16 @@ def pulses_of(col, sr, fmin, fmax, step) -> Column:
     return per_recording("t array<double>, amp array<double>", lambda x, rate: find_pulses(x, rate, fmin, fmax, step), col, sr)
 
 
+def voiced_of(col, sr, fmin, fmax, step, threshold=0.45) -> Column:
+    """Pitch and the pulses found on it: one track for both."""
+
+    def fn(x, rate):
+        t, f0, r = pitch_track(x, rate, fmin, fmax, step, threshold)
+        return t, f0, r, *pulses_on(x, rate, t, f0, step)
+
+    return per_recording("t array<double>, f0 array<double>, r array<double>, pulse array<double>, amp array<double>", fn, col, sr)
+
+
 def formants_of(col, sr, **options) -> Column:
     def fn(x, rate):
         t, f = formant_tracks(x, rate, **options)

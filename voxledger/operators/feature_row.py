@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import dsp, voice as fv
+from ..functions import dsp, runs, voice as fv
 from ..functions.describe import MEASURES, summaries_of, summary_of
 from . import voice as vo
 from .scale import spread_small
-from .frames import KEEP, LEVEL_STEP, LEVEL_WINDOW, crossings, intensity_pauses, resample, rms
+from .frames import KEEP, LEVEL_STEP, LEVEL_WINDOW, crossings, power_db, resample, rms, seconds
 
 # Feature names by group.
 GROUPS = {
@@ -24,6 +24,7 @@ ORDER = ["spectral_centroid", "spectral_bandwidth", "spectral_contrast", "spectr
          "zero_crossing_rate", "spectral_flux", "f0", "energy"]
 PERTURBATION = {"jitter": ["jitter_local", "jitter_rap", "jitter_ppq5"],
                 "shimmer": ["shimmer_local", "shimmer_apq3", "shimmer_apq5", "shimmer_dda"]}
+FORMANTS = [f"F{k}_{m}" for k in (1, 2, 3) for m in ("mean", "stdev")]
 N_MFCC, N_CHROMA = 13, 12
 
 
@@ -65,8 +66,10 @@ def feature_row(df: DataFrame, include: list[str] | None = None, opts: Options =
 
     Spectral features, pitch and energy read the resampled recording; rates,
     pauses, formants and voice quality read it at its own rate, with windows
-    in seconds. Features that live inside the recording are computed
-    in place; only pauses, pulses and speech rate come back through a join.
+    in seconds. Everything is worked out on the recording's own row, in one
+    scan without a join: tracks first, then runs of frames and pulses, then
+    summaries. One spectrum serves all spectral features, one pitch track
+    harmonicity, jitter and shimmer, one level track pauses and speech rate.
     """
     want = {f for g in (include or list(GROUPS)) for f in GROUPS.get(g, [g])}
     names = measures or MEASURES
@@ -77,73 +80,71 @@ def feature_row(df: DataFrame, include: list[str] | None = None, opts: Options =
     own = df.withColumn("_own", F.col("samples")).withColumn("_own_sr", F.col("sampling_rate"))
     src = resample(own, opts.target_sr) if opts.target_sr else own
 
-    # stage 1: everything computed from samples; spectral tracks at the common rate
-    stage1: list[Column] = []
+    # tracks of the resampled recording
+    at: dict[str, Column] = {}
     arrays: dict[str, str] = {}
     track_names = [t for t in TRACKS if t in want]
-    if track_names:
-        stage1.append(dsp.tracks_of("samples", "sampling_rate", track_names, opts.n_fft, opts.hop, {
-            "spectral_contrast": {"fmin": opts.contrast_fmin, "bands": opts.contrast_bands}}).alias("_t"))
+    matrices = [m for f, m in (("mfccs", "mfcc"), ("chroma_stft", "chroma")) if f in want]
+    if track_names or matrices:
+        at["_t"] = dsp.spectral_of("samples", "sampling_rate", track_names, matrices, opts.n_fft, opts.hop, {
+            "spectral_contrast": {"fmin": opts.contrast_fmin, "bands": opts.contrast_bands}, "mfcc": {"n": N_MFCC, "n_mels": opts.n_mels}})
         arrays |= {t: f"_t.{t}" for t in track_names}
     if "zero_crossing_rate" in want:
-        stage1.append(_frames(lambda a: crossings(a) / F.size(a), opts.n_fft, opts.hop).alias("_z"))
-        arrays["zero_crossing_rate"] = "_z"
+        at["_z"], arrays["zero_crossing_rate"] = _frames(lambda a: crossings(a) / F.size(a), opts.n_fft, opts.hop), "_z"
     if "f0" in want:
-        stage1.append(fv.pitch_of("samples", "sampling_rate", opts.f0_low, opts.f0_high, opts.pitch_step, 0.45).alias("_f0"))
-        arrays["f0"] = "_f0.f0"
+        at["_f0"], arrays["f0"] = fv.pitch_of("samples", "sampling_rate", opts.f0_low, opts.f0_high, opts.pitch_step, 0.45), "_f0.f0"
     if "energy" in want:
-        stage1.append(_frames(rms, opts.n_fft, opts.hop).alias("_e"))
-        arrays["energy"] = "_e"
-    if "mfccs" in want:
-        stage1.append(dsp.matrix_of("samples", "sampling_rate", "mfcc", opts.n_fft, opts.hop, n=N_MFCC, n_mels=opts.n_mels).alias("_mfcc"))
-    if "chroma_stft" in want:
-        stage1.append(dsp.matrix_of("samples", "sampling_rate", "chroma", opts.n_fft, opts.hop).alias("_chroma"))
+        at["_e"], arrays["energy"] = _frames(rms, opts.n_fft, opts.hop), "_e"
+    # tracks of the recording at its own rate
     if "speaking_rate" in want:
-        stage1 += [vo.level_array(opts.rate_window, opts.rate_step, samples="_own", rate="_own_sr").alias("_l"), (F.size("_own") / F.col("_own_sr")).alias("_d")]
+        at["_l"] = vo.level_array(opts.rate_window, opts.rate_step, samples="_own", rate="_own_sr")
     if "formants" in want:
-        stage1.append(fv.formants_of("_own", "_own_sr", step=opts.formant_step, count=opts.formant_count,
-                                     ceiling=opts.formant_ceiling, window=opts.formant_window).alias("_fm"))
-    if "hnr" in want:
-        stage1.append(fv.pitch_of("_own", "_own_sr", opts.pitch_low, opts.pitch_high, opts.pitch_step, 0.45).alias("_hp"))
+        at["_fm"] = fv.formants_of("_own", "_own_sr", step=opts.formant_step, count=opts.formant_count,
+                                   ceiling=opts.formant_ceiling, window=opts.formant_window)
+    if want & {"hnr", "jitter", "shimmer"}:
+        at["_v"] = fv.voiced_of("_own", "_own_sr", opts.pitch_low, opts.pitch_high, opts.pitch_step)
+    if want & {"pauses", "speech_rate"}:
+        at["_pw"] = vo.power_array(opts.level_window, opts.level_step, "_own", "_own_sr")
+    if "speech_rate" in want:
+        at["_sp"] = fv.pitch_of("_own", "_own_sr", *vo.SPEECH_PITCH)
+    rows = src.withColumns(at)
 
-    # stage 2: summaries as structs whose fields already carry the final names
-    stage2: list[Column] = []
+    # runs of frames and pulses
+    if "pauses" in want:
+        rows = rows.withColumn("_db", F.transform("_pw", lambda p: power_db(p)))
+        quiet = runs.silent_of("_db", F.array_max("_db") + opts.pause_db, seconds(opts.level_step, "_own_sr"), F.size("_own"), "_own_sr",
+                               opts.min_silent, opts.min_sounding)
+        rows = rows.withColumn("_q", quiet)
+        rows = rows.withColumn("_pause", F.zip_with("_q.end", "_q.start", lambda e, s: e - s))
+    if want & {"jitter", "shimmer"}:
+        rows = rows.withColumn("_pt", runs.perturbation_of("_v.pulse", "_v.amp", 0.0001, max(0.02, 2.0 / opts.pitch_low)))
+    if "speech_rate" in want:
+        rows = rows.withColumn("_sl", F.transform("_pw", lambda p: power_db(p, vo.SOUND_REF)))
+        rows = vo.with_speech(rows, "_sl", "_sp", opts.level_window, opts.level_step, samples="_own", rate="_own_sr")
+
+    # summaries as structs whose fields carry the final names
+    out: dict[str, Column] = {}
     stars: list[str] = []
     for n in ORDER:
         if n in arrays:
-            stage2.append(summary_of(arrays[n], names, f"{n}_").alias(f"_s_{n}"))
+            out[f"_s_{n}"] = summary_of(arrays[n], names, f"{n}_")
             stars.append(f"_s_{n}.*")
     for flag, name, n in (("mfccs", "mfcc", N_MFCC), ("chroma_stft", "chroma", N_CHROMA)):
         if flag in want:
-            stage2.append(summaries_of(f"_{name}", n, names, name).alias(f"_s_{name}"))
+            out[f"_s_{name}"] = summaries_of(f"_t.{name}", n, names, name)
             stars.append(f"_s_{name}.*")
-    single: list[Column] = []
-    scalars: list[str] = []
     if "speaking_rate" in want:
-        single.append(vo.loud_rate("_l", F.col("_d")).alias("speaking_rate"))
-        scalars.append("speaking_rate")
+        out["speaking_rate"] = vo.loud_rate("_l", F.size("_own") / F.col("_own_sr"))
+        stars.append("speaking_rate")
     if "formants" in want:
-        single += vo.formant_means("_fm")
-        scalars += [f"F{k}_{m}" for k in (1, 2, 3) for m in ("mean", "stdev")]
+        out |= dict(zip(FORMANTS, vo.formant_means("_fm")))
+        stars += FORMANTS
     if "hnr" in want:
-        single.append(vo.mean_hnr("_hp").alias("hnr"))
-        scalars.append("hnr")
-    first = src.select(*KEEP, *stage1)
-    out = first.select(*KEEP, *stage2, *single).select(*KEEP, *stars, *scalars)
-
-    # intervals and pulses need rows; each comes back as one row per recording
-    parts: list[DataFrame] = []
+        out["hnr"] = vo.mean_hnr("_v")
+        stars.append("hnr")
     if "pauses" in want:
-        p = intensity_pauses(df, opts.pause_db, opts.min_silent, opts.min_sounding, opts.level_window, opts.level_step)
-        d = p.groupBy(*KEEP).agg(F.collect_list("duration").alias("_d"))
-        parts.append(d.select(*KEEP, summary_of("_d", names, "pause_").alias("s")).select(*KEEP, "s.*"))
-    if want & {"jitter", "shimmer"}:
-        pulses = vo.pulses(df, opts.pitch_low, opts.pitch_high, opts.pitch_step)
-        longest = max(0.02, 2.0 / opts.pitch_low)
-        cols = [c for f, cs in PERTURBATION.items() if f in want for c in cs]
-        parts.append(vo.perturbation(pulses, hi=longest).select(*KEEP, *cols))
-    if "speech_rate" in want:
-        parts.append(vo.speech_rate(df, opts.level_window, opts.level_step).drop("originaldur"))
-    for part in parts:
-        out = out.join(part, list(KEEP), "left")
-    return out
+        out["_s_pause"] = summary_of("_pause", names, "pause_")
+        stars.append("_s_pause.*")
+    stars += [f"_pt.{c}" for f, cs in PERTURBATION.items() if f in want for c in cs]
+    stars += [c for c in vo.SPEECH if c != "originaldur" and "speech_rate" in want]
+    return rows.withColumns(out).select(*KEEP, *stars)

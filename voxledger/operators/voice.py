@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions import voice as vo
+from ..functions import runs, voice as vo
 from ..functions.describe import peak_positions, summary_of
 from ..functions.dsp import per_recording
-from .frames import KEEP, LEVEL_STEP, LEVEL_WINDOW, mean_square, power_db, seconds, sounding_intervals, total
+from .frames import KEEP, LEVEL_STEP, LEVEL_WINDOW, mean_square, power_db, seconds, total
 
 F0_LOW, F0_HIGH = 65.406391, 2093.004522  # the notes C2 and C7 in Hz
 SOUND_REF = 4e-10  # (2e-5 Pa) squared
+SPEECH_PITCH = (30.0, 450.0, 0.02, 0.25)  # lowest and highest pitch, step and threshold of the voicing gate
 
 
 def _mean(a: Column) -> Column:
@@ -165,11 +166,16 @@ def perturbation(pulse_rows: DataFrame, lo: float = 0.0001, hi: float = 0.02, fa
 
 # --- rates from the intensity track ------------------------------------------------------
 
-def level_array(window: float, step: float, ref: float = SOUND_REF, samples: str = "samples", rate: str = "sampling_rate") -> Column:
-    """dB of every frame as an array; ``window`` and ``step`` in seconds, so the rate of the recording does not matter."""
+def power_array(window: float, step: float, samples: str = "samples", rate: str = "sampling_rate") -> Column:
+    """Mean square of every frame as an array; ``window`` and ``step`` in seconds."""
     n, w, s = F.size(samples), seconds(window, rate), seconds(step, rate)
     starts = F.when(n >= w, F.sequence(F.lit(0), F.floor((n - w) / s).cast("int"))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda k: power_db(mean_square(F.slice(samples, k * s + 1, w)), ref))
+    return F.transform(starts, lambda k: mean_square(F.slice(samples, k * s + 1, w)))
+
+
+def level_array(window: float, step: float, ref: float = SOUND_REF, samples: str = "samples", rate: str = "sampling_rate") -> Column:
+    """dB of every frame as an array; ``window`` and ``step`` in seconds, so the rate of the recording does not matter."""
+    return F.transform(power_array(window, step, samples, rate), lambda p: power_db(p, ref))
 
 
 def loud_rate(levels: str, duration: Column, share: float = 0.3) -> Column:
@@ -190,6 +196,47 @@ def _quantile(sorted_array: Column, q: float) -> Column:
     return a + (h - lo) * (b - a)
 
 
+SPEECH = ["voicedcount", "npause", "originaldur", "intensity_duration", "speakingrate", "articulationrate", "asd", "totalpauseduration"]
+
+
+def with_speech(df: DataFrame, levels: str, pitch: str | None, window: float, step: float, silence_db: float = -25.0,
+                min_dip: float = 2.0, min_pause: float = 0.3, min_sounding: float = 0.1, samples: str = "samples",
+                rate: str = "sampling_rate") -> DataFrame:
+    """``df`` with the columns SPEECH from an array of levels and a struct of pitch arrays; no row leaves its recording.
+
+    All are null where there is no level.
+    """
+    sr, n, wide, hop = F.col(rate), F.size(samples), seconds(window, rate), seconds(step, rate)
+    lv = df.withColumn("_sorted", F.sort_array(levels))
+    lv = lv.withColumn("_cut", _quantile(F.col("_sorted"), 0.99) + silence_db)
+    lv = lv.withColumn("_thr", F.greatest(F.col("_cut"), F.array_min(levels)))
+    # peaks: above both neighbours (a plateau counts at its midpoint) and above the threshold
+    lv = lv.withColumns({"_pk": per_recording("array<int>", lambda x: peak_positions(x).astype("int32"), levels),
+                         "_iv": runs.silent_of(levels, F.col("_cut"), hop, n, rate, min_pause, min_sounding, silent=False)})
+    lv = lv.withColumn("_pk", F.filter("_pk", lambda i: F.get(levels, i) > F.col("_thr")))
+    dips = F.zip_with(
+        F.slice("_pk", F.lit(1), F.greatest(F.size("_pk") - 1, F.lit(0))),
+        F.slice("_pk", F.lit(2), F.greatest(F.size("_pk") - 1, F.lit(0))),
+        lambda p, q: F.struct(p.alias("p"), (F.get(levels, p) - F.array_min(F.slice(levels, p + 1, q - p + 1)) > min_dip).alias("ok")))
+    lv = lv.withColumn("_ok", F.transform(F.filter(dips, lambda d: d["ok"]), lambda d: d["p"] * hop / sr))
+    if pitch:
+        gap = F.get(f"{pitch}.t", F.lit(1)) - F.get(f"{pitch}.t", F.lit(0))
+        near = lambda t: F.round((t + wide / 2 / sr - F.get(f"{pitch}.t", F.lit(0))) / gap).cast("int")
+        inside = lambda t: F.greatest(F.lit(0), F.least(near(t), F.size(f"{pitch}.t") - 1))
+        lv = lv.withColumn("_ok", F.filter("_ok", lambda t: F.coalesce(
+            F.when(F.size(f"{pitch}.t") > 1, F.get(f"{pitch}.f0", inside(t)) > 0), F.lit(False))))
+    spans = F.arrays_zip("_iv.start", "_iv.end")
+    lv = lv.withColumn("_speak", F.aggregate(spans, F.lit(0.0), lambda s, v: s + v["end"] - v["start"]))
+    inner = F.size(F.filter("_ok", lambda t: F.exists(spans, lambda v: (t >= v["start"]) & (t < v["end"])))).cast("double")
+    v, speak, dur = F.col("voicedcount"), F.col("_speak"), F.col("originaldur")
+    lv = lv.withColumns({"voicedcount": inner, "npause": (F.size("_iv.start") - 1).cast("double"), "originaldur": n / sr,
+                         "intensity_duration": F.size(levels) * hop / sr})
+    lv = lv.withColumns({"speakingrate": v / F.nullif(dur, F.lit(0.0)), "articulationrate": v / F.nullif(speak, F.lit(0.0)),
+                         "asd": speak / F.nullif(v, F.lit(0.0)), "totalpauseduration": dur - speak})
+    some = F.size(levels) > 0
+    return lv.select(*df.columns, *[F.when(some, F.col(c)).alias(c) for c in SPEECH])
+
+
 def speech_rate(df: DataFrame, window: float = LEVEL_WINDOW, step: float = LEVEL_STEP, *, silence_db: float = -25.0, min_dip: float = 2.0,
                 min_pause: float = 0.3, min_sounding: float = 0.1, voicing: bool = True) -> DataFrame:
     """Syllable nuclei (de Jong & Wempe 2009): voiced intensity peaks, pauses and the rates from them.
@@ -199,42 +246,10 @@ def speech_rate(df: DataFrame, window: float = LEVEL_WINDOW, step: float = LEVEL
     with ``voicing``, the pitch track is voiced there. ``window`` and ``step``
     are in seconds.
     """
-    sr, wide, hop = F.col("sampling_rate"), seconds(window), seconds(step)
-    cols = [*KEEP, "sampling_rate", F.size("samples").alias("_n"), level_array(window, step).alias("_l")]
+    cols = [*KEEP, "sampling_rate", "samples", level_array(window, step).alias("_l")]
     if voicing:
-        cols.append(vo.pitch_of("samples", "sampling_rate", 30.0, 450.0, 0.02, 0.25).alias("_p"))
+        cols.append(vo.pitch_of("samples", "sampling_rate", *SPEECH_PITCH).alias("_p"))
     # the filter is on the samples: one on the levels would compute them twice
-    lv = df.where(F.size("samples") >= wide).select(*cols)
-    lv = lv.select("*", F.sort_array("_l").alias("_sorted"))
-    lv = lv.select("*", (_quantile(F.col("_sorted"), 0.99) + silence_db).alias("_cut"))
-    lv = lv.withColumn("_thr", F.greatest(F.col("_cut"), F.array_min("_l")))
-    # peaks: above both neighbours (a plateau counts at its midpoint) and above the threshold
-    lv = lv.withColumn("_pk", per_recording("array<int>", lambda x: peak_positions(x).astype("int32"), "_l"))
-    lv = lv.withColumn("_pk", F.filter("_pk", lambda i: F.get("_l", i) > F.col("_thr")))
-    dips = F.zip_with(
-        F.slice("_pk", F.lit(1), F.greatest(F.size("_pk") - 1, F.lit(0))),
-        F.slice("_pk", F.lit(2), F.greatest(F.size("_pk") - 1, F.lit(0))),
-        lambda p, q: F.struct(p.alias("p"), (F.get("_l", p) - F.array_min(F.slice("_l", p + 1, q - p + 1)) > min_dip).alias("ok")))
-    lv = lv.withColumn("_ok", F.transform(F.filter(dips, lambda d: d["ok"]), lambda d: d["p"] * hop / sr))
-    if voicing:
-        gap = F.get("_p.t", F.lit(1)) - F.get("_p.t", F.lit(0))
-        near = lambda t: F.round((t + wide / 2 / sr - F.get("_p.t", F.lit(0))) / gap).cast("int")
-        inside = lambda t: F.greatest(F.lit(0), F.least(near(t), F.size("_p.t") - 1))
-        lv = lv.withColumn("_ok", F.filter("_ok", lambda t: F.coalesce(
-            F.when(F.size("_p.t") > 1, F.get("_p.f0", inside(t)) > 0), F.lit(False))))
-    rows = lv.select(*KEEP, "_cut", "_n", sr.alias("_sr"), wide.alias("_wide"), hop.alias("_hop"), F.posexplode(F.coalesce("_l", F.array().cast("array<double>"))).alias("frame_idx", "db"))
-    last = F.floor((F.col("_n") - F.col("_wide")) / F.col("_hop"))
-    stop = F.when(F.col("frame_idx") == last, F.col("_n")).otherwise((F.col("frame_idx") + 1) * F.col("_hop"))
-    frames = rows.select(*KEEP, "_cut", "frame_idx", "db", (F.col("frame_idx") * F.col("_hop") / F.col("_sr")).alias("start"),
-                         (stop / F.col("_sr")).alias("end"))
-    iv = sounding_intervals(frames, F.col("_cut"), min_pause, min_sounding).where(~F.col("silent"))
-    per = iv.groupBy(*KEEP).agg(F.collect_list(F.struct("start", "end")).alias("_iv"))
-    j = lv.join(per, list(KEEP), "left").withColumn("_iv", F.coalesce("_iv", F.array().cast("array<struct<start:double,end:double>>")))
-    count = F.size(F.filter("_ok", lambda t: F.exists("_iv", lambda v: (t >= v["start"]) & (t < v["end"])))).cast("double")
-    base = j.select(*KEEP, count.alias("voicedcount"), (F.size("_iv") - 1).cast("double").alias("npause"),
-                    (F.col("_n") / sr).alias("originaldur"), (F.size("_l") * hop / sr).alias("intensity_duration"),
-                    F.aggregate("_iv", F.lit(0.0), lambda s, v: s + v["end"] - v["start"]).alias("_speak"))
-    v, speak, dur = F.col("voicedcount"), F.col("_speak"), F.col("originaldur")
-    return base.select(*KEEP, "voicedcount", "npause", "originaldur", "intensity_duration",
-                       (v / dur).alias("speakingrate"), (v / F.nullif(speak, F.lit(0.0))).alias("articulationrate"),
-                       (speak / F.nullif(v, F.lit(0.0))).alias("asd"), (dur - speak).alias("totalpauseduration"))
+    lv = df.where(F.size("samples") >= seconds(window)).select(*cols)
+    out = with_speech(lv, "_l", "_p" if voicing else None, window, step, silence_db, min_dip, min_pause, min_sounding)
+    return out.select(*KEEP, *SPEECH)

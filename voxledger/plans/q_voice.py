@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..operators import feature_row as row, voice as vo
 from ..operators.scale import spread_small
 from . import fixtures as fx
-from .q_frames import G, H_, W_, interval_sql, level_sql
+from .q_frames import G, H_, W_, interval_sql, level_sql, stft_sql
 from .q_stats import KEYS, deviations, peaks_ctes, r, summary_select
 from .registry import query, rounded
 
@@ -140,6 +140,31 @@ def h06(spark, sf):
     return rounded(row.feature_row(fx.sig_user(spark, sf), ["zero_crossing_rate", "energy", "speaking_rate", "pauses"], opts), 7)
 
 
+HZ = "k * 4.0"  # bin k of a 16-point frame at rate 64
+LEVEL = "10 * log10(greatest({}, 1e-10))"
+SPECTRAL = {
+    "spectral_centroid": f"SELECT {KEYS}, sum({HZ} * a) / sum(a) AS x FROM mid GROUP BY {KEYS}, frame_idx",
+    "spectral_bandwidth": f"SELECT {KEYS}, sqrt(sum(a * pow({HZ} - hz, 2)) / sum(a)) AS x FROM mid GROUP BY {KEYS}, frame_idx",
+    "spectral_contrast": f"SELECT {KEYS}, {LEVEL.format('max(a)')} - {LEVEL.format('min(a)')} AS x FROM mid, (VALUES (0, 0, 1), (1, 1, 2), (2, 2, 8)) v(bd, lo, hi) "
+                         f"WHERE k BETWEEN lo AND hi GROUP BY {KEYS}, frame_idx, bd",
+    "spectral_flatness": f"SELECT {KEYS}, exp(avg(ln(greatest(a * a, 1e-10)))) / avg(greatest(a * a, 1e-10)) AS x FROM mid GROUP BY {KEYS}, frame_idx",
+    "spectral_rolloff": f"SELECT {KEYS}, (min({HZ}) FILTER (WHERE upto >= 0.85 * tot))::DOUBLE AS x FROM mid GROUP BY {KEYS}, frame_idx",
+    "spectral_flux": f"SELECT {KEYS}, sqrt(sum(pow(a - prev, 2))) AS x FROM mid WHERE frame_idx > 0 GROUP BY {KEYS}, frame_idx",
+}
+
+
+@query("h06_feature_row_spectral", "samp_emb", f"""{stft_sql()},
+    mid AS (SELECT *, sum({HZ} * a) OVER w / sum(a) OVER w AS hz, sum(a) OVER w AS tot, sum(a) OVER (PARTITION BY {KEYS}, frame_idx ORDER BY k) AS upto,
+        lag(a) OVER (PARTITION BY {KEYS}, k ORDER BY frame_idx) AS prev FROM sp WINDOW w AS (PARTITION BY {KEYS}, frame_idx)),
+    tracks AS ({' UNION ALL '.join(f"SELECT *, '{n}' AS f FROM ({q})" for n, q in SPECTRAL.items())}),
+    {deviations('tracks', KEYS + ', f')}, h AS (SELECT {KEYS}, f, {summary_select()} FROM dev GROUP BY {KEYS}, f)
+    SELECT {KEYS}, {', '.join(prefixed(f's{k}', n) for k, n in enumerate(SPECTRAL))} FROM (SELECT * FROM h WHERE f = 'spectral_centroid') s0 """
+       + " ".join(f"JOIN (SELECT * FROM h WHERE f = '{n}') s{k} USING ({KEYS})" for k, n in enumerate(SPECTRAL) if k))
+def h06_spectral(spark, sf):
+    opts = row.Options(n_fft=W_, hop=H_, target_sr=None, contrast_fmin=4.0, contrast_bands=2)
+    return rounded(row.feature_row(fx.sig_emb(spark, sf), list(SPECTRAL), opts))
+
+
 @query("h06_feature_row_all")
 def h06_all(spark, sf):
     opts = row.Options(n_fft=W_, hop=H_, target_sr=None, level_window=W_ / 64, level_step=H_ / 64, rate_window=W_ / 64, rate_step=H_ / 64, n_mels=16, contrast_fmin=4.0, contrast_bands=2, f0_low=4.0, f0_high=24.0,
