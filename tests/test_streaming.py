@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from voxledger.operators import drift as dr
 from voxledger.plans import fixtures as fx
 from voxledger.plans.q_streams import arrivals, part_of, samples
 from voxledger.streaming import streams as xs
@@ -57,7 +58,8 @@ def test_late_rows_are_dropped(spark, tmp_path):
 def test_drift_stream_restart_adds_nothing(spark, sf, tmp_path):
     base = str(tmp_path)
     d = fx.drift(spark, sf)
-    profile = xs.train_profile(d.where("side = 'train'"))
+    dr.save_profile(d.where("side = 'train'"), f"{base}/profile", 4, 100)
+    profile = dr.open_profile(spark, f"{base}/profile", 4)
     new = d.where("side = 'new'").select("feature", "value")
     new.write.parquet(f"{base}/in/a")
     for _ in range(2):

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import models as ml
-from ..session import checkpointed
+from ..operators import drift as dr, models as ml
 from ..streaming import streams as xs
 from . import fixtures as fx
 from .q_drift import KS
@@ -66,7 +65,8 @@ def x01(spark, sf):
        + f" SELECT split_part(feature, '|', 1)::BIGINT AS batch, split_part(feature, '|', 2) AS feature, {r('d', 'ks_statistic')}, {r('p', 'p_value')}, p < 0.03 AS drifted FROM kp")
 def x02(spark, sf):
     base = shared_folder(spark, "drift-stream")
-    profile = checkpointed(xs.train_profile(fx.drift(spark, sf).where("side = 'train'")))
+    dr.save_profile(fx.drift(spark, sf).where("side = 'train'"), f"{base}/profile", 8, 256)
+    profile = dr.open_profile(spark, f"{base}/profile", 8)
     ev = fx.table(spark, sf, "events").where(F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz"))
     new = ev.select(F.concat("event_type", F.lit("_mean")).alias("feature"),
                     F.when(F.col("event_type") == "error", F.col("value") * 2).otherwise(F.col("value")).alias("value"),

@@ -31,9 +31,10 @@ def write_store(df: DataFrame, path: str, buckets: int = BUCKETS, id_col: str =
     return df.sparkSession.table(name)
 
 
-def open_store(spark: SparkSession, path: str, buckets: int = BUCKETS, id_col: str = "audio_id") -> DataFrame:
-    """The stored table of another session; ``buckets`` and ``id_col`` as it was written with."""
-    name, schema = _name(), spark.read.parquet(path).schema
+def open_store(spark: SparkSession, path: str, buckets: int = BUCKETS, id_col: str = "audio_id", schema: str | None = None) -> DataFrame:
+    """The stored table of another session; ``buckets`` and ``id_col`` as it was written with, ``schema`` if it may be empty."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    name, schema = _name(), reader.parquet(path).schema
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     place = path.replace("'", "\\'")
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{id_col}`) SORTED BY (`{id_col}`) "

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.drift import ks_from_counts
+from ..operators.drift import Profile, ks_against_profile
 from ..sources.recordings import batch_number
 
 
@@ -34,25 +34,17 @@ def score_stream(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame]) ->
     return scorer(named.withColumn("batch", batch_number(F.col("_file"))).drop("_file"))
 
 
-def train_profile(train_long: DataFrame) -> DataFrame:
-    """(feature, value, n_train): the fixed side of the drift test, counted once."""
-    return (train_long.where(F.col("value").isNotNull()).groupBy("feature", "value")
-            .agg(F.count(F.lit(1)).alias("n_train")))
-
-
-def drift_stream(stream_long: DataFrame, profile: DataFrame, out: str, checkpoint: str, p_limit: float = 0.03,
+def drift_stream(stream_long: DataFrame, profile: Profile, out: str, checkpoint: str, p_limit: float = 0.03,
                  now: bool = True) -> StreamingQuery:
-    """KS report of each micro-batch of (feature, value) rows against the training profile.
+    """KS report of each micro-batch of (feature, value) rows against the stored training profile.
 
-    A repeated micro-batch overwrites its own folder, so a restart adds nothing twice.
+    A micro-batch looks its own values up in the profile's blocks; the training
+    table is neither counted nor shuffled again. A repeated micro-batch
+    overwrites its own folder, so a restart adds nothing twice.
     """
 
     def report(batch: DataFrame, batch_id: int) -> None:
-        new = (batch.where(F.col("value").isNotNull()).groupBy("feature", "value")
-               .agg(F.count(F.lit(1)).alias("n_new")))
-        counts = profile.join(new, ["feature", "value"], "full_outer").select(
-            "feature", "value", F.coalesce("n_train", F.lit(0)).alias("n_train"), F.coalesce("n_new", F.lit(0)).alias("n_new"))
-        (ks_from_counts(counts, p_limit).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        (ks_against_profile(batch, profile, p_limit).withColumn("batch", F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").parquet(f"{out}/report-{batch_id:08d}"))
 
     w = stream_long.writeStream.foreachBatch(report).option("checkpointLocation", checkpoint)
