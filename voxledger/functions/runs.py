@@ -24,7 +24,12 @@ def intervals(db: np.ndarray, threshold: float, step: int, n: int, rate: float,
         return np.empty(0, bool), np.empty(0), np.empty(0)
     edge = np.arange(len(db) + 1) * step / rate
     edge[-1] = n / rate
-    flag, start, end = merged(db < threshold, edge[:-1], edge[1:])
+    return absorbed(db < threshold, edge[:-1], edge[1:], min_silent, min_sounding)
+
+
+def absorbed(flag: np.ndarray, start: np.ndarray, end: np.ndarray, min_silent: float, min_sounding: float):
+    """Runs of equal flags; short silent ones are absorbed first, then short sounding ones."""
+    flag, start, end = merged(flag, start, end)
     flag, start, end = merged(flag & (np.round(end - start, 9) >= min_silent), start, end)
     return merged(flag | (np.round(end - start, 9) < min_sounding), start, end)
 

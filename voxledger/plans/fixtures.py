@@ -48,6 +48,12 @@ def samp_user(spark: SparkSession, sf: str) -> DataFrame:
         "audio_id", "real_or_fake", F.posexplode("samples").alias("n", "x"))
 
 
+def timed_user(spark: SparkSession, sf: str) -> DataFrame:
+    """``samp_user`` with the time of each sample."""
+    rows = _recordings(spark, sf, _user_label()).select("audio_id", "real_or_fake", "m", F.posexplode("s").alias("n", "e"))
+    return rows.select("audio_id", "real_or_fake", "n", (F.col("e.value") - F.col("m")).alias("x"), F.col("e.ts").cast("timestamp").alias("ts"))
+
+
 def sig_emb(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select(
         F.col("vec_id").cast("string").alias("audio_id"),

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import drift as dr, models as ml
-from ..streaming import streams as xs
+from ..streaming import pauses as xp, streams as xs
 from . import fixtures as fx
 from .q_drift import KS
+from .q_frames import H_, W_, interval_sql, level_sql
 from .q_sources import shared_folder
-from .q_stats import r
+from .q_stats import KEYS, r
 from .registry import query, rounded
 
 CUTS = ("2024-01-11", "2024-01-21")
@@ -100,6 +101,33 @@ def x03(spark, sf):
     return rounded(out.withColumn("start", F.col("start").cast("timestamp_ntz")).withColumn("end", F.col("end").cast("timestamp_ntz")))
 
 
+def timed_samples(spark, sf) -> DataFrame:
+    """The samples of every recording of ``sig_user`` with their times."""
+    rows = fx.timed_user(spark, sf)
+    return rows.select("audio_id", "real_or_fake", "ts", "n", "x", part_of(F.col("ts")).alias("part"))
+
+
+RULE = xp.PauseRule(16, W_, H_, -2.5, 0.6, 0.6)
+
+
+@query("x05_pause_stream", "samp_user", f"""{level_sql()}, {interval_sql(f'max(db) OVER (PARTITION BY {KEYS}) - 2.5', 0.6, 0.6)}
+    SELECT {KEYS}, {r('s', 'start')}, {r('e', 'end')}, {r('e - s', 'duration')} FROM i3 WHERE q""")
+def x05(spark, sf):
+    base = shared_folder(spark, "pause-automaton")
+    xp.use_state_store(spark)
+    rows = timed_samples(spark, sf)
+    far = rows.agg((F.max("ts") + F.expr("INTERVAL 400 DAYS")).alias("ts")).select(
+        F.lit("end of input").alias("audio_id"), F.lit("R").alias("real_or_fake"), "ts", F.lit(0).alias("n"), F.lit(1.0).alias("x"), F.lit(3).alias("part"))
+    schema = rows.drop("part").schema
+
+    def run():
+        st = xs.file_stream(spark, f"{base}/in", schema)
+        return xs.to_files(xp.pause_stream(st, RULE, 40 * 86400.0), f"{base}/out", f"{base}/state")
+
+    arrivals(rows.unionByName(far), f"{base}/in", ["a", "b", "c", "d"], F.col("part"), run)
+    return rounded(spark.read.parquet(f"{base}/out").drop("recording_start"))
+
+
 SK = "CASE WHEN min(x) < max(x) THEN sqrt(count(*)) * sum(d*d*d) / pow(sum(d*d), 1.5) END"
 KU = "CASE WHEN min(x) < max(x) THEN count(*) * sum(d*d*d*d) / pow(sum(d*d), 2) - 3 END"
 
