@@ -105,12 +105,72 @@ def test_near_groups_small_and_hot(spark):
 
 def test_near_groups_blocks(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    monkeypatch.setattr(jaccard_join, "EXACT_BLOCK", 8)
     rows = [(k, " ".join(f"w{j}" if j != k % 40 else f"x{k}" for j in range(90))) for k in range(70)]
     sets = word_sets(rows)
     comp = brute_components(sets)
     assert near(spark.createDataFrame(rows, "doc_id long, text string")) == {i: (len(sets[i]), comp[i]) for i in sets}
 
 
+def test_near_hot_group_with_failing_pairs(spark, monkeypatch):
+    """3,000 near sets in 20 clusters that nearly link: each block gives fewer pairs than it has sets."""
+    seen, plain = [], jaccard_join.block_pairs
+
+    def counted(members, exact):
+        out = plain(members, exact).cache()
+        seen.append((exact, members.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "block_pairs", counted)
+    monkeypatch.setattr(jaccard_join, "EXACT_BLOCK", 512)
+    rows = []
+    for k in range(3000):
+        w = [f"w{j}" for j in range(110)]
+        w[5 * (1 + k % 20)], w[-2] = f"c{k % 20}", f"l{k}"
+        rows.append((k, " ".join(w)))
+    got = near(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    sets = word_sets(rows[:40])
+    assert {len(sets[a] & sets[b]) * 100 >= 80 * len(sets[a] | sets[b]) for a in range(20) for b in range(a)} == {False}
+    assert got == {k: (106, k % 20) for k in range(3000)}
+    assert [e for e, *_ in seen] == [False, True] and all(pairs < members for _, members, pairs in seen)
+
+
+def test_near_large_sets_have_longer_sketches(spark):
+    """Long texts that share passages, and near copies of them."""
+    rng = np.random.default_rng(6)
+    shared = [" ".join(f"p{i}x{j}" for j in range(60)) for i in range(5)]
+    rows = []
+    for k in range(24):
+        own = [f"d{k % 12}y{j}" for j in range(3000)]
+        for j in rng.integers(0, 3000, 20 if k >= 12 else 0):
+            own[j] = f"z{k}"
+        rows.append((k, " ".join(own) + " " + shared[k % 5] + " " + shared[(k + 1) % 5]))
+    sets = word_sets(rows)
+    comp = brute_components(sets)
+    assert near(spark.createDataFrame(rows, "doc_id long, text string")) == {i: (len(sets[i]), comp[i]) for i in sets}
+    assert len(set(comp.values())) < 24
+
+
+def test_sketches_fold():
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 2**63, int(n), dtype=np.uint64) for n in (10, 900, 1100, 1300, 5000)]
+    words = jaccard_join.sketch_words(np.array([len(s) for s in sets])).tolist()
+    assert words == [8, 8, 16, 16, 64]
+
+    def sketch(x, w):
+        bit = shingles.mix(x, 5) & np.uint64(64 * w - 1)
+        out = np.zeros(w, np.uint64)
+        np.bitwise_xor.at(out, (bit >> np.uint64(6)).astype(int), np.uint64(1) << (bit & np.uint64(63)))
+        return out
+
+    s = jaccard_join.Sketches([sketch(x, w).tobytes() for x, w in zip(sets, words)])
+    for i in range(5):
+        for j in range(5):
+            w = min(words[i], words[j])
+            want = int(np.bitwise_count(sketch(sets[i], w) ^ sketch(sets[j], w)).sum())
+            assert s.distance(np.array([i]), np.array([j])).tolist() == [want]
+
+
 def test_near_odd_rows(odd, empty):
     rows = jaccard_join.near_groups(odd).collect()
     assert len(rows) == odd.count()

@@ -9,10 +9,13 @@ is the size with the least summed cost over the table's own sizes.
 The global order is by hash with the most frequent shingles last, by counts
 over all texts. Any order gives the same links; this one keeps lists short. A
 list is never turned into all its pairs: sets that agree are one class from the
-start, pairs are pruned by size, position and a parity sketch in blocks of
-bounded size, and only a spanning forest of the likely pairs is checked against
-the whole sets. A second pass over lists that still hold several components
-checks every remaining likely pair, so no link between components is lost.
+start, lists of two are grouped to distinct pairs, and in longer lists pairs are
+pruned by size, position and a parity sketch in blocks of bounded size. Only a
+spanning forest of the likely pairs leaves a block and is checked against the
+whole sets. Where a pair of the forest failed, a second pass carries the whole
+sets into the blocks, compares what is not joined yet and gives a spanning
+forest of true links. So each block gives fewer pairs than it has sets, and no
+link between components is lost.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import checkpointed, free_name, of_ids, query, stored, table
+from .common import BROADCAST_IDS, checkpointed, free_name, of_ids, query, stored, table
 from .components import components
 from .shingles import mix, pieces, shingle_sets
 
@@ -33,7 +36,8 @@ LIGHT_MOST = 16  # largest size for which subsets are considered
 LATE = 20_000  # most frequent shingles that come last; bounds what is sent to the tasks
 LATE_COUNT = 32
 BLOCK = 2048  # sets of one list that a task compares at once
-SKETCH_BITS = 512
+EXACT_BLOCK = 256  # the same where the whole sets are there
+SKETCH_BITS = 512  # least length of a sketch; larger sets have longer ones
 
 
 def need(a: int, b: int) -> int:
@@ -96,6 +100,11 @@ def leading(docs: DataFrame) -> DataFrame:
     return docs.select("_text").mapInArrow(run, "sig long")
 
 
+def sketch_words(n: np.ndarray) -> np.ndarray:
+    """Words of a set's sketch: half a bit or more for each element, a power of two, so that it folds to any shorter one."""
+    return np.maximum(SKETCH_BITS, 2 ** np.ceil(np.log2(np.maximum(n, 2) / 2)).astype(np.int64)) // 64
+
+
 def features(docs: DataFrame, late: np.ndarray) -> DataFrame:
     """Per row: size and key of the set, its parity sketch, and its first shingles (all of a small set)."""
 
@@ -109,19 +118,24 @@ def features(docs: DataFrame, late: np.ndarray) -> DataFrame:
                 full = np.flatnonzero(n)
                 starts = (np.cumsum(n) - n)[full]
                 keys = np.zeros((2, len(texts)), np.uint64)
-                sketch = np.zeros((len(texts), SKETCH_BITS // 64), np.uint64)
+                sketch = [b""] * len(texts)
                 if len(full):
                     for k in (0, 1):
                         keys[k, full] = np.add.reduceat(mix(h, 11 + k), starts)
-                    bit = mix(h, 5) & np.uint64(SKETCH_BITS - 1)
-                    for w in range(SKETCH_BITS // 64):
-                        own = np.where(bit >> np.uint64(6) == w, one << (bit & np.uint64(63)), np.uint64(0))
-                        sketch[full, w] = np.bitwise_xor.reduceat(own, starts)
+                    spot, words = mix(h, 5), sketch_words(n)
+                    for w in np.unique(words[full]).tolist():
+                        some = np.flatnonzero((words == w) & (n > 0))
+                        mine = np.isin(at, some)
+                        bit = spot[mine] & np.uint64(64 * w - 1)
+                        grid = np.zeros((len(some), w), np.uint64)
+                        np.bitwise_xor.at(grid, (np.searchsorted(some, at[mine]), (bit >> np.uint64(6)).astype(np.int64)), one << (bit & np.uint64(63)))
+                        for i, row in zip(some.tolist(), grid):
+                            sketch[i] = row.tobytes()
                 most = np.where(n <= LIGHT_MOST, n, prefix_length(n))
                 kept = np.minimum(most, n)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, len(texts)), pa.array(n.astype(np.int32)), pa.array(keys[0].view(np.int64)),
-                     pa.array(keys[1].view(np.int64)), pa.array([r.tobytes() for r in sketch], pa.binary()),
+                     pa.array(keys[1].view(np.int64)), pa.array(sketch, pa.binary()),
                      _list_array(h[_ordinal(n) < np.repeat(kept, n)], kept)],
                     ["_id", "n", "k1", "k2", "sketch", "lead"])
 
@@ -186,39 +200,83 @@ def _forest(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
     return np.array(kept, np.int64)
 
 
-def _likely(n1, p1, s1, c1, n2, p2, s2, c2) -> tuple[np.ndarray, np.ndarray]:
-    """Which pairs may link by size, position and sketch, and their sketch distance."""
+class Sketches:
+    """Parity sketches of different lengths; two are compared at the length of the shorter one."""
+
+    def __init__(self, rows: list[bytes]) -> None:
+        self.rows, self.words = rows, np.array([len(r) // 8 for r in rows], np.int64)
+        self.folded: dict[int, np.ndarray] = {}
+
+    def at(self, w: int) -> np.ndarray:
+        """All sketches of ``w`` words or more, folded to ``w``; zeros for shorter ones."""
+        if w not in self.folded:
+            out = np.zeros((len(self.rows), w), np.uint64)
+            for own in np.unique(self.words[self.words >= w]).tolist():
+                at = np.flatnonzero(self.words == own)
+                grid = np.frombuffer(b"".join(self.rows[i] for i in at.tolist()), np.uint64).reshape(len(at), own // w, w)
+                out[at] = np.bitwise_xor.reduce(grid, axis=1)
+            self.folded[w] = out
+        return self.folded[w]
+
+    def distance(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Bits in which the sketches differ: at most the elements that only one set has."""
+        out = np.zeros(len(i), np.int64)
+        least = np.minimum(self.words[i], self.words[j])
+        for w in np.unique(least).tolist():
+            some, grid = least == w, self.at(w)
+            out[some] = np.bitwise_count(grid[i[some]] ^ grid[j[some]]).sum(1, dtype=np.int64)
+        return out
+
+
+def _possible(n1, p1, n2, p2) -> np.ndarray:
+    """Whether sets of these sizes that share elements at these positions may link."""
     low, high = np.minimum(n1, n2), np.maximum(n1, n2)
-    overlap = -(-4 * (n1 + n2) // 9)
-    ok = (5 * low >= 4 * high) & (np.minimum(n1 - p1, n2 - p2) >= overlap) & (c1 != c2)
-    ok &= np.where(n1 <= n2, p1, p2) <= low // 9  # the smaller set needs fewer first shingles
-    distance = np.zeros(ok.shape, np.int64)
-    if ok.any():
-        at = np.nonzero(ok)
-        x = np.broadcast_to(s1, (*ok.shape, s1.shape[-1]))[at] ^ np.broadcast_to(s2, (*ok.shape, s2.shape[-1]))[at]
-        d = np.bitwise_count(x).sum(-1).astype(np.int64)
-        distance[at] = d
-        ok[at] = d <= (n1 + n2 - 2 * overlap)[at]
-    return ok, distance
-
-
-def likely_pairs(members: DataFrame, forest: bool) -> DataFrame:
-    """(a, b) pairs of ``members(sig, size, id, n, pos, sketch, comp)`` that may link and differ in ``comp``.
+    ok = (5 * low >= 4 * high) & (np.minimum(n1 - p1, n2 - p2) >= -(-4 * (n1 + n2) // 9))
+    return ok & (np.where(n1 <= n2, p1, p2) <= low // 9)  # the smaller set needs fewer first shingles
+
+
+def _near_enough(n1, n2, distance) -> np.ndarray:
+    return distance <= n1 + n2 - 2 * -(-4 * (n1 + n2) // 9)
+
+
+def _true_forest(i, j, distance, comp, sets) -> np.ndarray:
+    """Indices of a spanning forest of the pairs that link, nearest first; sets of one component are joined from the start."""
+    parent = {c: c for c in np.unique(comp).tolist()}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    kept = []
+    for k in np.argsort(distance, kind="stable").tolist():
+        x, y = root(comp[i[k]]), root(comp[j[k]])
+        if x != y:
+            a, b = sets[i[k]], sets[j[k]]
+            o = len(np.intersect1d(a, b, assume_unique=True))
+            if 100 * o >= 80 * (len(a) + len(b) - o):
+                parent[max(x, y)] = min(x, y)
+                kept.append(k)
+    return np.array(kept, np.int64)
+
+
+def block_pairs(members: DataFrame, exact: bool) -> DataFrame:
+    """(a, b) pairs of ``members(sig, size, id, n, pos, sketch, comp)`` that share a list and differ in ``comp``.
 
     A list of more than ``BLOCK`` sets is cut into blocks, and each pair of
-    blocks is compared in a task of its own. With ``forest`` a task gives a
-    spanning forest of its pairs, else all of them.
+    blocks is compared in a task of its own, which gives a spanning forest:
+    of the pairs that may link, or, if ``exact`` and the members have their
+    whole sets ``s``, of those that do.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    size = EXACT_BLOCK if exact else BLOCK
+    blocks = F.ceil(F.col("size") / size).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     spread = members.withColumn("_own", own).select("*", F.explode(F.transform(
         F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(k, F.col("_own")).alias("x"), F.greatest(k, F.col("_own")).alias("y")))).alias("_b"))
-    spread = spread.select("sig", F.col("_b.x").alias("x"), F.col("_b.y").alias("y"), "_own", "id", "n", "pos", "sketch", "comp")
+    spread = spread.select("sig", F.col("_b.x").alias("x"), F.col("_b.y").alias("y"), "_own", "id", "n", "pos", "sketch", "comp", *["s"] * exact)
     dealt = spread.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = None
-
         def groups():
             """Whole runs of one (sig, x, y) as tables of complete groups."""
             rest = None
@@ -241,7 +299,7 @@ def likely_pairs(members: DataFrame, forest: bool) -> DataFrame:
         for t in groups():
             cols = {c: t.column(c).to_numpy() for c in ("sig", "x", "y", "_own", "n", "pos", "comp")}
             ids = t.column("id").to_numpy()
-            sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(ids), -1)
+            sketches = Sketches(t.column("sketch").to_pylist())
             new = np.ones(len(ids), bool)
             new[1:] = np.any([cols[c][1:] != cols[c][:-1] for c in ("sig", "x", "y")], axis=0)
             starts = np.flatnonzero(new)
@@ -250,9 +308,11 @@ def likely_pairs(members: DataFrame, forest: bool) -> DataFrame:
             left, right, near = [], [], []
 
             def take(i, j):
-                ok, d = _likely(n[i], pos[i], sketch[i], comp[i], n[j], pos[j], sketch[j], comp[j])
-                ok &= i != j
-                i, j = np.broadcast_arrays(i, j)
+                # two lists whose open members agree stand for each other, so places tell nothing then
+                ok = (_possible(n[i], 0 if exact else pos[i], n[j], 0 if exact else pos[j])) & (comp[i] != comp[j]) & (ids[i] != ids[j])
+                i, j = i[ok], j[ok]
+                d = sketches.distance(i, j)
+                ok = _near_enough(n[i], n[j], d)
                 left.append(i[ok]), right.append(j[ok]), near.append(d[ok])
 
             for size in np.unique(sizes):
@@ -266,31 +326,43 @@ def likely_pairs(members: DataFrame, forest: bool) -> DataFrame:
                     x, y = cols["x"][s], cols["y"][s]
                     one, two = (rows, rows) if x == y else (rows[block[rows] == x], rows[block[rows] == y])
                     for k in range(0, len(one), 64):
-                        some = one[k:k + 64]
-                        i, j = np.broadcast_arrays(some[:, None], two[None, :])
+                        i, j = np.broadcast_arrays(one[k:k + 64][:, None], two[None, :])
                         pick = i < j if x == y else np.ones(i.shape, bool)
                         take(i[pick], j[pick])
             if not left:
                 continue
             i, j, d = np.concatenate(left), np.concatenate(right), np.concatenate(near)
-            a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
-            own = a != b
-            a, b, d = a[own], b[own], d[own]
-            if not len(a):
-                continue
-            order = np.lexsort((b, a))
-            a, b, d = a[order], b[order], d[order]
-            first = np.ones(len(a), bool)
-            first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            a, b, d = a[first], b[first], d[first]
-            if forest:
-                kept = _forest(a, b, d)
-                a, b = a[kept], b[kept]
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            if exact:
+                whole = t.column("s")
+                sets = {k: whole[k].values.to_numpy() for k in np.unique(np.concatenate([i, j])).tolist()}
+                kept = _true_forest(i, j, d, comp, sets)
+            else:
+                order = np.lexsort((np.maximum(ids[i], ids[j]), np.minimum(ids[i], ids[j])))
+                i, j, d = i[order], j[order], d[order]
+                kept = _forest(np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), d) if len(i) else np.zeros(0, np.int64)
+            i, j = i[kept], j[kept]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], ["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def pairs_of_two(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The (a, b) pairs that may link by the sketches of both."""
+    own = reps.select("id", "n", "sketch")
+    both = pairs.join(own.toDF("a", "na", "sa"), "a").join(own.toDF("b", "nb", "sb"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = batch.num_rows
+            if m:
+                sketches = Sketches(batch.column("sa").to_pylist() + batch.column("sb").to_pylist())
+                na, nb = (batch.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
+                ok = _near_enough(na, nb, sketches.distance(np.arange(m), np.arange(m, 2 * m)))
+                yield batch.select(["a", "b"]).filter(pa.array(ok))
+
+    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
+
+
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose whole sets have a Jaccard similarity of at least 0.8."""
     wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct()
@@ -328,24 +400,33 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     lists = reps.where(5 * F.col("n") > 4 * boundary).select("id", "n", F.posexplode(F.slice(
         "lead", F.lit(1), F.floor(F.col("n") / 5).cast("int") + 1)).alias("pos", "sig"))
-    of_list = W.partitionBy("sig")
-    shared = lists.select("*", F.count(F.lit(1)).over(of_list).alias("size"), F.min(F.col("pos") - F.floor(F.col("n") / 9)).over(of_list).alias("role"),
-                          F.min("n").over(of_list).alias("least"), F.max("n").over(of_list).alias("most"))
+    shape = lists.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("size"), F.min(F.col("pos") - F.floor(F.col("n") / 9)).alias("role"), F.min("n").alias("least"), F.max("n").alias("most"),
+        F.min("id").alias("a"), F.max("id").alias("b"))
     # a list needs a set that is looked up in it, and a list of two needs sizes that can link
-    shared = shared.where("size > 1 and role <= 0 and (size > 2 or 5 * least >= 4 * most)").drop("role", "least", "most")
-    members = stored(shared.join(reps.select("id", "sketch"), "id"), "lists")
-    first = checkpointed(likely_pairs(members.withColumn("comp", F.monotonically_increasing_id()), forest=True))
-    links = checkpointed(links.union(verified(first, docs)))
+    shape = stored(shape.where("size > 1 and role <= 0 and (size > 2 or 5 * least >= 4 * most)"), "shared")
+    twos = pairs_of_two(shape.where("size = 2 and a <> b").select("a", "b").distinct(), reps)
+    long = shape.where("size > 2").select("sig", "size")
+    few = long.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    members = stored(lists.join(F.broadcast(long) if few else long, "sig").join(reps.select("id", "n", "sketch"), ["id", "n"]), "lists")
+    first = checkpointed(block_pairs(members.withColumn("comp", F.monotonically_increasing_id()), exact=False))
+    links = checkpointed(links.union(verified(first.union(twos).distinct(), docs)))
     label = components(links)
 
-    # where a likely pair failed, likely sets may still hold several components: every likely pair between these
+    # where a pair of a forest failed, its lists may still hold links between components: whole sets are compared
     near = components(first).withColumnRenamed("component", "near")
     named = near.join(label, "node", "left").select(F.col("node").alias("id"), "near", F.coalesce("component", "node").alias("comp"))
     named = checkpointed(named)
     split = named.groupBy("near").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("near")
-    open_ids = checkpointed(named.join(split, "near", "left_semi").select("id", "comp"))
-    rest = of_ids(members, open_ids.select("id").distinct(), "id").join(open_ids, "id")
-    second = checkpointed(verified(likely_pairs(rest, forest=False), docs))
+    open_ids = checkpointed(named.join(split, "near", "left_semi"))
+    rest = stored(of_ids(members, open_ids.select("id").distinct(), "id").join(open_ids, "id"), "open")
+    # of lists with the same open members of one near component, one is enough
+    same = rest.groupBy("sig", "near").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("id", "n")).alias("who"), F.min("comp").alias("lo"),
+                                           F.max("comp").alias("hi")).where("lo < hi").groupBy("near", "size", "who").agg(F.min("sig").alias("sig"))
+    rest = rest.drop("size").join(same.drop("who"), ["sig", "near"]).withColumn("sig", F.xxhash64("sig", "near")).drop("n", "near")
+    sets = whole_sets(of_ids(docs, open_ids.select(F.col("id").alias("_id")).distinct(), "_id")).where(F.size("s") > 0)
+    rest = rest.join(sets.select(F.col("_id").alias("id"), F.size("s").alias("n"), "s"), "id")
+    second = checkpointed(block_pairs(rest, exact=True))
     label = components(links.union(second)) if second.limit(1).count() else label
 
     classes = groups.join(label.withColumnRenamed("node", "id"), "id", "left").select(
