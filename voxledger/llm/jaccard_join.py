@@ -346,6 +346,14 @@ def block_pairs(members: DataFrame, exact: bool) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def fewer_rows(rest: DataFrame) -> DataFrame:
+    """Open members by list, or by their near component as one list where that carries their sets fewer times."""
+    per = rest.groupBy("near").agg(F.count(F.lit(1)).alias("entries"), F.count_distinct("id").alias("_m"))
+    whole = checkpointed(per.where(F.col("_m") * F.ceil(F.col("_m") / EXACT_BLOCK) <= F.col("entries")).select("near", "_m"))
+    once = rest.join(whole, "near").dropDuplicates(["near", "id"]).withColumn("sig", F.xxhash64("near")).withColumn("size", F.col("_m"))
+    return once.select(*rest.columns).union(rest.join(whole, "near", "left_anti").select(*rest.columns)).drop("near")
+
+
 def pairs_of_two(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The (a, b) pairs that may link by the sketches of both."""
     own = reps.select("id", "n", "sketch")
@@ -410,7 +418,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     few = long.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     members = stored(lists.join(F.broadcast(long) if few else long, "sig").join(reps.select("id", "n", "sketch"), ["id", "n"]), "lists")
     first = checkpointed(block_pairs(members.withColumn("comp", F.monotonically_increasing_id()), exact=False))
-    links = checkpointed(links.union(verified(first.union(twos).distinct(), docs)))
+    checked = checkpointed(first.union(twos).distinct())
+    links = checkpointed(links.union(verified(checked, docs)))
     label = components(links)
 
     # where a pair of a forest failed, its lists may still hold links between components: whole sets are compared
@@ -420,11 +429,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     split = named.groupBy("near").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("near")
     open_ids = checkpointed(named.join(split, "near", "left_semi"))
     rest = stored(of_ids(members, open_ids.select("id").distinct(), "id").join(open_ids, "id"), "open")
-    # of lists with the same open members of one near component, one is enough
+    # of lists with the same open members of one near component, one is enough; a list of two whose pair was checked is none
     same = rest.groupBy("sig", "near").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("id", "n")).alias("who"), F.min("comp").alias("lo"),
-                                           F.max("comp").alias("hi")).where("lo < hi").groupBy("near", "size", "who").agg(F.min("sig").alias("sig"))
-    rest = rest.drop("size").join(same.drop("who"), ["sig", "near"]).withColumn("sig", F.xxhash64("sig", "near")).drop("n", "near")
-    sets = whole_sets(of_ids(docs, open_ids.select(F.col("id").alias("_id")).distinct(), "_id")).where(F.size("s") > 0)
+                                           F.max("comp").alias("hi"), F.min("id").alias("a"), F.max("id").alias("b")).where("lo < hi")
+    same = same.groupBy("near", "size", "who", "a", "b").agg(F.min("sig").alias("sig"))
+    same = same.join(checked.withColumn("size", F.lit(2).cast("long")), ["size", "a", "b"], "left_anti").drop("a", "b")
+    rest = rest.drop("size").join(same.drop("who"), ["sig", "near"]).withColumn("sig", F.xxhash64("sig", "near")).drop("n")
+    rest = fewer_rows(stored(rest, "open-lists"))
+    sets = whole_sets(of_ids(docs, rest.select(F.col("id").alias("_id")).distinct(), "_id")).where(F.size("s") > 0)
     rest = rest.join(sets.select(F.col("_id").alias("id"), F.size("s").alias("n"), "s"), "id")
     second = checkpointed(block_pairs(rest, exact=True))
     label = components(links.union(second)) if second.limit(1).count() else label
