@@ -227,3 +227,33 @@ def test_pipeline_run(spark, sf):
 
     rows = corpus_pipeline.run(spark, sf).collect()
     assert 50 < len(rows) < 200 and len({r.doc_id for r in rows}) == len(rows)
+
+
+def test_windows_equal_plain_python(spark):
+    """One split gives the words and template of plain Python, and the shifted columns every window."""
+    import regex
+
+    text = "Ünder 5 km/h, $3.50 €20-30 12kg; Bob's Élan x  7\tmiles «Zu» McDonald 5% a\u0085b £3 9 % and 7 km Abc 4 cents"
+    texts = [text, "", None, " \n ", "one two 3 km", text + " " + text, "a " * 20]
+
+    def plain(t):
+        out, before = [], ""
+        for w in regex.split(r"[ \t\n\x0b\x0c\r]+", regex.sub(r'[.,;:!?"()\[\]{}«»¿¡]', "", t or "")):
+            if not w:
+                continue
+            number = lambda x: regex.fullmatch(r"[$€£+\-]?[0-9]+[0-9/:\-]*[%a-z]{0,2}", x)
+            slot = (decontamination.NUMBER if number(w) else decontamination.NAME if regex.fullmatch(r"\p{Lu}\p{Ll}[\p{L}'’\-]*", w)
+                    else decontamination.UNIT if w in decontamination.UNITS and number(before) else w.lower())
+            out.append((w.lower(), slot))
+            before = w
+        return out
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    cut = decontamination.tokenised(rows, "text").cache()
+    for r in cut.collect():
+        assert list(zip(r["_w"], r["_t"])) == plain(texts[r.id])
+    got = sorted(map(tuple, decontamination.text_windows(cut, [3, 8], {8}).collect()))
+    lists = cut.select("id", decontamination.window_hashes("_p", 3).alias("a"), decontamination.window_hashes("_p", 8).alias("b"),
+                       decontamination.window_hashes("_h", 8).alias("c")).collect()
+    want = [(r.id, h) for r in lists for h in [*r.a, *r.b, *(c for b, c in zip(r.b, r.c) if b != c)]]
+    assert got == sorted(want)

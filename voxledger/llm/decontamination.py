@@ -4,14 +4,15 @@ Numbers, names and units become typed placeholders, so a question asked again
 with other parameters has the same template. Windows of the template are
 hash-joined with those of the benchmark; texts with enough of them are looked
 at again, and only windows whose slots are filled consistently count: within
-one occurrence every value of the item stands for one value of the text.
+one occurrence every value of the item stands for one value of the text. Two
+values of the item may meet in one of the text, as new parameters may be equal.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import checkpointed, of_ids, query, stored, table, text_of
+from .common import SPACE, checkpointed, of_ids, query, stored, table, text_of
 
 WINDOW = 8
 LEAST_WORDS = 5  # shorter items have no typed window, only their own words
@@ -21,28 +22,33 @@ SHARE = 0.5  # or this share of the item's windows, for short items
 BROADCAST_ROWS = 1_000_000  # windows of the benchmark that are sent to all tasks
 
 NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
-SPACES = " \t\n\x0b\x0c\r"
 # Units of measure and currency.
 UNITS = ("mm cm dm m km in inch inches ft foot feet yd yard yards mile miles mg g kg t oz lb lbs pound pounds ml cl l liter liters litre "
          "litres s sec second seconds min minute minutes h hour hours day days week weeks month months year years kb mb gb tb hz khz mhz "
          "ghz w kw v a c f k mph kmh usd eur gbp dollar dollars euro euros cent cents percent %").split()
+IS_NUMBER = r"\A(?:[$€£+\-]?\d+[\d/:\-]*[%a-z]{0,2}|\x01)\z"
+IS_NAME = r"\A\p{Lu}\p{Ll}[\p{L}'’\-]*\z"
 
 
-def plain(text: Column) -> Column:
-    """The text without punctuation at words, trimmed."""
-    return F.trim(F.translate(text, ".,;:!?\"()[]{}«»¿¡", ""), F.lit(SPACES))
+def words(text: Column) -> Column:
+    """The words of a text without punctuation marks, in their own case."""
+    t = F.regexp_replace(text, r"[.,;:!?\"()\[\]{}«»¿¡]+", "")
+    for c in SPACE[1:]:  # then one plain split is enough
+        t = F.replace(t, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(t, " "), "")
 
 
-def template(text: Column) -> Column:
-    """Typed placeholders for numbers, capitalised words and units behind numbers; the rest in lower case."""
-    t = F.regexp_replace(text, r"(?<!\S)[$€£+\-]?\d+[\d/:\-]*[%a-z]{0,2}(?!\S)", NUMBER)
-    t = F.regexp_replace(t, r"(?<!\S)\p{Lu}\p{Ll}[\p{L}'’\-]*(?!\S)", NAME)
-    t = F.regexp_replace(t, rf"(?<={NUMBER}[{SPACES}])(?:{'|'.join(UNITS)})(?!\S)", UNIT)
-    return F.lower(t)
+def slot_of(word: Column, before: Column) -> Column:
+    """The placeholder of a number, a capitalised word or a unit behind a number, else null.
 
+    Byte order tells by the first character which pattern is tried at all.
+    """
+    def number(w: Column) -> Column:
+        return ((w < ":") | w.startswith("£") | w.startswith("€")) & w.rlike(IS_NUMBER)  # signs and digits come before the colon
 
-def words(text: Column) -> Column:
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, f"[{SPACES}]+"))
+    unit = F.when(word.isin(UNITS) & number(before), UNIT)
+    name = (((word >= "A") & (word < "[")) | (word >= "À")) & word.rlike(IS_NAME)
+    return F.when((word >= "a") & (word < "{"), unit).when(number(word), NUMBER).when(name, NAME).otherwise(unit)
 
 
 def window_hashes(hashes: str, length: int) -> Column:
@@ -52,14 +58,34 @@ def window_hashes(hashes: str, length: int) -> Column:
         F.array().cast("array<bigint>"))
 
 
-def hashed(rows: DataFrame, text: str) -> DataFrame:
-    """Adds ``_h``, the hash of every template word."""
-    return rows.withColumn("_t", words(template(plain(text_of(text))))).withColumn("_h", F.transform("_t", lambda w: F.xxhash64(w)))
+def tokenised(rows: DataFrame, text: str) -> DataFrame:
+    """Adds the lower-cased words ``_w`` and their template ``_t``, with the hashes ``_p`` and ``_h``, from one split.
 
+    A word that is no slot has the same hash in both, so has a window without slots.
+    """
+    cut = rows.withColumn("_o", words(text_of(text)))
+    cut = cut.withColumn("_k", F.transform("_o", lambda w, i: slot_of(w, F.get("_o", i - 1)))).withColumn(
+        "_p", F.transform("_o", lambda w: F.xxhash64(F.lower(w))))
+    return cut.withColumn("_h", F.zip_with("_k", "_p", lambda k, p: F.when(k.isNotNull(), F.xxhash64(k)).otherwise(p))).withColumn(
+        "_w", F.transform("_o", lambda w: F.lower(w))).withColumn("_t", F.zip_with("_k", "_w", lambda k, w: F.coalesce(k, w)))
 
-def with_plain(rows: DataFrame, text: str) -> DataFrame:
-    """Adds ``_w``, the lower-cased words, and ``_p``, their hashes; a window without slots has the same hash either way."""
-    return rows.withColumn("_w", words(F.lower(plain(text_of(text))))).withColumn("_p", F.transform("_w", lambda w: F.xxhash64(w)))
+
+def text_windows(rows: DataFrame, lengths: list[int], typed: set[int]) -> DataFrame:
+    """(id, hash) of all windows of ``lengths`` words, plain ones and, for ``typed`` lengths, those with slots.
+
+    The hashes are laid side by side, shifted by one word each, and hashed as
+    columns: the same numbers as ``window_hashes`` without a slice per window.
+    """
+    reach = range(max(lengths))
+    names = [f"{c}{j}" for c in ("_p", "_h") for j in reach]
+    side = F.arrays_zip(*[F.slice(c, j + 1, F.size(c)) for c in ("_p", "_h") for j in reach])  # null behind the end
+    wide = rows.select("id", F.inline(side).alias(*names))
+    keys = []
+    for n in lengths:
+        mine, theirs = (F.xxhash64(*[f"{c}{j}" for j in range(n)]) for c in ("_p", "_h"))
+        whole = F.col(f"_p{n - 1}").isNotNull()
+        keys += [F.when(whole, mine)] + ([F.when(whole & (mine != theirs), theirs)] if n in typed else [])
+    return wide.select("id", F.explode(F.array(*keys)).alias("hash")).where("hash is not null")
 
 
 def is_slot(word: Column) -> Column:
@@ -75,8 +101,7 @@ def item_windows(items: DataFrame, item: str, text: str) -> DataFrame:
     ``WINDOW`` words are one window. ``need`` typed windows make a hit (null
     if the item has none), or ``need_any`` of both kinds.
     """
-    rows = hashed(items.select(F.col(item).alias("item"), F.col(text).alias("_text")), "_text")
-    rows = with_plain(rows, "_text").where(F.size("_t") > 0)
+    rows = tokenised(items.select(F.col(item).alias("item"), F.col(text).alias("_text")), "_text").where(F.size("_t") > 0)
     length = F.least(F.size("_t"), F.lit(WINDOW))
     at = F.explode(F.sequence(F.lit(1), F.size("_t") - length + 1))
     part = lambda c: F.slice(c, F.col("ipos"), F.col("length"))
@@ -117,18 +142,17 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                            F.lit(0).cast("long").alias("n_windows"), F.lit(False).alias("reparameterised"))
 
     # texts with enough windows of an item, whatever fills the slots
-    found = with_plain(hashed(texts.where("id is not null"), "_text"), "_text").select("id", F.explode(F.concat(*[
-        F.array_union(window_hashes("_h", n), window_hashes("_p", n)) if n in shape.typed else F.array_distinct(window_hashes("_p", n))
-        for n in sorted(shape.lengths)])).alias("hash"))
+    found = text_windows(tokenised(texts.where("id is not null"), "_text"), sorted(shape.lengths), set(shape.typed))
     keys = bench.groupBy("item", "hash", "need", "need_any").agg(  # an item may repeat itself
         F.count_distinct(F.when(F.col("typed"), F.col("ipos"))).alias("typed"), F.count_distinct("ipos").alias("windows"))
-    likely = (found.join(few(keys), "hash").groupBy("id", "item", "need", "need_any").agg(F.sum("typed").alias("n_typed"), F.sum("windows").alias("n"))
+    met = found.join(few(keys), "hash").distinct()  # a text may repeat itself too
+    likely = (met.groupBy("id", "item", "need", "need_any").agg(F.sum("typed").alias("n_typed"), F.sum("windows").alias("n"))
               .where("n_typed >= need or n >= need_any").select("id", "item"))
     likely = stored(likely, "likely")
     again = of_ids(texts, likely.select("id").distinct(), "id")
 
     # these again, with their words: which windows fill their slots consistently
-    again = with_plain(hashed(again, "_text"), "_text")
+    again = tokenised(again, "_text")
 
     def placed(hashes: str, n: int) -> Column:
         return F.transform(window_hashes(hashes, n), lambda h, i: F.struct(
