@@ -80,3 +80,23 @@ def test_a_recording_is_a_month_of_a_user(spark, sf):
     sizes = fx.sig_user(spark, sf).select("audio_id", F.size("samples").alias("n")).toPandas()
     want = fx.table(spark, sf, "events").groupBy("user_id", F.month("ts")).count().toPandas()
     assert sorted(sizes["n"]) == sorted(want["count"]) and sizes["audio_id"].is_unique
+
+
+def test_grouped_split_keeps_groups_and_shares(spark):
+    """Whole groups; shares of pure classes within half of the largest group; nulls are one group; partitions do not matter."""
+    d = spark.range(6000).select(
+        "id", F.when(F.col("id") % 50 == 0, None).otherwise((F.col("id") % 150).cast("string")).alias("g"),
+        F.when(F.col("id") % 3 == 0, "R").otherwise("F01").alias("real_or_fake"))
+    a, b = (rel.grouped_stratified_split(d.repartition(n), "g", 0.3, 5) for n in (2, 9))
+    assert a.columns == [*d.columns, "is_test"]
+    got = a.collect()
+    assert sorted(map(str, got)) == sorted(map(str, b.collect())) and len(got) == 6000
+    sides, sizes = {}, {}
+    for r in got:
+        sides.setdefault(r.g, set()).add(r.is_test)
+        sizes[r.g] = sizes.get(r.g, 0) + 1
+    assert all(len(s) == 1 for s in sides.values()) and sizes[None] == 120
+    for c in ("R", "F01"):  # groups without null hold one class
+        mine = [r.is_test for r in got if r.real_or_fake == c]
+        assert abs(sum(mine) - 0.3 * len(mine)) <= max(sizes.values())
+    assert rel.grouped_stratified_split(d.limit(0), "g").count() == 0

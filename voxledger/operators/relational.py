@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from .scale import join_lookup, position_in_group
+from .scale import join_lookup, position_in_group, running_sums
 from ..sources.recordings import base_name
 
 # Expected sampling rate by speaker family and version.
@@ -188,6 +188,26 @@ def stratified_split(df: DataFrame, frac: float = 0.2, seed: int = 42, label: st
             .select(*df.columns, "is_test"))
 
 
+def grouped_stratified_split(df: DataFrame, group_col: str, frac: float = 0.2, seed: int = 42,
+                             label: str = "real_or_fake") -> DataFrame:
+    """Add ``is_test``: whole groups, and per stratum ``frac`` of the rows but for half a group.
+
+    A group belongs to the stratum of its commonest class (of equal ones the
+    smallest). The groups of a stratum follow each other in hash order, and a
+    group is test when the middle of its rows lies below the wanted share. Where
+    a group holds one class, strata are classes. Rows without group are one group.
+
+    Rows are counted per group and class first; only groups are ordered.
+    """
+    marked = df.withColumn("_h", F.coalesce(F.md5(F.concat(F.col(group_col).cast("string"), F.lit(f"|{seed}"))), F.lit("")))
+    per_class = marked.groupBy("_h", label).agg(F.count(F.lit(1)).alias("_c"))
+    groups = per_class.groupBy("_h").agg(
+        F.sum("_c").alias("_n"), F.min(F.struct(-F.col("_c"), F.col(label).alias("stratum")))["stratum"].alias("_stratum"))
+    placed = running_sums(groups, ["_stratum"], ["_h"], {"_cum": "_n"}, {"_total": "_n"})
+    side = placed.select("_h", (2 * F.col("_cum") - F.col("_n") < F.lit(2 * frac) * F.col("_total")).alias("is_test"))
+    return join_lookup(marked, side, "_h").select(*df.columns, "is_test")
+
+
 def align_columns(df: DataFrame, selected: list[str], keep: tuple[str, ...] = ("audio_id", "real_or_fake")) -> DataFrame:
     absent = [c for c in selected if c not in df.columns]
     if absent:

@@ -147,6 +147,17 @@ def r16(spark, sf):
         *KEY, F.col("t").alias("is_test"), F.col("is_test").alias("hash_test"))
 
 
+@query("r16_grouped_stratified_split", "feat_line", """
+    h AS (SELECT audio_id, real_or_fake, md5(split_part(audio_id, '-', 4) || '|42') AS h FROM feat_line),
+    c AS (SELECT h, real_or_fake, count(*) AS k FROM h GROUP BY h, real_or_fake),
+    g AS (SELECT h, sum(k) AS n, first(real_or_fake ORDER BY k DESC, real_or_fake) AS stratum FROM c GROUP BY h),
+    s AS (SELECT h, 2 * sum(n) OVER (PARTITION BY stratum ORDER BY h) - n < 0.4::DOUBLE * sum(n) OVER (PARTITION BY stratum) AS is_test FROM g)
+    SELECT audio_id, real_or_fake, is_test FROM h JOIN s USING (h)""")
+def r16_grouped(spark, sf):
+    f = fx.feat_line(spark, sf).select(*KEY, F.split_part("audio_id", F.lit("-"), F.lit(4)).alias("supplier"))
+    return rel.grouped_stratified_split(f, "supplier", 0.2, 42).drop("supplier")
+
+
 @query("r17_align_columns", "feat_line", "SELECT audio_id, real_or_fake, tax, qty, disc FROM feat_line")
 def r17(spark, sf):
     return rel.align_columns(fx.feat_line(spark, sf), ["tax", "qty", "disc"])
