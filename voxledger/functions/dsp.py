@@ -295,14 +295,6 @@ def amplitude_of(col) -> Column:
         "array<double>", lambda x: 2 * np.abs(np.fft.fft(x) / max(len(x), 1))[:len(x) // 2] if len(x) else np.empty(0), col)
 
 
-def fft_mean_of(col) -> Column:
-    def fn(x):
-        f = np.fft.fft(x)
-        return float(f.real.mean()), float(f.imag.mean())
-
-    return per_recording("fft_real_mean double, fft_imag_mean double", fn, col)
-
-
 def welch_of(col, sr, segment: int = 256) -> Column:
     """One-sided density: mean of the squared spectra of half-overlapping, mean-free Hann segments."""
 

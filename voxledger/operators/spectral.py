@@ -140,7 +140,9 @@ def band_stats(df: DataFrame, lo: float, hi: float, measures: list[str] | None =
 
 
 def fft_mean(df: DataFrame) -> DataFrame:
-    return df.select(*KEEP, dsp.fft_mean_of("samples").alias("s")).select(*KEEP, "s.*")
+    """Mean of the whole transform: the first sample, without imaginary part, as the other samples cancel out; null without samples."""
+    first = F.get("samples", F.lit(0)).cast("double")
+    return df.select(*KEEP, first.alias("fft_real_mean"), F.when(first.isNotNull(), F.lit(0.0)).alias("fft_imag_mean"))
 
 
 def spectrum_overlay(df: DataFrame) -> DataFrame:
