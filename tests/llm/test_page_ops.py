@@ -49,6 +49,16 @@ def test_marked_parts_without_article(spark):
         1: "Own text", 2: "A", 3: "A", 4: "A long story of the main part.\nTeaser", 5: "M", 6: "All in a form", 7: "A"}
 
 
+@pytest.mark.parametrize("name, kept", [
+    ("lead social-science", True), ("share-price", True), ("search-results-list", True), ("related-work", True), ("notice-period", True),
+    ("menu-engineering", True), ("comment-density", True), ("share-buttons", False), ("cookie-notice", False), ("social", False),
+    ("related-posts", False), ("comment-list", False), ("user-comments", False), ("x share", False), ("comment-17", False), ("sidebar-x", False)])
+def test_names_of_topics_stay(name, kept):
+    """A name that may be a topic marks a block only alone or beside words for page parts."""
+    own, _ = html_text.parse(f"<article><h1>T</h1><div class='{name}'>Intro</div><p id='{name.split()[-1]}'>More</p></article>")
+    assert own == (["T", "Intro", "More"] if kept else ["T"])
+
+
 def test_articles_of_the_table(spark, sf):
     from voxledger.llm.catalog import QUERIES
 
