@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from voxledger.operators import frames as fr
@@ -94,3 +95,21 @@ def test_stream_with_late_rows_and_two_recordings(spark, tmp_path):
     later = sorted((r["start"], r["end"]) for r in got if r["recording_start"] != t0)
     assert [v for p in first for v in p] == flat(batch(spark, x)) and [v for p in later for v in p] == flat(batch(spark, y))
     assert all(r["duration"] == r["end"] - r["start"] for r in got)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_kept_state_goes_on_where_it_stopped(seed, spark):
+    """The state is one row of bytes that comes with the recording's samples; any cut gives the pauses of the whole."""
+    x, kept = signal(seed), None
+    us = np.arange(len(x)) * 100_000
+    for at, cut in ((0, 90), (90, 95), (95, 400)):
+        recording = xp._Recording(RULE, 3_600_000, kept)
+        recording.take(pd.DataFrame({"ts": us[at:cut].astype("datetime64[us]"), "n": np.arange(at, cut), "x": x[at:cut]}).sample(frac=1, random_state=seed))
+        recording.read(int(us[at]))
+        kept = recording.kept()
+        assert all(isinstance(v, bytes) for v in kept[4:])
+    recording = xp._Recording(RULE, 3_600_000, kept)
+    recording.read(2**62)
+    recording.end()
+    (_, start, end), = recording.found
+    assert [v for p in zip(start, end) for v in p] == flat(batch(spark, x))

@@ -115,7 +115,9 @@ RULE = xp.PauseRule(16, W_, H_, -2.5, 0.6, 0.6)
 def x05(spark, sf):
     base = shared_folder(spark, "pause-automaton")
     xp.use_state_store(spark)
-    rows = timed_samples(spark, sf)
+    # grouped once, not for every arrival
+    timed_samples(spark, sf).write.partitionBy("part").parquet(f"{base}/rows")
+    rows = spark.read.schema(timed_samples(spark, sf).schema).parquet(f"{base}/rows")
     far = rows.agg((F.max("ts") + F.expr("INTERVAL 400 DAYS")).alias("ts")).select(
         F.lit("end of input").alias("audio_id"), F.lit("R").alias("real_or_fake"), "ts", F.lit(0).alias("n"), F.lit(1.0).alias("x"), F.lit(3).alias("part"))
     schema = rows.drop("part").schema

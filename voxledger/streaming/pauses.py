@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.runs import absorbed
 
@@ -85,28 +85,35 @@ class Track:
         return start[flag], end[flag]
 
 
-class _Recording(StatefulProcessor):
-    """Samples wait until the watermark has passed them, so each recording is read in order of time."""
-
-    SCHEMA = ("first bigint, seen bigint, last bigint, n bigint, tail array<double>, lengths array<bigint>, levels array<double>, "
-              "ts array<bigint>, pos array<bigint>, x array<double>")
+STATE = ("first bigint, seen bigint, last bigint, n bigint, tail binary, lengths binary, levels binary, "
+         "ts binary, pos binary, x binary")
 
-    def __init__(self, rule: PauseRule, gap_ms: int) -> None:
-        self.rule, self.gap = rule, gap_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.value = handle.getValueState("recording", self.SCHEMA)
+class _Recording:
+    """Samples wait until the watermark has passed them, so each recording is read in order of time."""
 
-    def _load(self) -> None:
-        """Microseconds of the first and the latest sample that was read, milliseconds of the latest that came."""
+    def __init__(self, rule: PauseRule, gap_ms: int, kept: tuple | None) -> None:
+        """``kept``: microseconds of the first and the latest sample that was read, milliseconds of the latest that came, arrays as bytes."""
+        self.rule, self.gap, self.found = rule, gap_ms, []
         self.first = self.seen = self.last = None
-        self.track, self.waiting, self.found = Track(self.rule), _rows([], [], []), []
-        if self.value.exists():
-            self.first, self.seen, self.last, n, tail, lengths, levels, ts, pos, x = self.value.get()
-            self.track, self.waiting = Track(self.rule, n, tail, lengths, levels), _rows(ts, pos, x)
-
-    def _read(self, upto_us: int) -> None:
+        self.track, self.waiting = Track(rule), _rows([], [], [])
+        if kept:
+            self.first, self.seen, self.last, n, tail, lengths, levels, ts, pos, x = kept
+            self.track = Track(rule, n, np.frombuffer(tail, float), np.frombuffer(lengths, np.int64), np.frombuffer(levels, float))
+            self.waiting = _rows(np.frombuffer(ts, np.int64), np.frombuffer(pos, np.int64), np.frombuffer(x, float))
+
+    def kept(self) -> tuple:
+        t, w = self.track, self.waiting
+        return (None if self.first is None else int(self.first), self.seen, self.last, t.n, t.tail.tobytes(), t.lengths.tobytes(),
+                t.levels.tobytes(), w["ts"].tobytes(), w["pos"].tobytes(), w["x"].tobytes())
+
+    def take(self, part: pd.DataFrame) -> None:
+        us = part["ts"].astype("datetime64[us]").astype("int64").to_numpy()
+        self.waiting = np.concatenate([self.waiting, _rows(us, part["n"].to_numpy(), part["x"].to_numpy())])
+        latest = int(us.max()) // 1000
+        self.last = latest if self.last is None else max(self.last, latest)
+
+    def read(self, upto_us: int) -> None:
         """Read the samples up to a time; where more than the gap lies between two, a recording ends."""
         rows = self.waiting[np.lexsort((self.waiting["pos"], self.waiting["ts"]))]
         due = rows["ts"] <= upto_us
@@ -115,47 +122,43 @@ class _Recording(StatefulProcessor):
         for part in np.split(rows, np.flatnonzero(rows["ts"] - before > self.gap * 1000)):
             if len(part):
                 if self.seen is not None and part["ts"][0] - self.seen > self.gap * 1000:
-                    self._end()
+                    self.end()
                 self.first, self.seen = part["ts"][0] if self.first is None else self.first, int(part["ts"][-1])
                 self.track.add(part["x"])
 
-    def _end(self) -> None:
+    def end(self) -> None:
         start, end = self.track.pauses()
         self.found.append((self.first, start, end))
         self.first, self.seen, self.track = None, None, Track(self.rule)
 
-    def _output(self, key) -> Iterator[pd.DataFrame]:
+    def output(self, key: tuple) -> Iterator[pd.DataFrame]:
         for first, start, end in self.found:
-            out = {f"k{i}": pd.Series([k] * len(start), dtype=object) for i, k in enumerate(key)}
-            yield pd.DataFrame(out | {"recording_start": pd.to_datetime(np.full(len(start), first, np.int64), unit="us"),
-                                      "start": start, "end": end, "duration": end - start})
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        self._load()
-        for part in rows:
-            us = part["ts"].astype("datetime64[us]").astype("int64").to_numpy()
-            self.waiting = np.concatenate([self.waiting, _rows(us, part["n"].to_numpy(), part["x"].to_numpy())])
-            latest = int(us.max()) // 1000
-            if self.last is None or latest > self.last:
-                if self.last is not None:
-                    self.handle.deleteTimer(self.last + self.gap)
-                self.last = latest
-                self.handle.registerTimer(self.last + self.gap)
-        self._read(timerValues.getCurrentWatermarkInMs() * 1000)
-        w = self.waiting
-        self.value.update((None if self.first is None else int(self.first), self.seen, self.last, *self.track.state(),
-                           w["ts"].tolist(), w["pos"].tolist(), w["x"].tolist()))
-        return self._output(key)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._load()
-        self._read(2**62)
-        self._end()
-        self.value.clear()
-        return self._output(key)
-
-    def close(self) -> None:
-        pass
+            if len(start):
+                out = {f"k{i}": pd.Series([k] * len(start), dtype=object) for i, k in enumerate(key)}
+                yield pd.DataFrame(out | {"recording_start": pd.to_datetime(np.full(len(start), first, np.int64), unit="us"),
+                                          "start": start, "end": end, "duration": end - start})
+
+
+def _step(rule: PauseRule, gap_ms: int):
+    """One call per recording and micro-batch; its state comes and goes with the rows, not by calls of its own."""
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        recording = _Recording(rule, gap_ms, state.getOption)
+        if state.hasTimedOut:
+            recording.read(2**62)
+            recording.end()
+            state.remove()
+        else:
+            for part in frames:
+                if len(part):
+                    recording.take(part)
+            passed = state.getCurrentWatermarkMs()
+            recording.read(passed * 1000)
+            state.update(recording.kept())
+            state.setTimeoutTimestamp(max(recording.last + gap_ms, passed + 1))
+        yield from recording.output(key)
+
+    return run
 
 
 def _rows(ts, pos, x) -> np.ndarray:
@@ -165,7 +168,7 @@ def _rows(ts, pos, x) -> np.ndarray:
 
 
 def use_state_store(spark: SparkSession) -> None:
-    """The state store that timers need; set before the stream is started."""
+    """The state store on disk, as open recordings may pass the memory; set before the stream is started."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
 
 
@@ -180,7 +183,7 @@ def pause_stream(samples: DataFrame, rule: PauseRule, gap_seconds: float, late:
     """
     typed = samples.select(*keys, "ts", samples["n"].cast("bigint").alias("n"), samples["x"].cast("double").alias("x"))
     schema = ", ".join(f"k{i} {typed.schema[k].dataType.simpleString()}" for i, k in enumerate(keys))
-    out = typed.withWatermark("ts", late).groupBy(*keys).transformWithStateInPandas(
-        _Recording(rule, int(gap_seconds * 1000)), f"{schema}, recording_start timestamp, start double, end double, duration double",
-        "append", "EventTime")
+    out = typed.withWatermark("ts", late).groupBy(*keys).applyInPandasWithState(
+        _step(rule, int(gap_seconds * 1000)), f"{schema}, recording_start timestamp, start double, end double, duration double",
+        STATE, "append", GroupStateTimeout.EventTimeTimeout)
     return out.withColumnsRenamed({f"k{i}": k for i, k in enumerate(keys)})
