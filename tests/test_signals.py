@@ -5,7 +5,9 @@ import math
 import wave
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from voxledger.functions import describe, runs, dsp, special, voice
 from voxledger.operators import feature_row as row, frames as fr, quality as qa, spectral as sp, voice as vo
@@ -245,3 +247,15 @@ def test_rates_do_not_follow_the_sampling_rate(spark):
     for r in fr.intensity_pauses(df).orderBy("start").collect():
         pauses.setdefault(r["audio_id"], []).append((r["start"], r["end"]))
     assert np.allclose(pauses["0"], pauses["hi"], atol=0.016) and len(pauses["0"]) == 4
+
+
+def test_batches_are_python_objects_by_slices_only(spark):
+    """However many rows an Arrow batch has, the function sees a slice; nulls, structs and nested arrays come through."""
+    rows = spark.range(1000, numPartitions=1).selectExpr("id", "if(id = 3, null, array(cast(id as double), 1.0D)) as x", "cast(id as int) as k")
+    seen = describe.in_slices(lambda s: pd.Series([len(s)] * len(s)), "bigint")
+    assert 0 < rows.select(seen("k").alias("n")).agg(F.max("n")).first()[0] <= describe.SLICE
+    got = rows.withColumn("s", dsp.per_recording("n bigint, m array<array<double>>", lambda x, k: (len(x) + k, [x, x + 1]), "x", "k"))
+    for r in got.collect():
+        want = (None, None) if r["id"] == 3 else (2 + r["id"], [[r["id"], 1.0], [r["id"] + 1, 2.0]])
+        assert (r["s"]["n"], r["s"]["m"]) == want
+    assert got.where("false").count() == 0

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Output column names.
 MEASURES = ["mean", "std", "var", "min", "max", "range", "25th_percentile", "50th_percentile",
@@ -104,15 +106,39 @@ def by_length(arrays: list, fn, width: int) -> np.ndarray:
     return out
 
 
+SLICE = 256  # rows of a batch that are Python objects at once
+
+
+def in_slices(fn, schema: str):
+    """Arrow UDF over a pandas function of rows: a batch stays in Arrow's form, and only a slice of it is Python objects."""
+    kind = T.DataType.fromDDL(schema)
+    target = to_arrow_type(kind)
+
+    def packed(values: pd.Series, to: pa.DataType) -> pa.Array:
+        return pa.Array.from_pandas(values, mask=values.isnull(), type=to)
+
+    @F.arrow_udf(kind)
+    def apply(*columns: pa.Array) -> pa.Array:
+        parts = []
+        for at in range(0, max(len(columns[0]), 1), SLICE):
+            out = fn(*[c.slice(at, SLICE).to_pandas() for c in columns])
+            if isinstance(kind, T.StructType):
+                parts.append(pa.StructArray.from_arrays([packed(out[f.name], f.type) for f in target], fields=list(target)))
+            else:
+                parts.append(packed(out, target))
+        return pa.concat_arrays(parts)
+
+    return apply
+
+
 def _struct_udf(fn, names: list[str], keep: list[str], prefix: str = ""):
     cols = [prefix + n for n in keep]
     at = [names.index(n) for n in keep]
 
-    @F.pandas_udf(", ".join(f"`{n}` double" for n in cols))
     def apply(s: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(by_length(s.to_list(), fn, len(names))[:, at], columns=cols)
 
-    return apply
+    return in_slices(apply, ", ".join(f"`{n}` double" for n in cols))
 
 
 def summary_of(col: Column | str, measures: list[str] | None = None, prefix: str = "") -> Column:
@@ -133,11 +159,10 @@ def summaries_of(col: Column | str, n: int, measures: list[str] | None = None, n
     at = [MEASURES.index(m) for m in keep]
     out = [f"{name}_{i + 1}_{m}" for i in range(n) for m in keep]
 
-    @F.pandas_udf(", ".join(f"`{c}` double" for c in out))
     def apply(s: pd.Series) -> pd.DataFrame:
         # every coefficient of every recording is one row of values over frames
         tracks = [None if m is None or not len(m) else np.stack([np.asarray(v, np.float64) for v in m]).T for m in s]
         flat = [None if t is None else t[i] for t in tracks for i in range(n)]
         return pd.DataFrame(by_length(flat, summary, len(MEASURES))[:, at].reshape(len(s), len(out)), columns=out)
 
-    return apply(col)
+    return in_slices(apply, ", ".join(f"`{c}` double" for c in out))(col)

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from .describe import peak_positions
+from .describe import in_slices, peak_positions
 
 
 def _column(c: Column | str) -> Column:
@@ -31,7 +31,7 @@ def per_recording(schema: str, fn, *cols: Column | str) -> Column:
         return pd.DataFrame({n: pd.Series([v[i] for v in out]) for i, n in enumerate(names)})
 
     struct = " " in schema.split("<")[0].strip()
-    return F.pandas_udf(several if struct else one, schema)(*[_column(c) for c in cols])
+    return in_slices(several if struct else one, schema)(*[_column(c) for c in cols])
 
 
 def _split_fields(schema: str) -> list[str]:
