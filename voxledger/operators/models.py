@@ -49,12 +49,12 @@ TREE_TASK_ROWS = 500_000
 
 
 def dealt_to_cores(rows: DataFrame) -> DataFrame:
-    """At most as many partitions as cores, or as large tables need.
+    """At most two partitions a core, or as many as large tables need.
 
-    While trees grow, every partition sends the class counts of all open nodes,
-    so the sum sent is partitions times nodes, however few rows each has.
+    While a forest grows, every partition sends the class counts of all open
+    nodes, so the sum sent is partitions times nodes, however few rows each has.
     """
-    return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // TREE_TASK_ROWS)))
+    return rows.coalesce(max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // TREE_TASK_ROWS)))
 
 
 def random_forest(train: DataFrame, trees: int = 100, seed: int = 42, label: str = "target", depth: int = 10) -> Model:
@@ -62,7 +62,7 @@ def random_forest(train: DataFrame, trees: int = 100, seed: int = 42, label: str
 
 
 def gradient_boosting(train: DataFrame, rounds: int = 100, seed: int = 42, label: str = "target", depth: int = 3) -> Model:
-    return GBTClassifier(featuresCol="features", labelCol=label, maxIter=rounds, seed=seed, maxDepth=depth).fit(dealt_to_cores(train))
+    return GBTClassifier(featuresCol="features", labelCol=label, maxIter=rounds, seed=seed, maxDepth=depth).fit(train)
 
 
 def dense_net(train: DataFrame, hidden: tuple[int, ...] = (64, 32, 16), classes: int = 2, seed: int = 42,
