@@ -5,6 +5,7 @@ import hashlib
 import html as entities
 import re
 
+import numpy as np
 import pytest
 
 from voxledger.llm import html_text, url_filter, warc
@@ -81,6 +82,36 @@ def test_shared_strings_of_a_host_go(spark):
     assert got[9].startswith("Home News")  # another host: no copy
 
 
+def test_sorted_suffixes_against_all_pairs(spark):
+    """Shared strings come from neighbours of the sorted suffixes; leading hashes that are equal for other tokens show nothing."""
+    rng = np.random.default_rng(3)
+    streams = [rng.integers(1, 3, rng.integers(1, 30)).tolist() for _ in range(25)] + [[1] * 40]
+    leads = [(p, k, [7, 7, *s[k:], *[0] * html_text.DEPTH][:html_text.DEPTH + 2]) for p, s in enumerate(streams) for k in range(len(s))]
+    common = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    for buckets, pages, arrow in ((lambda x: hash(tuple(x[2:6])), 2, 10_000), (lambda x: 1, 2, 7), (lambda x: x[2], 2, 1)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", arrow)
+        rows = [(p, k, buckets(x), pages, np.array(x, ">u4").tobytes()) for p, k, x in leads]
+        got = html_text.shared_strings(spark.createDataFrame(rows, "_row long, pos int, key long, n long, lead binary"), 4).collect()
+        want = {}
+        for p, k, x in leads:
+            best = max(common(x, y) for q, _, y in leads if q != p) - 2
+            if best >= 4:
+                want[p, k] = best
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert {(r._row, r.pos): r.len for r in got} == want and len(got) == len(want)
+
+
+def test_hot_strings_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "BUCKET_PAGES", 8)
+    notice = "<p>This site is kept by volunteers and needs your kind help now</p>"
+    rows = [(k, "http://h.example/", f"{notice}<p>Only{k} here{k}</p>" + "<article>A</article>" * (k % 2)) for k in range(200)]
+    rows += [(900, "http://i.example/", notice)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    assert got[900].startswith("This site") and len(got) == 201
+    assert all(got[k] == ("A" if k % 2 else f"Only{k} here{k}") for k in range(200))
+
+
 def test_extract_odd_rows(pages):
     out = html_text.extract(pages)
     assert set(pages.columns) - {"html"} <= set(out.columns)

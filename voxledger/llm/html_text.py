@@ -1,10 +1,14 @@
 """Main text of HTML pages: declared structure, and a host suffix array for the rest.
 
 A page is parsed once into blocks. Blocks inside a declared article are its
-text. All other blocks of a page form its token stream; the strings of LONG
-tokens of all streams of a host, grouped by their hash, show what distinct
-pages of the host share. A page that declares no article keeps the runs of its
-blocks, menus and other marked parts aside, that no such string covers.
+text. All other blocks of a page form its token stream. The suffixes of all
+streams of a host are dealt to buckets by their LONG leading tokens and sorted
+by their tokens; the common prefix of neighbours from distinct pages is what
+these pages share. A page that declares no article keeps the runs of its
+blocks, menus and other marked parts aside, that no shared string covers.
+
+Buckets that hold one page, or no page without article, decide nothing; they
+are left out by a count of pages for each hash of leading tokens.
 """
 
 from __future__ import annotations
@@ -17,11 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import query, stored, table
+from .common import BROADCAST_IDS, query, stored, table
 from .shingles import mix
 from .url_filter import canonical
 
 LONG = 8  # tokens of a shared string that counts as boilerplate
+DEPTH = 16  # tokens that suffixes are sorted by; longer shared strings are met again at their next suffixes
+BUCKET_PAGES = 4096  # a bucket of more pages is dealt out by page
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -187,15 +193,24 @@ def leading_tokens(hashes: np.ndarray, host: str, length: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def codes(hashes: np.ndarray, host: str) -> tuple[bytes, bytes]:
+    """(host, token stream with an end of ``DEPTH`` marks) as they are sorted: four bytes a token, the most significant first."""
+    stream_codes = np.concatenate([hashes >> np.uint64(32), np.zeros(DEPTH, np.uint64)]).astype(">u4")
+    return hash_word("host " + host).to_bytes(8, "big"), stream_codes.tobytes()
+
+
 def parsed(pages: DataFrame, url: str, html: str, length: int) -> DataFrame:
-    """The rows with ``_text`` (null if the page declares no article), ``_blocks`` of such pages, and ``_suffixes``."""
+    """The rows with ``_text`` (null if the page declares no article), ``_blocks`` of such pages.
+
+    ``_suffixes`` has the hash of the leading tokens of every suffix, ``_site`` and ``_stream`` the host and the tokens.
+    """
     passed = [c for c in pages.columns if c != html]
     rows = pages.select(F.struct(*passed).alias("_own"), F.col(html).cast("string").alias("_html"), canonical(url)[0].alias("_host"))
     rows = rows.withColumn("_row", F.monotonically_increasing_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, open_blocks, keys, sizes = [], [], [], [0]
+            texts, open_blocks, keys, sizes, sites, streams = [], [], [], [0], [], []
             for page, host in zip(batch.column("_html").to_pylist(), batch.column("_host").to_pylist()):
                 own, other, marked = parts_of(page or "")
                 kept = [t for t, chrome in marked if not chrome] or other  # a page of marked blocks only keeps them
@@ -203,18 +218,82 @@ def parsed(pages: DataFrame, url: str, html: str, length: int) -> DataFrame:
                     other = kept + [t for t, chrome in marked if chrome]
                 texts.append("\n".join(own) if own else None)
                 open_blocks.append(None if own else kept)
-                keys.append(leading_tokens(stream(other)[0], host, length))
+                hashes = stream(other)[0]
+                keys.append(leading_tokens(hashes, host, length))
                 sizes.append(sizes[-1] + len(keys[-1]))
+                site, tokens = codes(hashes, host)
+                sites.append(site)
+                streams.append(tokens)
             suffixes = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_own"), batch.column("_row"), pa.array(texts, pa.string()),
-                 pa.array(open_blocks, pa.list_(pa.string())), suffixes], ["_own", "_row", "_text", "_blocks", "_suffixes"])
+                 pa.array(open_blocks, pa.list_(pa.string())), suffixes, pa.array(sites, pa.binary()), pa.array(streams, pa.binary())],
+                ["_own", "_row", "_text", "_blocks", "_suffixes", "_site", "_stream"])
 
     out = T.StructType([rows.schema["_own"], rows.schema["_row"], T.StructField("_text", T.StringType()),
-                        T.StructField("_blocks", T.ArrayType(T.StringType())), T.StructField("_suffixes", T.ArrayType(T.LongType()))])
+                        T.StructField("_blocks", T.ArrayType(T.StringType())), T.StructField("_suffixes", T.ArrayType(T.LongType())),
+                        T.StructField("_site", T.BinaryType()), T.StructField("_stream", T.BinaryType())])
     return rows.mapInArrow(run, out)
 
 
+def shared_lengths(leads: np.ndarray, pages: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For sorted suffixes, the longest prefix that each shares with a suffix of another page in its bucket.
+
+    ``leads`` has a row of tokens for each suffix; ``first`` marks where a bucket begins.
+    """
+    n = len(pages)
+    common = np.zeros(n + 1, np.int64)  # with the suffix before
+    equal = leads[1:] == leads[:-1]
+    common[1:n] = np.where(equal.all(1), leads.shape[1], equal.argmin(1))
+    common[:n][first] = 0
+    before, after = common[:n].copy(), common[1:].copy()
+    own = np.flatnonzero(pages[1:] == pages[:-1])  # a neighbour of the same page: what it shares goes on, as far as both agree
+    for i in own:
+        before[i + 1] = min(before[i], common[i + 1])
+    for i in own[::-1]:
+        after[i] = min(after[i + 1], common[i + 1])
+    return np.maximum(before, after)
+
+
+def shared_strings(suffixes: DataFrame, length: int) -> DataFrame:
+    """``_row``, ``pos`` and ``len`` of the shared strings that begin at suffixes of ``_row``, ``pos``, ``key``, ``n`` and ``lead``.
+
+    Suffixes with the same leading tokens have the same ``key``; ``n`` is the number of pages that have it. Each bucket is sorted by
+    ``lead``, and neighbours are compared token by token, so equal keys of different tokens share nothing.
+    """
+    part = F.pmod(F.xxhash64("_row"), F.ceil(F.col("n") / BUCKET_PAGES))
+    dealt = (suffixes.select("key", part.alias("part"), "lead", "_row", "pos").repartition("key", "part")
+             .sortWithinPartitions("key", "part", "lead", "_row", "pos"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def judged(rows: pa.Table) -> pa.RecordBatch:
+            key, part, pages, pos = (rows.column(c).to_numpy() for c in ("key", "part", "_row", "pos"))
+            leads = np.frombuffer(b"".join(rows.column("lead").to_pylist()), ">u4").reshape(len(key), -1)
+            first = np.ones(len(key), bool)
+            first[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
+            shared = shared_lengths(leads, pages, first) - 2  # two codes are the host
+            found = shared >= length
+            return pa.RecordBatch.from_arrays([pa.array(pages[found]), pa.array(pos[found]), pa.array(shared[found].astype(np.int32))],
+                                              ["_row", "pos", "len"])
+
+        held: list[pa.RecordBatch] = []  # the last bucket so far, which may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, part = batch.column("key").to_numpy(), batch.column("part").to_numpy()
+            rest = int(np.flatnonzero((key != key[-1]) | (part != part[-1]))[-1]) + 1 if key[0] != key[-1] or part[0] != part[-1] else 0
+            if held and (rest or held[-1].column("key")[0] != batch.column("key")[0] or held[-1].column("part")[0] != batch.column("part")[0]):
+                yield judged(pa.Table.from_batches([*held, batch.slice(0, rest)]))
+                held = []
+            elif rest:
+                yield judged(pa.Table.from_batches([batch.slice(0, rest)]))
+            held.append(batch.slice(rest))
+        if held:
+            yield judged(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(run, "_row long, pos int, len int")
+
+
 def unique_runs(blocks: list[str], covered: set[int]) -> str:
     """The blocks without their covered tokens; a block with none left goes."""
     out = []
@@ -237,18 +316,22 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", length: int
     """
     pages = pages.drop(*[c for c in ("text", "n_chars") if c not in (url, html)])
     rows = stored(parsed(pages, url, html, length), "pages")
-    suffixes = rows.select("_row", F.posexplode("_suffixes").alias("pos", "key"))
-    # sorted by key; pages of a hot string meet as one row per task
-    shared = suffixes.groupBy("key").agg(F.min("_row").alias("lo"), F.max("_row").alias("hi")).where("lo < hi").select("key")
     waiting = rows.where("_text is null and size(_blocks) > 0")
-    found = (waiting.select("_row", F.posexplode("_suffixes").alias("pos", "key")).join(shared, "key", "left_semi")
-             .groupBy("_row").agg(F.collect_list("pos").alias("_starts")))
+    # buckets that decide something: of two pages or more, one of them without article; a hot one meets as one row per task
+    keys = rows.select(F.expr("_text is null and size(_blocks) > 0").alias("open"), F.explode(F.array_distinct("_suffixes")).alias("key"))
+    buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("open")).where("n > 1 and open").select("key", "n")
+    buckets = stored(buckets, "buckets")
+    few = buckets.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    lead = F.concat("_site", F.substring("_stream", F.col("pos") * 4 + 1, F.lit(DEPTH * 4)))
+    suffixes = (rows.select("_row", "_site", "_stream", F.posexplode("_suffixes").alias("pos", "key"))
+                .select("_row", "pos", "key", lead.alias("lead")).join(F.broadcast(buckets) if few else buckets, "key"))
+    found = shared_strings(suffixes, length).groupBy("_row").agg(F.collect_list(F.struct("pos", "len")).alias("_strings"))
 
     @F.udf("string", useArrow=True)
-    def remaining(blocks, starts):
-        return unique_runs(blocks, {s + k for s in starts or () for k in range(length)})
+    def remaining(blocks, strings):
+        return unique_runs(blocks, {k for s in strings if s is not None for k in range(s[0], s[0] + s[1])} if strings is not None else set())
 
-    judged = waiting.join(found, "_row", "left").select("_own", remaining("_blocks", "_starts").alias("text"))
+    judged = waiting.join(found, "_row", "left").select("_own", remaining("_blocks", "_strings").alias("text"))
     settled = rows.where("_text is not null or size(_blocks) = 0 or _blocks is null").select("_own", F.coalesce("_text", F.lit("")).alias("text"))
     both = settled.union(judged).select("_own", F.coalesce("text", F.lit("")).alias("text"))
     return both.select("_own.*", "text", F.char_length("text").cast("long").alias("n_chars"))
